@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import ngrams
+from tallyloom.functions.text import NON_LETTERS, ngrams
 
 
 def count_items(df: DataFrame, items: Column, name: str = "word") -> DataFrame:
@@ -20,6 +20,12 @@ def count_items(df: DataFrame, items: Column, name: str = "word") -> DataFrame:
     return df.select(F.explode(items).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("count"))
 
 
+def count_words(df: DataFrame, text: str, name: str = "word") -> DataFrame:
+    """Occurrences of each lower-cased run of letters: name, count."""
+    pieces = df.select(F.explode(F.split(text, NON_LETTERS)).alias("_w")).where(F.col("_w") != "")
+    return pieces.groupBy(F.lower("_w").alias(name)).agg(F.count(F.lit(1)).alias("count"))
+
+
 def extract_ngrams(df: DataFrame, keys: Sequence[str], tokens: Column, n: int) -> DataFrame:
     """keys, pos (1-based), ngram. Works inside each row; nothing is shuffled."""
     return df.select(*keys, F.posexplode(ngrams(tokens, n)).alias("pos", "ngram")).withColumn(

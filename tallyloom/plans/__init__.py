@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-SUBJECTS = ("words", "tables")
+SUBJECTS = ("words", "tables", "moments")
 
 
 def load_all() -> ModuleType:

@@ -8,7 +8,7 @@ from tallyloom.functions import text as X
 from tallyloom.operators import counts as C
 from tallyloom.operators.ordered import run_lengths
 from tallyloom.plans.registry import query
-from tallyloom.session import read_table
+from tallyloom.session import read_table, spread
 
 # Tokens as the SQL check states them.
 SQL_TOKENS = r"""list_transform(list_filter(regexp_split_to_array({0}, '[^\p{{L}}]+'),
@@ -30,11 +30,11 @@ def sql_ngrams(n: int) -> str:
 
 
 def _documents(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents")
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def word_counts(spark, sf_dir):
-    return C.count_items(_documents(spark, sf_dir), X.words(F.col("text")))
+    return C.count_words(_documents(spark, sf_dir), "text")
 
 
 @query("word_count", SQL_COUNTS)
@@ -85,7 +85,7 @@ def corpus_totals(spark, sf_dir):
 @query("merge_counts", f"""SELECT word, count(*) AS count FROM ({SQL_WORDS}
     UNION ALL {SQL_WORDS.replace('FROM documents', 'FROM benchmark')}) GROUP BY word""")
 def merge_counts(spark, sf_dir):
-    benchmark = C.count_items(read_table(spark, sf_dir, "benchmark"), X.words(F.col("text")))
+    benchmark = C.count_words(read_table(spark, sf_dir, "benchmark"), "text")
     return C.merge_counts([word_counts(spark, sf_dir), benchmark], "word")
 
 

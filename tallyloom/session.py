@@ -74,5 +74,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out a scan that has fewer partitions than the session has task slots.
+
+    A small table or an unsplittable file would otherwise keep one task busy.
+    A scan with enough partitions is left as it is, without a shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

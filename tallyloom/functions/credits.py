@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import between
+from tallyloom.functions.text import between, bind
 
 # The pattern of a bracketed year with its optional number, the
 # mark of an unknown year, and the marks and names of the kinds of title.
@@ -23,27 +23,39 @@ def parse_credit(text: Column) -> Column:
     Null when the text has no year mark. The year is null when it is unknown;
     the last bracketed year counts, since a name may hold one of its own.
     """
-    text = F.trim(text)
-    # Greedy prefix: the last year mark of the text.
-    known = F.regexp_extract(text, rf"(?s)^.*({YEAR})", 1)
-    unknown = F.regexp_extract(text, r"(?s)^.*?(\(\?\?\?\?[^)]*\))", 1)
-    mark = F.when(known != "", known).when(unknown != "", unknown)
-    before = F.when(known != "", F.regexp_extract(text, rf"(?s)^(.*){YEAR}", 1)).otherwise(
-        F.regexp_extract(text, r"(?s)^(.*?)\(\?\?\?\?[^)]*\)", 1)
+    return bind(F.trim(text), _with_mark)
+
+
+def _with_mark(text: Column) -> Column:
+    """The text cut at its year mark."""
+    pattern = rf"(?s)^(.*)({YEAR})(.*)$"
+    fallback = r"(?s)^(.*?)(\(\?\?\?\?[^)]*\))(.*)$"
+    known = F.regexp_like(text, F.lit(pattern))
+
+    def cut(group: int) -> Column:
+        return F.when(known, F.regexp_extract(text, pattern, group)).otherwise(
+            F.regexp_extract(text, fallback, group))
+
+    parts = F.struct(
+        text.alias("text"), known.alias("known"),
+        F.rtrim(cut(1)).alias("title"), cut(2).alias("mark"), cut(3).alias("details"),
     )
-    details = F.substring(text, F.length(before) + F.length(mark) + 1, F.length(text))
+    return bind(parts, _fields)
+
+
+def _fields(cut: Column) -> Column:
+    text, title, mark, details = cut["text"], cut["title"], cut["mark"], cut["details"]
     on_tv = F.startswith(text, F.lit('"'))
-    title = F.rtrim(before)
     kind = F.when(on_tv & F.contains(text, F.lit(MINI_SERIES_MARK)), MINI_SERIES_KIND).when(on_tv, SERIES_KIND)
     for token, name in DETAIL_KINDS:
         kind = kind.when(F.contains(details, F.lit(token)), name)
+    unquoted = F.substring(title, F.lit(2), F.greatest(F.length(title) - 2, F.lit(0)))
     number = F.regexp_extract(mark, r"^\(.{4}/?([^)]*)\)$", 1)
     return F.when(
-        mark.isNotNull(),
+        mark != "",
         F.struct(
-            F.when(on_tv, F.substring(title, F.lit(2), F.greatest(F.length(title) - 2, F.lit(0))))
-            .otherwise(title).alias("name"),
-            F.when(known != "", F.substring(known, 2, 4).try_cast("int")).alias("year"),
+            F.when(on_tv, unquoted).otherwise(title).alias("name"),
+            F.when(cut["known"], F.substring(mark, 2, 4).try_cast("int")).alias("year"),
             F.when(number != "", number).alias("number"),
             kind.otherwise(FILM_KIND).alias("kind"),
             F.when(on_tv, between(details, "{", "}")).alias("episode"),

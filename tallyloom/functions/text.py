@@ -14,6 +14,15 @@ QUAKE_WORDS = ("terremoto", "temblor", "sismo", "quake")
 COUNT_WIDTH = 10
 
 
+def bind(value: Column, use) -> Column:
+    """``use`` applied to a value that is computed once per row.
+
+    An expression used in several places, above all inside a lambda, would be
+    computed for each of them; a lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Runs of letters, lower-cased after the split, empties dropped."""
     pieces = F.filter(F.split(text, NON_LETTERS), lambda w: w != "")
@@ -45,9 +54,7 @@ def ngrams(tokens: Column, n: int) -> Column:
             lambda i: F.array_join(F.slice(t, i, n), " "),
         )
 
-    # Bound as a lambda variable, the tokens are computed once per row; used
-    # as an expression they would be computed again for every n-gram.
-    return F.get(F.transform(F.array(tokens), runs), F.lit(0))
+    return bind(tokens, runs)
 
 
 def hashtags(text: Column) -> Column:

@@ -35,7 +35,8 @@ def project_fields(lines: DataFrame, positions: Sequence[int], names: Sequence[s
                    keep: Sequence[str] = (), column: str = "value") -> DataFrame:
     """Trimmed fields by position; names default to f<position>."""
     names = names or [f"f{p}" for p in positions]
-    return lines.select(*keep, *pick(tab_fields(F.col(column)), positions, names))
+    split = lines.select(*keep, tab_fields(F.col(column)).alias("_fields"))
+    return split.select(*keep, *pick(F.col("_fields"), positions, names))
 
 
 def drop_null_rows(df: DataFrame, columns: Sequence[str], nulls: int = PLACELESS_NULLS,

@@ -163,7 +163,8 @@ def burst_detect_global(spark, sf_dir):
 
 
 @query("burst_episodes", f"""SELECT event_type, event_no, max(CASE WHEN kind = 'START' THEN oldest END) AS first_record,
-      max(CASE WHEN kind = 'START' THEN us END) AS noticed, max(CASE WHEN kind = 'END' THEN us END) AS ended
+      max(CASE WHEN kind = 'START' THEN us END) AS noticed, coalesce(max(CASE WHEN kind = 'END' THEN us END), -1) AS ended
     FROM ({sql_changes('event_type')}) GROUP BY event_type, event_no""")
 def burst_episodes(spark, sf_dir):
-    return B.burst_episodes(_changes(spark, sf_dir, ["event_type"]), ["event_type"], "us")
+    episodes = B.burst_episodes(_changes(spark, sf_dir, ["event_type"]), ["event_type"], "us")
+    return episodes.withColumn("ended", F.coalesce("ended", F.lit(-1).cast("bigint")))

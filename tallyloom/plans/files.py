@@ -219,7 +219,7 @@ def scan_fixed_width(spark, sf_dir):
     key = F.col("o_orderkey")
     last = F.lpad((key % 100).cast("string"), 2, "0")
     score = F.when(F.col("o_orderstatus") == "P", F.lit("x")).otherwise(
-        (key % 100).cast("double").__truediv__(10).cast("string"))
+        ((key % 100) / F.lit(10.0)).cast("string"))
     line = F.concat(
         F.lit("      "), F.lit("00012"), F.lpad((key % 100000).cast("string"), 5, "0"), F.lit(" "),
         F.lpad(F.col("o_custkey").cast("string"), 8, " "), F.lit(" "), F.lpad(score, 5, " "), F.lit(" "),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-SUBJECTS = ("words", "tables", "moments", "files", "networks", "library")
+SUBJECTS = ("words", "tables", "moments", "files", "networks", "library", "streams")
 
 
 def load_all() -> ModuleType:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Patterns and words that decide the results.
@@ -23,6 +23,15 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a costly column that is computed once per row.
+
+    Filters and later columns read the output of a generator; over a plain
+    projection the optimizer may copy the expression into each of them.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def words(text: Column) -> Column:
     """Runs of letters, lower-cased after the split, empties dropped."""
     pieces = F.filter(F.split(text, NON_LETTERS), lambda w: w != "")

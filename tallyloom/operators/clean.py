@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.fields import NULL_TOKEN, null_tokens, pick, tab_fields
-from tallyloom.functions.text import QUAKE_WORDS, contains_any
+from tallyloom.functions.text import QUAKE_WORDS, contains_any, with_once
 
 # Field positions of the raw exports, and the null tokens that mark a row without a place.
 TWEET_FIELDS = (1, 2, 3, 5, 9, 10, 11, 13)
@@ -35,7 +35,7 @@ def project_fields(lines: DataFrame, positions: Sequence[int], names: Sequence[s
                    keep: Sequence[str] = (), column: str = "value") -> DataFrame:
     """Trimmed fields by position; names default to f<position>."""
     names = names or [f"f{p}" for p in positions]
-    split = lines.select(*keep, tab_fields(F.col(column)).alias("_fields"))
+    split = with_once(lines.select(*keep, column), "_fields", tab_fields(F.col(column)))
     return split.select(*keep, *pick(F.col("_fields"), positions, names))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.fields import tab_fields
-from tallyloom.functions.text import words
+from tallyloom.functions.text import with_once, words
 from tallyloom.session import broadcast_if_small, saved
 
 # Field boosts, hits per query, and the constants of the score.
@@ -16,6 +16,9 @@ BOOSTS = {"title": 5.0, "abstract": 1.0}
 TOP = 10
 K1, B = 1.2, 0.75
 
+# Up to this many distinct asked terms are matched as a list inside the scan; more are joined.
+MAX_LISTED_TERMS = 10_000
+
 
 def spanish_stop_words() -> list[str]:
     """The stop-word list that comes with Spark."""
@@ -27,8 +30,8 @@ def spanish_stop_words() -> list[str]:
 def build_documents(lines: DataFrame, modified: Column, keep: Sequence[str] = (),
                     column: str = "value") -> DataFrame:
     """url, title, abstract (null if absent), modified from tab lines of two fields or more."""
-    split = lines.where(F.trim(column) != "").select(*keep, tab_fields(F.col(column), True).alias("_f"))
-    kept = split.where(F.size("_f") >= 2)
+    written = lines.select(*keep, column).where(F.trim(column) != "")
+    kept = with_once(written, "_f", tab_fields(F.col(column), True)).where(F.size("_f") >= 2)
     return kept.select(*keep, F.get("_f", F.lit(0)).alias("url"), F.get("_f", F.lit(1)).alias("title"),
                        F.get("_f", F.lit(2)).alias("abstract"), modified.alias("modified"))
 
@@ -36,11 +39,17 @@ def build_documents(lines: DataFrame, modified: Column, keep: Sequence[str] = ()
 def field_tokens(documents: DataFrame, key: str, fields: Sequence[str],
                  stop_words: Sequence[str] = ()) -> DataFrame:
     """key, field, tokens, field_length; fields without a token are left out."""
-    entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
-    one = documents.select(key, F.explode(entries).alias("e")).select(key, "e.field", words(F.col("e.text")).alias("_t"))
-    tokens = F.filter("_t", lambda w: ~w.isin(*stop_words)) if stop_words else F.col("_t")
-    bound = one.select(key, "field", tokens.alias("tokens"))
-    return bound.withColumn("field_length", F.size("tokens").cast("bigint")).where(F.col("field_length") > 0)
+
+    def entry(field: str) -> Column:
+        tokens = words(F.col(field))
+        if stop_words:
+            tokens = F.filter(tokens, lambda w: ~w.isin(*stop_words))
+        return F.struct(F.lit(field).alias("field"), tokens.alias("tokens"))
+
+    # Exploding the finished tokens computes them once, whatever reads them.
+    one = documents.select(key, F.explode(F.array(*[entry(f) for f in fields])).alias("e"))
+    sized = one.select(key, "e.field", "e.tokens", F.size("e.tokens").cast("bigint").alias("field_length"))
+    return sized.where(F.col("field_length") > 0)
 
 
 def postings(tokens: DataFrame, key: str) -> DataFrame:
@@ -65,22 +74,32 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "que
     return terms.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
 
 
+def _asked_tokens(tokens: DataFrame, key: str, terms: DataFrame) -> DataFrame:
+    """``tokens`` with only the asked terms kept in each array; lengths stay those of the field."""
+    few = [row["term"] for row in terms.limit(MAX_LISTED_TERMS + 1).collect()]
+    if len(few) <= MAX_LISTED_TERMS:
+        return tokens.withColumn("tokens", F.filter("tokens", lambda w: w.isin(*few)) if few else F.slice("tokens", 1, 0))
+    hits = tokens.select(key, "field", F.explode("tokens").alias("term")).join(terms, "term")
+    kept = hits.groupBy(key, "field").agg(F.collect_list("term").alias("_kept"))
+    return tokens.select(key, "field", "field_length").join(kept, [key, "field"], "left").select(
+        key, "field", F.coalesce("_kept", F.array().cast("array<string>")).alias("tokens"), "field_length")
+
+
 def explain(documents: DataFrame, key: str, queries: DataFrame, boosts: Mapping[str, float] = BOOSTS,
             stop_words: Sequence[str] = ()) -> DataFrame:
     """query_id, key, field, term, tf, df, idf, score: each term's part of a field's score.
 
-    Only postings of the asked terms are made. All queries of the table run in
-    one pass over the documents.
+    Texts are read once: each field is reduced to its length and the asked terms
+    in it, from which postings and statistics follow. All queries of the table
+    run together.
     """
     tokens = field_tokens(documents, key, list(boosts), stop_words)
     asked = saved(query_terms(queries), "query-terms")
-    wanted = broadcast_if_small(asked.select("term").distinct())
-    hits = tokens.select(key, "field", "field_length", F.explode("tokens").alias("term")).join(wanted, "term")
-    posted = saved(hits.groupBy(key, "field", "term").agg(
-        F.count(F.lit(1)).alias("tf"), F.max("field_length").alias("field_length")), "postings")
+    matches = saved(_asked_tokens(tokens, key, asked.select("term").distinct()), "matches")
+    posted = saved(postings(matches, key), "postings")
     # At most one row per asked term and field, and one per field.
     frequencies = broadcast_if_small(document_frequencies(posted))
-    statistics = F.broadcast(saved(field_statistics(tokens), "field-statistics"))
+    statistics = F.broadcast(saved(field_statistics(matches), "field-statistics"))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     length = 1 - B + B * F.col("field_length") / F.col("avg_length")
     boost = F.lit(None).cast("double")

@@ -36,7 +36,7 @@ def record_lines(spark, sf_dir):
 def records(spark, sf_dir):
     """Lines of at least seven fields, with the time in seconds (null if bad) and the text."""
     parts = L.tab_fields(F.col("line"))
-    split = record_lines(spark, sf_dir).withColumn("_f", parts).where(F.size("_f") >= 7)
+    split = X.with_once(record_lines(spark, sf_dir), "_f", parts).where(F.size("_f") >= 7)
     return split.select(
         "event_id", "event_type", "line",
         L.event_seconds(F.get("_f", F.lit(1))).alias("seconds"), F.get("_f", F.lit(6)).alias("text"),

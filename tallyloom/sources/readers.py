@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.credits import parse_credit
 from tallyloom.functions.fields import tab_fields
+from tallyloom.functions.text import with_once
 from tallyloom.session import broadcast_if_small, spread
 
 # Columns of a raw rating line as name, first and end offset (0-based), type; the
@@ -55,7 +56,7 @@ def read_lines_after_header(spark: SparkSession, path: str, skip: int) -> DataFr
 def tsv_columns(lines: DataFrame, positions: Sequence[int], names: Sequence[str],
                 column: str = "value") -> DataFrame:
     """Untyped fields by position; a missing field is null."""
-    split = lines.select(tab_fields(F.col(column)).alias("_fields"))
+    split = with_once(lines.select(column), "_fields", tab_fields(F.col(column)))
     return split.select(*[F.get("_fields", F.lit(p)).alias(n) for p, n in zip(positions, names, strict=True)])
 
 
@@ -99,7 +100,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     # Reading by blank lines keeps a block together without sorting lines.
     blocks = spread(spark.read.option("lineSep", "\n\n").text(path))
     lines = F.filter(F.split(F.col("value"), "\n"), lambda x: F.trim(x) != "")
-    split = blocks.select(lines.alias("_l")).where(F.size("_l") > 0)
+    split = with_once(blocks, "_l", lines).where(F.size("_l") > 0)
     actor = F.trim(F.substring_index(F.get("_l", F.lit(0)), "\t", 1))
     rows = split.select(actor.alias("actor"), F.posexplode("_l").alias("_pos", "_line"))
     bare = F.when(F.col("_pos") == 0, F.regexp_replace("_line", "^[^\t]*\t?", "")).otherwise(F.col("_line"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyloom.session import broadcast_if_small, saved
@@ -45,34 +45,38 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
         weighted.select(F.col("dst").alias("id"), F.lit(0).cast("bigint").alias("out"),
                         F.lit(0).alias("parts")))
     nodes = saved(ends.groupBy("id").agg(F.max("out").alias("out"), F.max("parts").alias("parts")), "nodes")
-    split = saved(nodes.where(F.col("parts") > 1).select(F.col("id").alias("src"), "parts"), "split-sources")
-    if split.isEmpty():
-        spread_edges = weighted.withColumn("part", F.lit(0))
-    else:
-        part = F.coalesce(F.pmod(F.xxhash64("dst"), "parts"), F.lit(0)).cast("int")
-        spread_edges = weighted.join(broadcast_if_small(split), "src", "left").withColumn("part", part)
-        spread_edges = saved(spread_edges.drop("parts"), "split-edges")
-
-    count = nodes.count()
+    count, sinks, large = nodes.agg(
+        F.count(F.lit(1)), F.count_if(F.col("out") == 0), F.count_if(F.col("parts") > 1)).first()
     if count == 0:
         return nodes.select("id", F.lit(0.0).alias("rank"))
+    on = ["src"]
+    if large:
+        on = ["src", "part"]
+        marks = broadcast_if_small(nodes.where(F.col("parts") > 1).select(F.col("id").alias("src"), "parts"))
+        part = F.coalesce(F.pmod(F.xxhash64("dst"), "parts"), F.lit(0)).cast("int")
+        weighted = saved(weighted.join(marks, "src", "left").withColumn("part", part).drop("parts"), "split-edges")
+
+    kept_back = F.when(F.col("out") > 0, (1 - damping) * F.col("rank")).otherwise(F.col("rank"))
     ranks = nodes.withColumn("rank", F.lit(1.0 / count))
+    even_share = ((1 - damping) * (count - sinks) + sinks) / count / count
     for _ in range(rounds):
-        kept_back = F.when(F.col("out") > 0, (1 - damping) * F.col("rank")).otherwise(F.col("rank"))
-        even_share = ranks.agg(F.sum(kept_back)).first()[0] / count
         shares = ranks.where(F.col("out") > 0).select(
-            F.col("id").alias("src"), (damping * F.col("rank") / F.col("out")).alias("share"),
-            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+            F.col("id").alias("src"), "parts", (damping * F.col("rank") / F.col("out")).alias("share"))
+        if large:
+            shares = shares.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         # Vertices go through the same aggregation as what flows in, so that
         # one shuffle both adds up and keeps those without in-edges.
-        inflow = spread_edges.join(shares, ["src", "part"]).select(
+        inflow = weighted.join(shares.drop("parts"), on).select(
             F.col("dst").alias("id"), (F.col("share") * F.col("w")).alias("flow"),
             F.lit(0).cast("bigint").alias("out"), F.lit(0).alias("parts"))
         everyone = ranks.select("id", F.lit(0.0).alias("flow"), "out", "parts")
         summed = inflow.unionByName(everyone).groupBy("id").agg(
             F.max("out").alias("out"), F.max("parts").alias("parts"),
             (F.sum("flow") + F.lit(even_share)).alias("rank"))
-        ranks = saved(summed, "ranks")
+        # What the next round shares evenly is observed while this one is written.
+        seen = Observation()
+        ranks = saved(summed.observe(seen, F.sum(kept_back).alias("kept_back")), "ranks")
+        even_share = seen.get["kept_back"] / count
     return ranks.select("id", "rank")
 
 

@@ -41,11 +41,10 @@ def pair_counts(df: DataFrame, group: str, item: str, dedup: bool = True, min_co
         members = members.join(frequent.select("x"), "x", "left_semi")
     members = saved(members, "members")
     sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > hot_cast)
-    hot = saved(sizes.select("g", F.ceil(F.col("_size") / hot_cast).alias("_blocks")), "hot-casts")
-    n_hot = hot.count()
+    n_hot = sizes.count()
     if n_hot == 0:
-        pairs = _paired(members, ["g"])
-        return _counted(pairs, min_count)
+        return _counted(_paired(members, ["g"]), min_count)
+    hot = saved(sizes.select("g", F.ceil(F.col("_size") / hot_cast).alias("_blocks")), "hot-casts")
     marks = broadcast_if_small(hot)
     usual = members.join(marks, "g", "left_anti")
     large = members.join(marks, "g")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import broadcast_if_small
+from tallyloom.session import saved, shuffle_partitions
 
 # Window and step in seconds, entries shown.
 WINDOW_SECONDS = 60
@@ -15,6 +15,9 @@ STEP_SECONDS = 1
 TOP = 10
 DAY_SECONDS = 86_400
 
+# Join keys over which the tags of one stretch of time are spread.
+STRETCH_KEYS = 16
+
 
 def bucket_counts(df: DataFrame, tag: str, seconds: Column, step: int = STEP_SECONDS) -> DataFrame:
     """tag, bucket, n: records per tag and time bucket of ``step`` seconds.
@@ -43,15 +46,36 @@ def trailing_counts(buckets: DataFrame, tag: str, width: int = WINDOW_SECONDS,
     return counted.where(F.col("_chunk") == F.col("_home")).select(tag, "bucket", "n_window")
 
 
-def _reached(buckets: DataFrame, step: int, count: int, only_at_messages: bool) -> DataFrame:
-    """Each bucket at every snapshot it reaches, with its age in buckets."""
-    ages = F.sequence(F.lit(0), F.lit(count - 1))
-    reached = buckets.withColumn("_age", F.explode(ages)).withColumn(
-        "snapshot", F.col("bucket") + F.col("_age") * step)
-    if only_at_messages:
-        moments = broadcast_if_small(buckets.select(F.col("bucket").alias("snapshot")).distinct())
-        reached = reached.join(moments, "snapshot", "left_semi")
-    return reached
+def _reached(buckets: DataFrame, tag: str, step: int, count: int, only_at_messages: bool) -> DataFrame:
+    """Each bucket at every snapshot it reaches, with its age in buckets.
+
+    Time is cut into stretches as long as the window. A bucket reaches only
+    snapshots of its own stretch and of the next, so two copies of it meet the
+    snapshots in a join on the stretch, instead of a copy for each snapshot.
+    Tags are spread by hash over several keys per stretch; all of a tag's rows
+    at a snapshot share one key, so grouping by it too needs no other shuffle.
+    """
+    span = step * count
+    buckets = saved(buckets, "buckets")  # read twice below
+    moments = buckets.select(F.col("bucket").alias("snapshot")).distinct()
+    if not only_at_messages:
+        later = F.sequence(F.col("snapshot"), F.col("snapshot") + (span - step), F.lit(step).cast("bigint"))
+        moments = moments.select(F.explode(later).alias("snapshot")).distinct()
+    every_key = F.explode(F.sequence(F.lit(0), F.lit(STRETCH_KEYS - 1))).alias("_key")
+    snapshots = moments.select("snapshot", F.floor(F.col("snapshot") / span).alias("_stretch"), every_key)
+    home = F.floor(F.col("bucket") / span)
+    copies = buckets.select(
+        tag, "bucket", "n", F.pmod(F.xxhash64(tag), F.lit(STRETCH_KEYS)).cast("int").alias("_key"),
+        F.explode(F.array(home, home + 1)).alias("_stretch"))
+    # Both sides are few rows that grow in the join: a fixed number of partitions
+    # keeps it spread, and hashing the snapshots of a partition (bounded by the
+    # time they cover) keeps that layout for the counts that follow.
+    parts = shuffle_partitions(buckets.sparkSession)
+    copies = copies.repartition(parts, "_stretch", "_key")
+    snapshots = snapshots.repartition(parts, "_stretch", "_key").hint("shuffle_hash")
+    gap = F.col("snapshot") - F.col("bucket")
+    met = copies.join(snapshots, ["_stretch", "_key"]).where((gap >= 0) & (gap < span))
+    return met.withColumn("_age", (gap / step).cast("int"))
 
 
 def sliding_counts(buckets: DataFrame, tag: str, step: int = STEP_SECONDS, count: int = WINDOW_SECONDS + 1,
@@ -62,8 +86,9 @@ def sliding_counts(buckets: DataFrame, tag: str, step: int = STEP_SECONDS, count
     it there is one per step. The default of 61 one-second buckets is a trailing
     minute with both ends included.
     """
-    reached = _reached(buckets, step, count, only_at_messages)
-    return reached.groupBy("snapshot", tag).agg(F.sum("n").alias("n"))
+    reached = _reached(buckets, tag, step, count, only_at_messages)
+    counted = reached.groupBy("_stretch", "_key", "snapshot", tag).agg(F.sum("n").alias("n"))
+    return counted.select("snapshot", tag, "n")
 
 
 def top_per(counts: DataFrame, group: str, tag: str, k: int = TOP, n: str = "n") -> DataFrame:
@@ -88,14 +113,14 @@ def growth(buckets: DataFrame, tag: str, step: int, count: int, only_at_messages
 
     Tags without a recent record are left out; from nothing the growth is infinite.
     """
-    reached = _reached(buckets, step, 2 * count, only_at_messages)
+    reached = _reached(buckets, tag, step, 2 * count, only_at_messages)
     new = F.col("_age") < count
-    both = reached.groupBy("snapshot", tag).agg(
+    both = reached.groupBy("_stretch", "_key", "snapshot", tag).agg(
         F.sum(F.when(new, F.col("n")).otherwise(0)).alias("recent"),
         F.sum(F.when(~new, F.col("n")).otherwise(0)).alias("previous"),
     ).where(F.col("recent") > 0)
     ratio = F.when(F.col("previous") == 0, F.lit(float("inf"))).otherwise(F.col("recent") / F.col("previous"))
-    return both.withColumn("ratio", ratio)
+    return both.select("snapshot", tag, "recent", "previous", ratio.alias("ratio"))
 
 
 def explode_tags(df: DataFrame, tags: Column, keep: Sequence[str], name: str = "tag") -> DataFrame:

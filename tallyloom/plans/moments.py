@@ -10,7 +10,7 @@ from tallyloom.operators import bursts as B
 from tallyloom.operators import clean as K
 from tallyloom.operators import trending as T
 from tallyloom.plans.registry import query
-from tallyloom.session import read_table
+from tallyloom.session import read_table, spread
 
 # A record line of seven tab fields per event; some times do not parse.
 SQL_RECORDS = r"""SELECT event_id, event_type, ts, CASE WHEN event_id % 97 = 0 THEN 'no time'
@@ -30,7 +30,8 @@ def record_lines(spark, sf_dir):
         F.date_format(F.col("ts").cast("timestamp"), L.TIME_FORMAT))
     text = F.concat(F.lit("About #"), "event_type", F.lit(" and #K"), F.regexp_extract("props", r"(\d+)", 1))
     line = L.tab_line("event_id", time, F.lit("a"), F.lit("b"), F.lit("c"), F.lit("d"), text)
-    return read_table(spark, sf_dir, "events").select("event_id", "event_type", line.alias("line"))
+    events = spread(read_table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "props"))
+    return events.select("event_id", "event_type", line.alias("line"))
 
 
 def records(spark, sf_dir):

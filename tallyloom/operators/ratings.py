@@ -18,19 +18,15 @@ def match_counts(roles: DataFrame, ratings: DataFrame, subject: str, on: Sequenc
     As in a left join with an undeduplicated right side, a rating row that
     occurs twice counts twice. Null join keys match nothing. Ratings are added
     up per key first, so roles are joined once for all flags and no role row
-    is ever multiplied.
+    is ever multiplied; with few rated keys they are not even shuffled for it.
     """
     per_key = ratings.groupBy(*on).agg(
         *[F.sum(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in flags.items()]
     )
     some = F.greatest(*[F.col(n) for n in flags], F.lit(0)) > 0
     per_key = broadcast_if_small(saved(per_key.where(some), "rated"))
-    # Roles of one subject under one key collapse before the join.
-    listed = roles.groupBy(subject, *on).agg(F.count(F.lit(1)).alias("_listings"))
-    matched = listed.join(per_key, list(on), "left")
-    return matched.groupBy(subject).agg(
-        *[F.sum(F.coalesce(n, F.lit(0)) * F.col("_listings")).alias(n) for n in flags]
-    )
+    matched = roles.select(subject, *on).join(per_key, list(on), "left")
+    return matched.groupBy(subject).agg(*[F.sum(F.coalesce(n, F.lit(0))).alias(n) for n in flags])
 
 
 def group_average(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -89,7 +89,7 @@ def trailing_range_count(spark, sf_dir):
 
 
 def sql_sliding(step: int, count: int, width: int, at_messages: bool, k: int = 10) -> str:
-    semi = f"WHERE snapshot IN (SELECT bucket FROM buckets)" if at_messages else ""
+    semi = "WHERE snapshot IN (SELECT bucket FROM buckets)" if at_messages else ""
     return f"""WITH tags AS ({SQL_TAGS}), buckets AS (
         SELECT tag, seconds // {step} * {step} AS bucket, count(*) AS n FROM tags
         WHERE seconds IS NOT NULL GROUP BY ALL),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.functions.fields import tab_line
 from tallyloom.functions.text import hashtags
 from tallyloom.operators import trending as T
 from tallyloom.plans.moments import END, SIZE, START, sql_changes

@@ -25,6 +25,9 @@ def build_session(app: str = "tallyloom", cpus: str = "*", **conf: str) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Stream state on disk and off the heap.
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -152,6 +152,13 @@ def test_search_lists_and_joins_agree(spark, monkeypatch):
     assert [r[1] for r in sorted(listed, key=lambda r: r[3])] and {r[1] for r in listed} == {1, 2, 4}
 
 
+def test_stop_words_leave_the_lengths(spark):
+    stops = S.spanish_stop_words()
+    docs = spark.createDataFrame([(1, "el gato de la casa")], "id int, title string")
+    row = S.field_tokens(docs, "id", ["title"], stops).first()
+    assert (row["tokens"], row["field_length"]) == (["gato", "casa"], 2)
+
+
 def test_documents_need_two_fields(spark):
     lines = spark.createDataFrame([("u\tt\ta",), ("u\tt",), ("u",), ("",), ("u\tt\t",)], "value string")
     got = S.build_documents(lines, F.lit("now")).collect()

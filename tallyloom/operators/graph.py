@@ -44,40 +44,47 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
     ends = sources.select(F.col("src").alias("id"), "out", "parts").unionByName(
         weighted.select(F.col("dst").alias("id"), F.lit(0).cast("bigint").alias("out"),
                         F.lit(0).alias("parts")))
-    nodes = saved(ends.groupBy("id").agg(F.max("out").alias("out"), F.max("parts").alias("parts")), "nodes")
+    named = ends.groupBy("id").agg(F.max("out").alias("out"), F.max("parts").alias("parts"))
+    # Rounds work on short numbers; the names come back at the end. Once written, numbers are fixed.
+    nodes = saved(named.withColumn("node", F.monotonically_increasing_id()), "nodes")
     count, sinks, large = nodes.agg(
         F.count(F.lit(1)), F.count_if(F.col("out") == 0), F.count_if(F.col("parts") > 1)).first()
     if count == 0:
         return nodes.select("id", F.lit(0.0).alias("rank"))
+    numbers = broadcast_if_small(nodes.select("id", "node", "parts"))
+    sources_by_name = numbers.withColumnsRenamed({"id": "src", "node": "_src"})
+    targets_by_name = numbers.drop("parts").withColumnsRenamed({"id": "dst", "node": "_dst"})
+    weighted = weighted.join(sources_by_name, "src").join(targets_by_name, "dst").select(
+        F.col("_src").alias("src"), F.col("_dst").alias("dst"), "w", "parts")
     on = ["src"]
     if large:
         on = ["src", "part"]
-        marks = broadcast_if_small(nodes.where(F.col("parts") > 1).select(F.col("id").alias("src"), "parts"))
-        part = F.coalesce(F.pmod(F.xxhash64("dst"), "parts"), F.lit(0)).cast("int")
-        weighted = saved(weighted.join(marks, "src", "left").withColumn("part", part).drop("parts"), "split-edges")
+        part = F.pmod(F.xxhash64("dst"), "parts").cast("int")
+        weighted = weighted.withColumn("part", part)
+    weighted = saved(weighted.drop("parts"), "numbered-edges")
 
     kept_back = F.when(F.col("out") > 0, (1 - damping) * F.col("rank")).otherwise(F.col("rank"))
-    ranks = nodes.withColumn("rank", F.lit(1.0 / count))
+    ranks = nodes.drop("id").withColumn("rank", F.lit(1.0 / count))
     even_share = ((1 - damping) * (count - sinks) + sinks) / count / count
     for _ in range(rounds):
         shares = ranks.where(F.col("out") > 0).select(
-            F.col("id").alias("src"), "parts", (damping * F.col("rank") / F.col("out")).alias("share"))
+            F.col("node").alias("src"), "parts", (damping * F.col("rank") / F.col("out")).alias("share"))
         if large:
             shares = shares.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         # Vertices go through the same aggregation as what flows in, so that
         # one shuffle both adds up and keeps those without in-edges.
         inflow = weighted.join(shares.drop("parts"), on).select(
-            F.col("dst").alias("id"), (F.col("share") * F.col("w")).alias("flow"),
+            F.col("dst").alias("node"), (F.col("share") * F.col("w")).alias("flow"),
             F.lit(0).cast("bigint").alias("out"), F.lit(0).alias("parts"))
-        everyone = ranks.select("id", F.lit(0.0).alias("flow"), "out", "parts")
-        summed = inflow.unionByName(everyone).groupBy("id").agg(
+        everyone = ranks.select("node", F.lit(0.0).alias("flow"), "out", "parts")
+        summed = inflow.unionByName(everyone).groupBy("node").agg(
             F.max("out").alias("out"), F.max("parts").alias("parts"),
             (F.sum("flow") + F.lit(even_share)).alias("rank"))
         # What the next round shares evenly is observed while this one is written.
         seen = Observation()
         ranks = saved(summed.observe(seen, F.sum(kept_back).alias("kept_back")), "ranks")
         even_share = seen.get["kept_back"] / count
-    return ranks.select("id", "rank")
+    return ranks.join(nodes.select("node", "id"), "node").select("id", "rank")
 
 
 def by_rank(ranks: DataFrame) -> DataFrame:

@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, minhash, quality, substrings
+from tallyloom.llm import bpe, decontaminate, lines, minhash, quality, substrings
 from tallyloom.session import read_table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -24,10 +30,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(read_table(spark, sf_dir, "documents"), counts=("n_lines", "n_removed"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op5_minhash, op7_substrings, op8_bpe, op10_quality)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op5_minhash, op7_substrings, op8_bpe, op9_line_dedup, op10_quality)}
+ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.SQL, "op9_line_dedup": lines.SQL}

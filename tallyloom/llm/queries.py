@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, decontaminate, lines, minhash, quality, substrings
+from tallyloom.llm import bpe, chats, decontaminate, lines, minhash, quality, substrings, toxicity
 from tallyloom.session import read_table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.format_chats(read_table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
@@ -20,6 +24,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, labels)).withColumnRenamed("id", "doc_id")
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeated_passages(read_table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -40,5 +49,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op5_minhash, op7_substrings, op8_bpe, op9_line_dedup, op10_quality)}
-ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.SQL, "op9_line_dedup": lines.SQL}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op5_minhash, op6_toxicity, op7_substrings, op8_bpe, op9_line_dedup, op10_quality)}
+ORACLES: dict[str, str] = {"op1_chat_format": chats.SQL, "op2_decontamination": decontaminate.SQL, "op9_line_dedup": lines.SQL}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, chats, decontaminate, lines, minhash, quality, substrings, toxicity
+from tallyloom.llm import archives, bpe, chats, decontaminate, lines, minhash, pages, quality, substrings, toxicity
 from tallyloom.session import read_table
 
 
@@ -20,6 +20,15 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_text(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = archives.write_packages(read_table(spark, sf_dir, "pages"))
+    return archives.read_packages(packages).drop("url", "block").withColumnRenamed("id", "page_id")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -49,5 +58,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op5_minhash, op6_toxicity, op7_substrings, op8_bpe, op9_line_dedup, op10_quality)}
-ORACLES: dict[str, str] = {"op1_chat_format": chats.SQL, "op2_decontamination": decontaminate.SQL, "op9_line_dedup": lines.SQL}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_html, op4_warc, op5_minhash, op6_toxicity, op7_substrings, op8_bpe, op9_line_dedup, op10_quality)}
+ORACLES: dict[str, str] = {"op1_chat_format": chats.SQL, "op2_decontamination": decontaminate.SQL, "op4_warc": archives.SQL, "op9_line_dedup": lines.SQL}

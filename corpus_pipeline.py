@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import minhash, quality
+from tallyloom.llm import bpe, decontaminate, lines, minhash, quality
 from tallyloom.session import read_table, saved
 
 
@@ -13,12 +14,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line leave the texts; every document stays."""
+    return lines.dedup_lines(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles, 0.8)."""
     return minhash.drop_near_duplicates(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of what is left."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode_and_decode(docs, path).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("tokens", tokens)]
 # Certified cutoffs, hashed candidates and token ids have no SQL; the tests compare with brute force.
 ORACLE_SQL = None
 

@@ -104,7 +104,8 @@ def directory(fetch: Fetch, size: int) -> dict[str, tuple[int, int]]:
     tail_at = max(0, size - (22 + BIG16))
     tail = fetch(tail_at, size - tail_at)
     at = tail.rfind(END)
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+    # A note at the end may hold the mark itself: the right one is followed by exactly its note.
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
         at = tail.rfind(END, 0, at)
     if at < 0:
         raise ValueError("no end of a central directory")

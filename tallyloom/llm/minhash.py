@@ -22,6 +22,9 @@ from tallyloom.session import saved
 
 BINS, BAND = 128, 4
 WALK = 4096
+# Parity mask: 64-bit words. Hubs per bucket in the rounds; in the last one every member that is left is a hub.
+MASK = 16
+HUBS = (1, 16, None)
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -58,6 +61,12 @@ def bands(shingles: np.ndarray, walk: np.ndarray, band: int = BAND) -> np.ndarra
     return name
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Bit k tells whether an odd number of shingles fall on it."""
+    odd = np.bincount((mix(shingles + U(99)) % U(64 * MASK)).astype(np.int64), minlength=64 * MASK) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(size: int):
     def run(batches):
         import pyarrow as pa
@@ -65,7 +74,7 @@ def _signatures(size: int):
 
         hasher, walk = WordHasher(), walks()
         for batch in batches:
-            count, high, low, names = [], [], [], []
+            count, high, low, names, masks = [], [], [], [], []
             for text in text_bytes(batch.column(1)):
                 found = shingle_set(hasher(split_words(text, lower=True)), size)
                 count.append(len(found))
@@ -73,12 +82,13 @@ def _signatures(size: int):
                     digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), dtype=np.int64)
                     high.append(digest[0]), low.append(digest[1])
                     names.append(as_long(bands(found, walk)))
+                    masks.append(parity(found))
                 else:
-                    high.append(None), low.append(None), names.append(None)
+                    high.append(None), low.append(None), names.append(None), masks.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(count, pa.int64()), pa.array(high, pa.int64()),
-                 pa.array(low, pa.int64()), pa.array(names, pa.list_(pa.int64()))],
-                names=["id", "n", "high", "low", "bands"])
+                 pa.array(low, pa.int64()), pa.array(names, pa.list_(pa.int64())), pa.array(masks, pa.list_(pa.int64()))],
+                names=["id", "n", "high", "low", "bands", "mask"])
 
     return run
 
@@ -96,9 +106,9 @@ def _sets(size: int):
 
 
 def signatures(docs: DataFrame, ident: str, text: str, size: int) -> DataFrame:
-    """(id, n, high, low, bands): set size, 128-bit name of the set, bucket names (null for an empty set)."""
+    """(id, n, high, low, bands, mask): set size, 128-bit name of the set, bucket names and parity mask (null for an empty set)."""
     return pick(docs, id=ident, text=text).select(F.col("id").cast("long"), "text").mapInArrow(
-        _signatures(size), "id long, n long, high long, low long, bands array<long>")
+        _signatures(size), "id long, n long, high long, low long, bands array<long>, mask array<long>")
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -110,6 +120,16 @@ def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("u", "v")
 
 
+def _possible(percent: int):
+    """Whether a member and a hub of its bucket may be similar and are not known to be connected."""
+    n, m = F.col("m.n"), F.col("hub.n")
+    differ = sum((F.bit_count(F.get("m.mask", F.lit(k)).bitwiseXOR(F.get("hub.mask", F.lit(k)))) for k in range(MASK)), F.lit(0))
+    # |united| - |shared| <= (100 - percent) / (100 + percent) * (n + m), in whole numbers.
+    return ((F.col("m.own") != F.col("hub.own")) & (F.col("m.id") != F.col("hub.id"))
+            & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+            & (differ * (100 + percent) <= (n + m) * (100 - percent)))
+
+
 def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row of ``docs``.
 
@@ -129,42 +149,45 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     least = named.groupBy("high", "low").agg(F.min("id").alias("rep"))
     member = saved(named.select("id", "high", "low", "n").join(least, ["high", "low"]).select("id", "rep", "n"), "members")
     reps = signed.join(member.where("id = rep").select("id").distinct(), "id", "left_semi").where("bands is not null")
-    listed = reps.select("id", "n", F.explode("bands").alias("band"))
-    shared = listed.groupBy("band").agg(F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b"))
-    open_rows = saved(listed.join(shared.where("c > 1 and a < b").select("band"), "band"), "buckets")
-    asked = hinted(saved(open_rows.select("id").distinct(), "asked"))
+    listed = reps.select("id", F.explode("bands").alias("band"))
+    shared = listed.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("band")
+    rows = saved(listed.join(shared, "band"), "buckets")
+    asked = saved(rows.select("id").distinct(), "asked")
+    facts = saved(reps.select("id", "n", "mask").join(hinted(asked), "id"), "facts")
     texts = pick(docs, id=ident, text=text).select(F.col("id").cast("long"), "text")
     # A repeated id gives several sets; each of its rows takes part.
-    sets = saved(texts.join(asked, "id").mapInArrow(_sets(size), "id long, shingles array<long>"), "sets")
+    sets = saved(texts.join(hinted(asked), "id").mapInArrow(_sets(size), "id long, shingles array<long>"), "sets")
     # Rows that share an id, and sets that several ids share, are links already.
     links = saved(member.where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v")).join(
         named.groupBy("id").agg(F.count("*").alias("c")).where("c > 1").select(F.col("id").alias("u")), "u", "left_semi")
         .select("u", "v"), "links")
-    hubs_per_bucket, label = 1, None
-    while True:
-        now = open_rows if label is None else open_rows.join(label, open_rows["id"] == label["node"], "left").select(
-            "band", "id", "n", F.coalesce("component", "id").alias("own"))
-        now = now.withColumn("own", F.col("id")) if label is None else now
-        mixed = now.groupBy("band").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a < b").select("band")
-        if label is not None:
-            now = saved(now.join(mixed, "band"), "open")
-            if now.isEmpty():
-                break
-        cell = F.pmod(F.xxhash64("id"), F.lit(hubs_per_bucket))
-        hubs = now.groupBy("band", cell.alias("cell")).agg(F.min(F.struct("id", "n", "own")).alias("hub")).select(
-            "band", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.own").alias("hub_own"))
-        hubs = saved(hubs, "hubs")
-        met = now.join(hubs, "band").where(
-            (F.col("own") != F.col("hub_own"))
-            & (F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent))
-        edges = met.select(F.greatest("id", "hub").alias("u"), F.least("id", "hub").alias("v")).distinct()
+    label = None
+    for hubs_per_bucket in HUBS:
+        if label is None:
+            now = rows.withColumn("own", F.col("id"))
+        else:
+            now = rows.join(label, rows["id"] == label["node"], "left").select("band", "id", F.coalesce("component", "id").alias("own"))
+            mixed = now.groupBy("band").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a < b").select("band")
+            now = now.join(mixed, "band")
+        now = saved(now.join(facts, "id"), "open")
+        if now.isEmpty():
+            break
+        hub = F.struct("id", "own", "n", "mask").alias("hub")
+        if hubs_per_bucket is None:
+            hubs = now.select("band", hub)
+        else:
+            cell = F.pmod(F.xxhash64("id"), F.lit(hubs_per_bucket))
+            chosen = now.groupBy("band", cell.alias("cell")).agg(F.min("id").alias("id")).select("band", "id")
+            hubs = now.join(chosen, ["band", "id"]).select("band", hub)
+        hubs = saved(hubs.distinct(), "hubs")
+        met = now.alias("m").join(hubs.alias("h"), (F.col("m.band") == F.col("h.band")) & _possible(percent))
+        edges = met.select(F.greatest("m.id", "hub.id").alias("u"), F.least("m.id", "hub.id").alias("v")).distinct()
         found = saved(_confirmed(saved(edges, "candidates"), sets, percent), "found")
-        # A hub has met all its bucket.
-        open_rows = saved(now.select("band", "id", "n").join(
-            hubs.select("band", F.col("hub").alias("id")), ["band", "id"], "left_anti"), "rest")
+        if hubs_per_bucket is not None:
+            # A hub has met all its bucket.
+            rows = saved(now.select("band", "id").join(hubs.select("band", F.col("hub.id").alias("id")), ["band", "id"], "left_anti"), "rest")
         links = saved(links.union(found.distinct()), "links")
         label = components(links)
-        hubs_per_bucket *= 4
     result = label if label is not None else components(links)
     placed = member.join(result, member["rep"] == result["node"], "left").groupBy("id").agg(
         F.min(F.coalesce("component", "rep")).alias("component_id"))

@@ -74,13 +74,13 @@ def _prefix(n: Column, percent: int) -> Column:
     return n - F.floor((n * percent + 99) / 100).cast("int") + 1
 
 
-def _passes(a: str, b: str, percent: int) -> Column:
+def _passes(a: Column, b: Column, percent: int) -> Column:
     """Length, place and mask bounds of a candidate pair of list entries."""
-    n, m, i, j = (F.col(f"{s}.{c}") for c in ("n", "at") for s in (a, b))
+    n, m, i, j = a["n"], b["n"], a["at"], b["at"]
     need = _needed(n, m, percent)
     reach = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    differ = F.bit_count(F.col(f"{a}.mask").bitwiseXOR(F.col(f"{b}.mask")))
-    return ((F.col(f"{a}.name") != F.col(f"{b}.name")) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+    differ = F.bit_count(a["mask"].bitwiseXOR(b["mask"]))
+    return ((a["name"] != b["name"]) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
             & (reach >= need) & (differ <= n + m - 2 * need) & ((n != m) | (need < n)))
 
 
@@ -123,16 +123,17 @@ def removed_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", pe
     order = Window.partitionBy("word", "cell").orderBy("doc", "me.name").rowsBetween(Window.unboundedPreceding, -1)
     all_of = Window.partitionBy("word", "cell")
     first = [F.nth_value("me", k).over(order) for k in range(1, HUBS + 1)]
-    met = saved(entry.select("word", "dealt", "doc", "me", F.array_compact(F.array(*first)).alias("hubs"), F.count("*").over(all_of).alias("c"))
-                .where("c > 1 or dealt")
-                .select("word", "doc", "me", "hubs", ((F.col("c") > HUBS + 1) | F.col("dealt")).alias("open")), "lists")
-    pairs = met.select("me", F.explode("hubs").alias("hub")).where(_passes("me", "hub", percent)).select(
-        F.col("me.name").alias("a"), F.col("hub.name").alias("b"))
+    hubs = F.array_compact(F.array(*first))
+    close = F.transform(F.filter(hubs, lambda hub: _passes(F.col("me"), hub, percent)), lambda hub: hub["name"])
+    listed = entry.select("word", "dealt", "doc", "me", close.alias("close"), F.count("*").over(all_of).alias("c"))
+    longer = (F.col("c") > HUBS + 1) | F.col("dealt")
+    met = saved(listed.select("word", "doc", "me", "close", longer.alias("open")).where("open or size(close) > 0"), "lists")
+    pairs = met.select(F.col("me.name").alias("a"), F.explode("close").alias("b"))
     settled = _settled(pairs, firsts, docs, ident, text, percent)
     rest = met.where("open").select("word", "doc", "me")
     unsettled = rest.join(hinted(settled.distinct()), rest["me.name"] == settled["name"], "left_anti")
     others = rest.select("word", F.col("doc").alias("other_doc"), F.col("me").alias("other"))
-    more = unsettled.join(others, "word").where((F.col("other_doc") <= F.col("doc")) & _passes("me", "other", percent)).select(
+    more = unsettled.join(others, "word").where((F.col("other_doc") <= F.col("doc")) & _passes(F.col("me"), F.col("other"), percent)).select(
         F.col("me.name").alias("a"), F.col("other.name").alias("b"))
     late = _settled(more, firsts, docs, ident, text, percent)
     gone = saved(settled.union(late).distinct().withColumn("gone", F.lit(True)), "gone")

@@ -26,7 +26,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.grams import as_long
 from tallyloom.llm.rows import field, own_name
 from tallyloom.session import BROADCAST_ROWS, saved
 
@@ -209,9 +208,14 @@ def main_text(page: str | None, low: frozenset | set = frozenset()) -> str:
     return "\n".join(out)
 
 
-def style_nodes(page: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(path, own content, children) hashes of the block elements outside marked articles and noise."""
-    rows, stack = {}, [parse(page or "")]
+def style_nodes(page: str | None) -> list[tuple[int, int, int, int]]:
+    """(path, content, children, first) of the block elements outside marked articles and noise.
+
+    Siblings of one style are one node with several contents; each different
+    one is listed once, ``first`` is 1 once per node and page.
+    """
+    rows: dict[tuple[int, int, int], int] = {}
+    stack, seen = [parse(page or "")], set()
     while stack:
         node = stack.pop()
         inner = [c for c in node.children if isinstance(c, Node)]
@@ -220,22 +224,24 @@ def style_nodes(page: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             content: list[str] = []
             _blocks(node, frozenset(), content, [])
             shape = ",".join(str(c.path) for c in inner)
-            rows.setdefault(node.path, (xxhash.xxh3_64_intdigest("\n".join(content).encode()), xxhash.xxh3_64_intdigest(shape.encode())))
-    paths = np.fromiter(rows, np.uint64, len(rows))
-    return (paths, *(np.fromiter((r[k] for r in rows.values()), np.uint64, len(rows)) for k in (0, 1)))
+            row = (node.path, xxhash.xxh3_64_intdigest("\n".join(content).encode()), xxhash.xxh3_64_intdigest(shape.encode()))
+            if row not in rows:
+                rows[row] = int(node.path not in seen)
+                seen.add(node.path)
+    return [(*row, first) for row, first in rows.items()]
 
 
 def _styled(batches):
     for batch in batches:
-        hosts, paths, contents, shapes = [], [], [], []
+        hosts, rows = [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            path, content, shape = style_nodes(page)
-            hosts += [host] * len(path)
-            for target, value in ((paths, path), (contents, content), (shapes, shape)):
-                target.append(as_long(value))
+            found = style_nodes(page)
+            hosts += [host] * len(found)
+            rows += found
+        table = np.array(rows, dtype=np.uint64).reshape(len(rows), 4)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), *(pa.array(np.concatenate(v) if v else np.empty(0, np.int64), pa.int64()) for v in (paths, contents, shapes))],
-            names=["host", "path", "content", "shape"])
+            [pa.array(hosts, pa.string()), *(pa.array(np.ascontiguousarray(table[:, k]).view(np.int64), pa.int64()) for k in range(4))],
+            names=["host", "path", "content", "shape", "first"])
 
 
 def _texts(keep: int):
@@ -249,6 +255,7 @@ def _texts(keep: int):
 
 
 def host_of(url):
+    """Host of a url in lower case, empty if there is none."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
@@ -256,24 +263,23 @@ def low_branches(pages: DataFrame, url: str = "url", page: str = "html", least:
     """(host, path): style nodes of low importance.
 
     With m pages of a host that have the node, a content found on c of them has
-    the entropy log_m(c); the content importance is one minus the mean over
-    different contents, weighted by pages. The presentation importance is the
-    entropy, to base m, of the sequences of children. A node counts as low when
-    both are. Nodes on fewer than ``least`` pages are never low.
+    the entropy log_m(c); the content importance is one minus the mean over the
+    different contents. The presentation importance is the entropy, to base m,
+    of the sequences of children. A node counts as low when both are. Nodes on
+    fewer than ``least`` pages are never low.
     """
     rows = pages.select(host_of(field(pages, url)).alias("host"), field(pages, page).alias("page")).where("host <> ''")
-    nodes = rows.mapInArrow(_styled, "host string, path long, content long, shape long")
-    counted = saved(nodes.groupBy("host", "path", "content", "shape").agg(F.count("*").alias("n")), "nodes")
-    total = counted.groupBy("host", "path").agg(F.sum("n").alias("m")).where(F.col("m") >= least)
-
-    def spread(name: str) -> DataFrame:
-        each = counted.groupBy("host", "path", name).agg(F.sum("n").alias("c")).join(total, ["host", "path"])
-        share = F.col("c") / F.col("m")
-        return each.groupBy("host", "path").agg(
-            F.sum(share * F.ln("c") / F.ln("m")).alias("same"), F.sum(-share * F.ln(share) / F.ln("m")).alias("varied"))
-
-    content = spread("content").select("host", "path", (1 - F.col("same")).alias("content_importance"))
-    shape = spread("shape").select("host", "path", F.col("varied").alias("shape_importance"))
+    nodes = rows.mapInArrow(_styled, "host string, path long, content long, shape long, first long")
+    counted = saved(nodes.groupBy("host", "path", "content", "shape").agg(F.count("*").alias("n"), F.sum("first").alias("first")), "nodes")
+    total = counted.groupBy("host", "path").agg(F.sum("first").alias("m"), F.sum("n").alias("all")).where(F.col("m") >= least)
+
+    def each(name: str) -> DataFrame:
+        return counted.groupBy("host", "path", name).agg(F.sum("n").alias("c")).join(total, ["host", "path"])
+
+    share = F.col("c") / F.col("all")
+    content = each("content").groupBy("host", "path").agg(
+        (1 - F.avg(F.ln(F.least("c", "m")) / F.ln("m"))).alias("content_importance"))
+    shape = each("shape").groupBy("host", "path").agg(F.sum(-share * F.ln(share) / F.ln("m")).alias("shape_importance"))
     return content.join(shape, ["host", "path"]).where((F.col("content_importance") < low) & (F.col("shape_importance") < low)).select("host", "path")
 
 

@@ -33,13 +33,16 @@ def failures_before_success(df: DataFrame, keys: Sequence[str], order: Sequence[
     """Solved keys with the number of failures before their first success.
 
     The first success is an aggregate, so no group is ever sorted; the rows
-    then meet it in a join that splits a skewed key.
+    then meet it in a join that splits a skewed key: the sums go by a struct of
+    the keys, so they are combined before an exchange of their own and the join
+    need not keep a key together.
     """
     at = F.struct(*order)
     firsts = df.where(F.col("is_accepted") == 1).groupBy(*keys).agg(F.min(at).alias("_first"))
     firsts = broadcast_if_small(saved(firsts, "first-success"))
     early = F.when((F.col("is_accepted") == 0) & (at < F.col("_first")), 1).otherwise(0)
-    return df.join(firsts, list(keys)).groupBy(*keys).agg(F.sum(early).alias("failed_attempts"))
+    met = df.join(firsts, list(keys)).groupBy(F.struct(*keys).alias("_k")).agg(F.sum(early).alias("failed_attempts"))
+    return met.select("_k.*", "failed_attempts")
 
 
 def hardest(solved: DataFrame, problem: Sequence[str], min_solved: int = MIN_SOLVED,
@@ -76,12 +79,13 @@ def stage_row_counts(df: DataFrame, problem: Sequence[str], entity: str, order:
     def flag(cond: Column) -> Column:
         return F.sum(F.when(cond, 1).otherwise(0))
 
-    per_key = df.join(firsts, keys, "left").groupBy(*keys).agg(
+    # By a struct, as in failures_before_success: a hot key is split in the join.
+    per_key = df.join(firsts, keys, "left").groupBy(F.struct(*keys).alias("_k")).agg(
         F.count(F.lit(1)).alias("n_read"),
         flag(counts_in).alias("n_relevant"),
         flag(counts_in & (F.col("_first").isNull() | (at < F.col("_first")))).alias("n_before"),
         F.max(F.when(F.col("_first").isNotNull(), 1).otherwise(0)).alias("is_solved"),
-    )
+    ).select("_k.*", "n_read", "n_relevant", "n_before", "is_solved")
     per_problem = per_key.groupBy(*problem).agg(
         F.sum("n_read").alias("n_read"), F.sum("n_relevant").alias("n_relevant"),
         F.sum("n_before").alias("n_before"), F.sum("is_solved").alias("n_solved"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.fields import NULL_TOKEN, null_tokens, pick, tab_fields
 from tallyloom.functions.text import QUAKE_WORDS, contains_any, with_once
+from tallyloom.session import broadcast_if_small, saved
 
 # Field positions of the raw exports, and the null tokens that mark a row without a place.
 TWEET_FIELDS = (1, 2, 3, 5, 9, 10, 11, 13)
@@ -20,15 +21,16 @@ PLACELESS_NULLS = 5
 def drop_ragged(lines: DataFrame, width: int | None = None, column: str = "value") -> DataFrame:
     """Lines with ``width`` tab fields, empty fields at the end not counted.
 
-    Without ``width`` the first line of the input decides.
+    Without ``width`` the first line of each file decides for that file; ``lines``
+    then has the columns ``file`` and ``line`` of ``numbered_records``.
     """
     size = F.size(tab_fields(F.col(column), drop_trailing=True))
-    if width is None:
-        first = lines.select(size.alias("n")).head(1)
-        if not first:
-            return lines
-        width = first[0]["n"]
-    return lines.where(size == width)
+    if width is not None:
+        return lines.where(size == width)
+    if not {"file", "line"} <= set(lines.columns):
+        raise ValueError("without a width, lines need the columns file and line")
+    firsts = saved(lines.where("line = 0").select("file", size.alias("_width")), "widths")
+    return lines.join(broadcast_if_small(firsts), "file").where(size == F.col("_width")).select(*lines.columns)
 
 
 def project_fields(lines: DataFrame, positions: Sequence[int], names: Sequence[str] | None = None,

@@ -16,9 +16,6 @@ BOOSTS = {"title": 5.0, "abstract": 1.0}
 TOP = 10
 K1, B = 1.2, 0.75
 
-# Up to this many distinct asked terms are matched as a list inside the scan; more are joined.
-MAX_LISTED_TERMS = 10_000
-
 
 def spanish_stop_words() -> list[str]:
     """The stop-word list that comes with Spark."""
@@ -74,32 +71,25 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "que
     return terms.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
 
 
-def _asked_tokens(tokens: DataFrame, key: str, terms: DataFrame) -> DataFrame:
-    """``tokens`` with only the asked terms kept in each array; lengths stay those of the field."""
-    few = [row["term"] for row in terms.limit(MAX_LISTED_TERMS + 1).collect()]
-    if len(few) <= MAX_LISTED_TERMS:
-        return tokens.withColumn("tokens", F.filter("tokens", lambda w: w.isin(*few)) if few else F.slice("tokens", 1, 0))
-    hits = tokens.select(key, "field", F.explode("tokens").alias("term")).join(terms, "term")
-    kept = hits.groupBy(key, "field").agg(F.collect_list("term").alias("_kept"))
-    return tokens.select(key, "field", "field_length").join(kept, [key, "field"], "left").select(
-        key, "field", F.coalesce("_kept", F.array().cast("array<string>")).alias("tokens"), "field_length")
-
+def _parts(documents: DataFrame, key: str, queries: DataFrame, boosts: Mapping[str, float],
+           stop_words: Sequence[str]) -> DataFrame:
+    """The rows of ``explain`` with a number of their own for each document (``_row``).
 
-def explain(documents: DataFrame, key: str, queries: DataFrame, boosts: Mapping[str, float] = BOOSTS,
-            stop_words: Sequence[str] = ()) -> DataFrame:
-    """query_id, key, field, term, tf, df, idf, score: each term's part of a field's score.
-
-    Texts are read once: each field is reduced to its length and the asked terms
-    in it, from which postings and statistics follow. All queries of the table
-    run together.
+    The scan tokenizes each text once and leaves, per document and field, one
+    row with the length and one per occurrence of an asked term.
     """
-    tokens = field_tokens(documents, key, list(boosts), stop_words)
     asked = saved(query_terms(queries), "query-terms")
-    matches = saved(_asked_tokens(tokens, key, asked.select("term").distinct()), "matches")
-    posted = saved(postings(matches, key), "postings")
+    numbered = documents.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key")).alias("_doc"), *boosts)
+    tokens = field_tokens(numbered, "_doc", list(boosts), stop_words)
+    words_of = tokens.select("_doc", "field", "field_length", F.posexplode("tokens").alias("_at", "_word"))
+    terms = asked.select("term").distinct()
+    met = words_of.join(broadcast_if_small(terms), F.col("_word") == F.col("term"), "left").where("term IS NOT NULL OR _at = 0")
+    matches = saved(met.select("_doc.*", "field", "field_length", "_at", "term"), "matches")
+    posted = saved(matches.where("term IS NOT NULL").groupBy("row", "key", "field", "term").agg(
+        F.count(F.lit(1)).alias("tf"), F.max("field_length").alias("field_length")), "postings")
     # At most one row per asked term and field, and one per field.
-    frequencies = broadcast_if_small(document_frequencies(posted))
-    statistics = F.broadcast(saved(field_statistics(matches), "field-statistics"))
+    frequencies = broadcast_if_small(saved(document_frequencies(posted), "frequencies"))
+    statistics = F.broadcast(saved(field_statistics(matches.where("_at = 0")), "field-statistics"))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     length = 1 - B + B * F.col("field_length") / F.col("avg_length")
     boost = F.lit(None).cast("double")
@@ -109,7 +99,18 @@ def explain(documents: DataFrame, key: str, queries: DataFrame, boosts: Mapping[
     part = boost * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
     scored = scored.withColumn("_part", part)
     return scored.join(broadcast_if_small(asked), "term").select(
-        "query_id", key, "field", "term", "tf", "df", "idf", (F.col("times") * F.col("_part")).alias("score"))
+        F.col("row").alias("_row"), "query_id", F.col("key").alias(key), "field", "term", "tf", "df", "idf",
+        (F.col("times") * F.col("_part")).alias("score"))
+
+
+def explain(documents: DataFrame, key: str, queries: DataFrame, boosts: Mapping[str, float] = BOOSTS,
+            stop_words: Sequence[str] = ()) -> DataFrame:
+    """query_id, key, field, term, tf, df, idf, score: each term's part of a field's score.
+
+    All queries of the table run together, however many terms they ask for.
+    Every row of ``documents`` is a document, with a repeated or null key too.
+    """
+    return _parts(documents, key, queries, boosts, stop_words).drop("_row")
 
 
 def search(documents: DataFrame, key: str, queries: DataFrame, k: int | None = TOP,
@@ -119,11 +120,11 @@ def search(documents: DataFrame, key: str, queries: DataFrame, k: int | None = T
     Scores are rounded before they are ranked, so that the order of additions
     cannot decide a tie; ties go by key.
     """
-    parts = explain(documents, key, queries, boosts, stop_words)
-    by_field = parts.groupBy("query_id", key, "field").agg(F.sum("score").alias("_s"))
-    best = by_field.groupBy("query_id", key).agg(F.round(F.max("_s"), digits).alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(key).asc())
-    ranked = best.withColumn("rank", F.row_number().over(order))
+    parts = _parts(documents, key, queries, boosts, stop_words)
+    by_field = parts.groupBy("query_id", "_row", key, "field").agg(F.sum("score").alias("_s"))
+    best = by_field.groupBy("query_id", "_row", key).agg(F.round(F.max("_s"), digits).alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(key).asc(), F.col("_row").asc())
+    ranked = best.withColumn("rank", F.row_number().over(order)).drop("_row")
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 

@@ -63,7 +63,7 @@ def scan_tsv_typed(spark, sf_dir):
     typed = S.read_tsv(spark, path, "status string, custkey bigint, price double")
     return typed.groupBy("status").agg(
         F.count(F.lit(1)).alias("n"), F.count("price").alias("n_price"),
-        F.coalesce(F.sum(F.round(F.col("price") * 100).cast("bigint"))).alias("cents"),
+        F.sum(F.round(F.col("price") * 100).cast("bigint")).alias("cents"),
         F.max("custkey").alias("top_custkey"),
     )
 
@@ -163,6 +163,34 @@ def clean_drop_ragged(spark, sf_dir):
     return K.drop_ragged(_customer_lines(spark, sf_dir), 34).select("c_custkey")
 
 
+# Several files, whose first lines decide: each nation's file is as wide as its first line.
+@query("clean_first_width", """SELECT c_custkey FROM (SELECT *, first_value(c_custkey % 3) OVER (
+    PARTITION BY c_nationkey ORDER BY c_custkey) AS w FROM customer) WHERE c_custkey % 3 = w""")
+def clean_first_width(spark, sf_dir):
+    path = _nation_files(spark, sf_dir)
+    kept = K.drop_ragged(S.numbered_records(spark, path))
+    return S.tsv_columns(kept, [0], ["c_custkey"]).select(F.col("c_custkey").cast("bigint").alias("c_custkey"))
+
+
+@query("head_lines", """SELECT c_custkey, line FROM (SELECT c_custkey, row_number() OVER (
+    PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS line FROM customer) WHERE line < 5""")
+def head_lines(spark, sf_dir):
+    """The first five lines of each of several files."""
+    found = S.head_lines(spark, _nation_files(spark, sf_dir), 5)
+    return found.select(F.substring_index("value", "\t", 1).cast("bigint").alias("c_custkey"), "line")
+
+
+def _nation_files(spark, sf_dir):
+    """A text file per nation, its customers in order; lines have one to three fields."""
+    key = F.col("c_custkey").cast("string")
+    fields = [F.when(F.col("c_custkey") % 3 >= i, F.lit(f"f{i}")) for i in (1, 2)]
+    rows = read_table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.concat_ws("\t", key, *fields).alias("value"))
+    path = new_path(spark, "nations")
+    (rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", "value")
+     .write.partitionBy("c_nationkey").text(path))
+    return path
+
+
 TWEET_NAMES = [f"t{p}" for p in K.TWEET_FIELDS]
 USER_NAMES = [f"u{p}" for p in K.USER_FIELDS]
 PLACE_NAMES = [f"g{p}" for p in K.PLACE_FIELDS]
@@ -213,7 +241,7 @@ def extract_literal(spark, sf_dir):
     CAST(o_custkey AS INTEGER) AS votes, CAST(o_orderkey % 100 AS DOUBLE) / 10 AS score,
     o_orderpriority || ' (19' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') || ')' AS title,
     o_orderpriority AS name
-    FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 100 >= 80""")
+    FROM orders WHERE o_orderstatus <> 'P'""")
 def scan_fixed_width(spark, sf_dir):
     """Rating lines under a header line; status P has an unreadable score."""
     key = F.col("o_orderkey")
@@ -229,8 +257,7 @@ def scan_fixed_width(spark, sf_dir):
     (lines.write.option("header", True).option("quote", "").option("sep", "\u0001")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     entries = S.rating_entries(S.read_lines_after_header(spark, path, 1))
-    known = entries.where(F.col("film.year") >= 1980)
-    return known.select("distribution", "votes", "score", "title", F.col("film.name").alias("name"))
+    return entries.select("distribution", "votes", "score", "title", F.col("film.name").alias("name"))
 
 
 # --- credits: one role text per part, of five kinds and one without a year -----------
@@ -305,7 +332,15 @@ def scan_blocks(spark, sf_dir):
     block = F.concat(
         F.lit("Actor "), F.col("p_partkey").cast("string"), F.lit("\t"), F.col("credit"),
         F.lit("\n\t\t\t"), F.col("credit"), F.lit("\n\t\t\tCommon of "), F.col("p_brand"), F.lit(" (1999)\n"))
-    path = W.write_lines(_credits(spark, sf_dir).select(block.alias("value")), new_path(spark, "blocks"))
-    roles = S.read_blocks(spark, path).withColumn("c", CR.parse_credit(F.col("credit")))
+    # Every file starts with a header, with blank lines and text that looks like a block.
+    header = "CRC: 0x1\n\nName\t\tTitles (1900)\n----\t\t------\n\nNobody\tNothing (1901)\n"
+    blocks = _credits(spark, sf_dir).select("p_partkey", (F.col("p_partkey") % 3).alias("part"), block.alias("value"))
+    first = blocks.groupBy("part").agg(F.min("p_partkey").alias("first"))
+    headed = F.when(F.col("p_partkey") == F.col("first"), F.concat(F.lit(header), "value")).otherwise(F.col("value"))
+    lines = blocks.join(first, "part").select("part", "p_partkey", headed.alias("value"))
+    path = new_path(spark, "blocks")
+    (lines.repartition("part").sortWithinPartitions("part", "p_partkey").select("part", "value")
+     .write.partitionBy("part").text(path))
+    roles = S.read_blocks(spark, path, header.count("\n")).withColumn("c", CR.parse_credit(F.col("credit")))
     named = roles.where(F.col("c").isNotNull()).select("actor", "c.name", "c.kind")
     return named.groupBy("actor", "name", "kind").agg(F.count(F.lit(1)).alias("n"))

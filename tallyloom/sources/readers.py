@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.credits import parse_credit
 from tallyloom.functions.fields import tab_fields
 from tallyloom.functions.text import with_once
-from tallyloom.session import broadcast_if_small, spread
+from tallyloom.session import broadcast_if_small, saved, spread
 
 # Columns of a raw rating line as name, first and end offset (0-based), type; the
 # length of its shortest valid line; and the header lines of the two raw exports.
@@ -35,22 +35,43 @@ def read_lines(spark: SparkSession, path: str, line_sep: str = "\n") -> DataFram
     return spread(spark.read.option("lineSep", line_sep).text(path))
 
 
-def read_lines_after_header(spark: SparkSession, path: str, skip: int) -> DataFrame:
-    """Lines of each file without its first ``skip`` ones.
+def numbered_records(spark: SparkSession, path: str, line_sep: str = "\n") -> DataFrame:
+    """file, line (0-based), value: the records of each file with the number of their first line.
 
-    Row numbers rise by one along a file, so the first number of a file tells
-    its header apart: a one-row-per-file table, not a sort of the lines. A
-    header must lie inside the file's first input split.
+    The records are written once to the shared folder, with the split they came
+    from and a row number that rises along a split, so that nothing is numbered
+    twice. The lines of each split are summed, a running sum over the splits of
+    a file (a few rows) places them, and no record is sorted across splits: the
+    result does not depend on the number of splits, tasks or slots.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    starts = lines.where(F.col("_block") == 0).groupBy("_file").agg(F.min("_row").alias("_first"))
-    in_header = (F.col("_block") == 0) & (F.col("_row") - F.col("_first") < skip)
-    return lines.join(broadcast_if_small(starts), "_file").where(~in_header).select("value")
+    scanned = spark.read.option("lineSep", line_sep).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"))
+    kept = saved(scanned, "records")
+    if line_sep == "\n":
+        placed = kept.withColumn("inside", F.lit(None).cast("bigint"))
+    else:
+        taken = F.length("value") - F.length(F.replace("value", F.lit("\n"), F.lit(""))) + line_sep.count("\n")
+        before = Window.partitionBy("file", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+        placed = kept.withColumn("taken", taken.cast("bigint")).withColumn("inside", F.coalesce(F.sum("taken").over(before), F.lit(0)))
+    size = F.count(F.lit(1)) if line_sep == "\n" else F.sum("taken")
+    splits = placed.groupBy("file", "block").agg(size.alias("size"), F.min("row").alias("first"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = saved(splits.select("file", "block", "first", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start")), "splits")
+    inside = F.coalesce("inside", F.col("row") - F.col("first"))
+    return placed.join(broadcast_if_small(starts), ["file", "block"]).select(
+        "file", (F.col("start") + inside).alias("line"), "value")
+
+
+def read_lines_after_header(spark: SparkSession, path: str, skip: int) -> DataFrame:
+    """Lines of each file without its first ``skip`` ones, however long the header is."""
+    return numbered_records(spark, path).where(F.col("line") >= skip).select("value")
+
+
+def head_lines(spark: SparkSession, path: str, k: int | None) -> DataFrame:
+    """file, line, value: the first ``k`` lines of each file in file order; None means all, 0 none."""
+    lines = numbered_records(spark, path)
+    return lines if k is None else lines.where(F.col("line") < k)
 
 
 def tsv_columns(lines: DataFrame, positions: Sequence[int], names: Sequence[str],
@@ -92,13 +113,21 @@ def rating_entries(lines: DataFrame) -> DataFrame:
     return fixed_width(lines).withColumn("film", parse_credit(F.col("title")))
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+def read_blocks(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
     """actor, credit: distinct role lines of blocks that end with a blank line.
 
-    The first line of a block holds the actor, a tab and the first role.
+    The first line of a block holds the actor, a tab and the first role. The
+    first ``skip`` lines of each file are a header, blank lines included.
     """
     # Reading by blank lines keeps a block together without sorting lines.
-    blocks = spread(spark.read.option("lineSep", "\n\n").text(path))
+    if skip:
+        numbered = numbered_records(spark, path, "\n\n")
+        cut = F.greatest(F.lit(skip) - F.col("line"), F.lit(0)).cast("int")
+        parts = F.split("value", "\n")
+        left = F.slice(parts, cut + 1, F.greatest(F.size(parts) - cut, F.lit(0)))
+        blocks = numbered.where(cut < F.size(parts)).select(F.array_join(left, "\n").alias("value"))
+    else:
+        blocks = spread(spark.read.option("lineSep", "\n\n").text(path))
     lines = F.filter(F.split(F.col("value"), "\n"), lambda x: F.trim(x) != "")
     split = with_once(blocks, "_l", lines).where(F.size("_l") > 0)
     actor = F.trim(F.substring_index(F.get("_l", F.lit(0)), "\t", 1))

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyloom.operators.bursts import BURST_SIZE, END_GAP, START_GAP
 
+# The state function travels with its code: workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Records that wait for the watermark, the newest ones already judged, and where the event stands.
 STATE = "times array<bigint>, ids array<bigint>, recent array<bigint>, on int, event_no bigint"
 

@@ -10,9 +10,12 @@ from tallyloom.session import new_path
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType) -> DataFrame:
-    """A given table as a stream of its files."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .parquet(sf_dir))
+    """A given table as a stream of its files, be it one file or a folder of part files.
+
+    The path is given as a pattern that matches itself only: a stream takes a
+    plain path for a folder, and the files of a pattern for what they are.
+    """
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def write_replay(df: DataFrame, path: str, slice_number: Column, slices: int) -> str:

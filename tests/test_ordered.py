@@ -82,29 +82,37 @@ def test_lists_continue_in_parts(frame, hot):
     assert joined == {k: [r[2] for r in rows] for k, rows in _groups().items()}
 
 
-def _loop(times, size, start, end):
-    """The detector, record by record."""
-    fifo, on, number, out = [], False, 0, []
-    for t, rid in times:
-        fifo.append(t)
-        if len(fifo) >= size:
-            oldest = fifo.pop(0)
-            if t - oldest <= start and not on:
-                on, number = True, number + 1
-                out.append((number, "START", t, rid, oldest, t - oldest))
-            elif t - oldest >= end and on:
-                on = False
-                out.append((number, "END", t, rid, oldest, t - oldest))
-    return out
+# Times of three short series, and the changes that are due with size 3 (the gap of a record reaches two
+# records back), start 4 and end 9; record ids are 10 times the place.
+SERIES = {
+    "calm": [0, 10, 20, 30, 40],
+    "twice": [0, 1, 2, 3, 20, 40, 41, 42, 43],
+    "open": [5, 5, 5, 13, 14],
+}
+CHANGES = [
+    ("open", 1, "START", 5, 20, 5, 0), ("open", 1, "END", 14, 40, 5, 9),
+    ("twice", 1, "START", 2, 20, 0, 2), ("twice", 1, "END", 20, 40, 2, 18), ("twice", 2, "START", 42, 70, 40, 2),
+]
+
+
+@pytest.mark.parametrize("hot", [HOT_ROWS, 2])
+def test_bursts_by_hand(spark, hot):
+    rows = [(k, t, 10 * i) for k, times in SERIES.items() for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "k string, t bigint, id bigint").repartition(3)
+    changes = burst_changes(df, ["k"], "t", "id", 3, 4, 9, hot)
+    assert sorted(map(tuple, changes.collect())) == sorted(CHANGES)
+    episodes = {(r["k"], r["noticed"], r["ended"]) for r in burst_episodes(changes, ["k"], "t").collect()}
+    assert episodes == {("open", 5, 14), ("twice", 2, 20), ("twice", 42, None)}
 
 
 @pytest.mark.parametrize("hot", LIMITS)
-def test_bursts_equal_the_loop(frame, hot):
-    changes = burst_changes(frame, ["k"], "t", "id", 5, 5, 9, hot)
-    got = sorted((tuple(r) for r in changes.collect()), key=str)
-    want = sorted(((k, *c) for k, rows in _groups().items()
-                   for c in _loop([(r[1], r[2]) for r in rows], 5, 5, 9)), key=str)
-    assert got == want and len(got) > 10
-    episodes = burst_episodes(changes, ["k"], "t").collect()
-    assert len(episodes) == sum(1 for c in want if c[2] == "START")
-    assert all(e["ended"] is None or e["ended"] >= e["noticed"] for e in episodes)
+def test_bursts_follow_the_gaps(frame, hot):
+    """Each change stands at a record whose gap calls for it, and no call between two changes is left out."""
+    got = burst_changes(frame, ["k"], "t", "id", 5, 5, 9, hot).collect()
+    assert len(got) > 10
+    for key, rows in _groups().items():
+        times = [(r[1], r[2]) for r in rows]
+        calls = [(rid, "START" if t - times[i - 4][0] <= 5 else "END") for i, (t, rid) in enumerate(times)
+                 if i >= 4 and not 5 < t - times[i - 4][0] < 9]
+        due = [c for i, c in enumerate(calls) if c[1] != (calls[i - 1][1] if i else "END")]
+        assert [(r["id"], r["kind"]) for r in sorted((r for r in got if r["k"] == key), key=lambda r: (r["t"], r["id"]))] == due

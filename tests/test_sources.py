@@ -31,6 +31,36 @@ def test_header_of_every_file_is_skipped(spark, lines, tmp_path):
     assert got == {f"{n}{i}" for n in ("one", "two") for i in range(5)}
 
 
+@pytest.mark.parametrize("split", ["64", "128m"])
+def test_numbers_and_headers_do_not_depend_on_splits(spark, tmp_path, split):
+    """A header far longer than a split, many splits per file, and the same answer with few."""
+    for name, n in (("one", 300), ("two", 40)):
+        (tmp_path / name).write_text("".join(f"{name} line {i}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = {(r["value"], r["line"]) for r in readers.numbered_records(spark, str(tmp_path)).collect()}
+        assert got == {(f"{n} line {i}", i) for n, k in (("one", 300), ("two", 40)) for i in range(k)}
+        left = {r["value"] for r in readers.read_lines_after_header(spark, str(tmp_path), 296).collect()}
+        assert left == {f"one line {i}" for i in range(296, 300)}
+        assert readers.head_lines(spark, str(tmp_path), 3).count() == 6 and readers.head_lines(spark, str(tmp_path), 0).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("split", ["50", "128m"])
+def test_blocks_under_a_header(spark, tmp_path, split):
+    header = "CRC: 1\n\nName\t\tTitles (1900)\n\n----\tx (1)\n"
+    (tmp_path / "b").write_text(header + "Ann\tA (1999)\n\t\t\tB (2000)\n\nBob\tC (2001)\n\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = {tuple(r) for r in readers.read_blocks(spark, str(tmp_path), header.count("\n")).collect()}
+        assert got == {("Ann", "A (1999)"), ("Ann", "B (2000)"), ("Bob", "C (2001)")}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_fixed_width_leaves_bad_lines_out(spark, lines):
     good = "      0000012345       77   8.4 Some Film (1999)"
     df = lines(good, "", "short", good.replace(" 8.4", " x.4"))

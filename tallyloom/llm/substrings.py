@@ -191,12 +191,15 @@ def remove_repeated_passages(docs: DataFrame, ident: str = "doc_id", text: str =
     found = saved(keyed.select("id", "key", "text").mapInArrow(
         _candidates(window, anchor, depth, bits, sent),
         "id long, key long, anchor long, content long, start long, windows array<long>"), "stretches")
-    first = found.groupBy("anchor", "content").agg(F.min("id").alias("least"))
-    judged = saved(found.select("id", "key", "anchor", "content", "start", F.size("windows").alias("n")).join(first, ["anchor", "content"]).select(
-        "id", "key", "anchor", "content", "start", "n", "least"), "judged")
+    narrow = found.select("id", "key", "anchor", "content", "start", F.size("windows").alias("n"))
+    first = saved(narrow.groupBy("anchor", "content").agg(F.min("id").alias("least")), "contents")
+    judged = saved(narrow.join(first, ["anchor", "content"]), "judged")
     whole = judged.where("least < id").select("id", "key", "start", (F.col("start") + F.col("n") + (window - 1)).alias("stop"))
-    # One document's copy of each stretch stands for all others, window by window.
-    lead = found.join(judged.where("least = id").select("id", "key", "anchor", "content", "start"), ["id", "key", "anchor", "content", "start"], "left_semi")
+    # One document's copy of each stretch stands for all others, window by window; an anchor whose
+    # stretches are all equal is settled.
+    mixed = first.groupBy("anchor").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a < b").select("anchor")
+    lead = found.join(judged.where("least = id").join(mixed, "anchor").select("id", "key", "anchor", "content", "start"),
+                      ["id", "key", "anchor", "content", "start"], "left_semi")
     single = saved(lead.select("id", "key", "anchor", "start", F.posexplode("windows").alias("place", "hash")), "windows")
     shared = single.groupBy("anchor", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
     alone = single.join(shared, ["anchor", "hash"]).where("least < id").select(

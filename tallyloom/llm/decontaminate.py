@@ -19,6 +19,8 @@ from tallyloom.llm.rows import field, hinted, own_name
 from tallyloom.session import saved
 
 WINDOW = 10
+# Windows of about 500 bytes that may be broadcast: 12 MB.
+BROADCAST_WINDOWS = 24_000
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -43,7 +45,8 @@ def _rows_with_words(docs: DataFrame, ident: str, text: str) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+                  item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
+                  broadcast_rows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(id, n_words, n_hit, n_items, items, contaminated) for each row of ``docs``.
 
     ``n_hit`` counts the words inside any occurrence of an item window,
@@ -53,8 +56,10 @@ def contamination(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text
     share an id are one item. Repeated rows of ``docs`` are judged each on its
     own; other columns are ignored; empty tables give no rows, or no hits.
 
-    The windows are broadcast only when a count of the saved table proves them
-    small; otherwise the join shuffles single words.
+    Up to ``broadcast_rows`` windows, counted in the saved table, are broadcast
+    and verified where a document is read. Beyond that the join shuffles single
+    words, and the places it finds meet their document again; the result is the
+    same.
     """
     windows = saved(item_windows(items, item_id, item_text, window).withColumn("key", F.sha2(F.to_json("words"), 256)), "windows")
     vocabulary = hinted(saved(windows.select(F.explode("words").alias("token")).distinct(), "vocabulary"))
@@ -65,10 +70,16 @@ def contamination(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text
     rarest = ordered.groupBy("key").agg(F.min(F.struct("n", "token", "place")).alias("least"), F.first("words").alias("wanted"))
     # A window with a word that no document has cannot occur.
     prefix = saved(rarest.where("least.n > 0").select("key", "wanted", F.col("least.token").alias("token"), F.col("least.place").alias("place")), "prefixes")
+    small = prefix.limit(broadcast_rows + 1).count() <= broadcast_rows
     words = _rows_with_words(docs, ident, text)
+    words = words if small else saved(words, "words")
     # One more entry per row, so that every row comes through with its length.
     placed = words.select("row", "id", "words", F.posexplode(F.concat("words", F.array(F.lit("")))).alias("at", "token"))
-    met = placed.join(hinted(prefix, 512), "token", "left")
+    if small:
+        met = placed.join(F.broadcast(prefix), "token", "left")
+    else:
+        places = placed.select("row", "at", "token").join(prefix, "token", "left").where("key is not null or token = ''")
+        met = places.join(words, "row")
     start = F.col("at") - F.col("place")
     fits = (start >= 0) & (start + F.size("wanted") <= F.size("words"))
     hit = fits & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.size("wanted")) == F.col("wanted"))

@@ -217,12 +217,14 @@ def test_toxicity_on_held_out_rows(spark, odd):
     assert toxicity.thresholds(toxicity.score_toxicity(docs, net), docs, labels).count() == 1
 
 
-def test_decontamination_by_hand(spark):
+@pytest.mark.parametrize("rows_to_broadcast", [24_000, 0])
+def test_decontamination_by_hand(spark, rows_to_broadcast):
     item = [f"b{k}" for k in range(14)]
     items = spark.createDataFrame([(1, " ".join(item)), (2, "Short one"), (3, None), (None, "lonely words"), (4, "!!!")], "item_id long, text string")
     rows = [(1, "x " + " ".join(item[2:13]).upper() + " y"), (2, "a short, ONE here"), (3, None), (4, ""), (5, " ".join(item[:9])),
             (6, "lonely words"), (7, " ".join(item)), (7, " ".join(item))]
-    got = sorted((r["id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in decontaminate.contamination(table(spark, rows), items).collect())
+    got = sorted((r["id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in decontaminate.contamination(
+        table(spark, rows), items, broadcast_rows=rows_to_broadcast).collect())
     assert got == [(1, 13, 11, ["1"], True), (2, 4, 2, ["2"], True), (3, 0, 0, [], False), (4, 0, 0, [], False), (5, 9, 0, [], False),
                    (6, 2, 2, [], True), (7, 14, 14, ["1"], True), (7, 14, 14, ["1"], True)]
     left = decontaminate.drop_contaminated(table(spark, rows), items)

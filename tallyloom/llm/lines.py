@@ -5,9 +5,9 @@ of word counts of fixed size (hashed, so a count may be too high, never too
 low; any order that is the same for all lines gives the exact result, rarity
 only makes it fast). Two sets that are similar enough share a word among the
 first few of both. Candidates must pass the length bound, the bound given by
-the places of the shared word, and a bound from 64-bit parity masks (the bits in
-which two masks differ never outnumber the words in which the sets differ).
-What is left is verified on the full sets.
+the places of the shared word, and a bound from parity masks of 64 bits, or 256
+for longer lines (the bits in which two masks differ never outnumber the words
+in which the sets differ). What is left is verified on the full sets.
 
 Equal sets count once. In the list of a word each line first meets the earliest
 lines of the list only; most near copies are settled by that. Only lines that
@@ -31,36 +31,73 @@ SLOTS = 1 << 16
 HUBS = 4
 # Lists of words more frequent than this are dealt out in cells of about this size.
 CELL = 200_000
-WHITE = "[ \\t\\n\\x0B\\f\\r]+"
+# Lines of more words have masks of four longs.
+WIDE = 48
+# A word's number: its level of frequency in the top byte, 56 bits of its hash below.
+LEVEL_BITS = 56
 
 
-def line_words(line: Column) -> Column:
-    """Hashes of the distinct words of a line, A-Z lower-cased."""
-    lowered = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_distinct(F.transform(F.array_remove(F.split(lowered, WHITE), ""), lambda w: F.xxhash64(w)))
+def _split_words(text: Column) -> Column:
+    """Words of a text, A-Z lower-cased, with empty strings between repeated white space.
+
+    The bytes are read as Latin-1, so that lower-casing works on single bytes.
+    It also moves the first bytes of two-byte and some other characters, but the number of
+    bytes that follow still tells them apart: different words stay different.
+    """
+    plain = F.lower(F.decode(text.cast("binary"), "ISO-8859-1"))
+    for white in "\t\n\x0b\f\r":
+        plain = F.replace(plain, F.lit(white), F.lit(" "))
+    return F.split(plain, " ")
 
 
 def _slot(word: Column) -> Column:
-    return F.pmod(word, F.lit(SLOTS)).cast("int")
+    return word.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
 
 
-def rarity(docs: DataFrame, text: str) -> bytearray:
-    """One byte per slot of hashed words: a quarter-step logarithm of their count in all texts."""
-    lowered = F.translate(field(docs, text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = docs.select(F.explode(F.split(lowered, WHITE)).alias("word")).where("word <> ''")
+def rarity(docs: DataFrame, text: str) -> Column:
+    """An array with one level per slot of hashed words: a quarter-step logarithm of their count in all texts."""
+    words = docs.select(F.explode(_split_words(field(docs, text))).alias("word")).where("word <> ''")
     counted = words.groupBy(_slot(F.xxhash64("word")).alias("slot")).agg(F.count("*").alias("n"))
-    table = bytearray(SLOTS)
+    levels = [0] * SLOTS
     for row in counted.collect():
-        table[row["slot"]] = min(255, 1 + int(4 * math.log2(row["n"])))
-    return table
+        levels[row["slot"]] = min(127, 1 + int(4 * math.log2(row["n"])))
+    # A constant that the optimizer folds; an array of as many literals would be a huge expression.
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
+
 
+def line_words(line: Column, levels: Column) -> Column:
+    """Sorted numbers of the distinct words of a line, the rarest first."""
+    hashes = F.array_distinct(F.transform(F.array_remove(_split_words(line), ""), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(hashes, lambda w: F.call_function("shiftleft", F.get(levels, _slot(w)), F.lit(LEVEL_BITS)).bitwiseOR(
+        F.call_function("shiftrightunsigned", w, F.lit(64 - LEVEL_BITS)))))
 
-def _lines(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """(doc, key, no, h): every line of every text with its word hashes."""
-    split = docs.where(field(docs, ident).isNotNull()).select(
+
+def _split_lines(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    """(doc, key, no, line): every line of every text."""
+    return docs.where(field(docs, ident).isNotNull()).select(
         field(docs, ident).cast("long").alias("doc"), text_key(docs, ident, text).alias("key"),
         F.posexplode(F.split(field(docs, text), "\n", -1)).alias("no", "line"))
-    return split.select("doc", "key", "no", F.explode(F.array(line_words(F.col("line")))).alias("h"))
+
+
+def _masks(words: Column) -> list[Column]:
+    """Four longs: the parity mask of 256 bits of a longer line; of a shorter one 64 bits and three zeros.
+
+    The exclusive or of all four is the mask of 64 bits in either case.
+    """
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def bit(w: Column) -> Column:
+        return F.call_function("shiftleft", one, F.call_function("shiftright", w, F.lit(20)).bitwiseAND(F.lit(63)).cast("int"))
+
+    def part(w: Column) -> Column:
+        return F.call_function("shiftright", w, F.lit(26)).bitwiseAND(F.lit(3))
+
+    def parity(k: int) -> Column:
+        return F.aggregate(words, none, lambda bits, w: F.when(part(w) == k, bits.bitwiseXOR(bit(w))).otherwise(bits))
+
+    wide = F.size(words) > WIDE
+    narrow = F.aggregate(words, none, lambda bits, w: bits.bitwiseXOR(bit(w)))
+    return [F.when(wide, parity(k)).otherwise(none if k else narrow) for k in range(4)]
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -79,63 +116,71 @@ def _passes(a: Column, b: Column, percent: int) -> Column:
     n, m, i, j = a["n"], b["n"], a["at"], b["at"]
     need = _needed(n, m, percent)
     reach = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    differ = F.bit_count(a["mask"].bitwiseXOR(b["mask"]))
+    apart = [a[f"m{k}"].bitwiseXOR(b[f"m{k}"]) for k in range(4)]
+    narrow = F.bit_count(apart[0].bitwiseXOR(apart[1]).bitwiseXOR(apart[2]).bitwiseXOR(apart[3]))
+    wide = F.bit_count(apart[0]) + F.bit_count(apart[1]) + F.bit_count(apart[2]) + F.bit_count(apart[3])
+    differ = F.when((n > WIDE) & (m > WIDE), wide).otherwise(narrow)
     return ((a["name"] != b["name"]) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
             & (reach >= need) & (differ <= n + m - 2 * need) & ((n != m) | (need < n)))
 
 
-def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, text: str, percent: int) -> DataFrame:
+def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, text: str, percent: int, levels: Column) -> DataFrame:
     """(name): sets with an earlier similar set, among the candidate ``pairs`` (a, b)."""
     pairs = saved(pairs.distinct(), "pairs")
     names = saved(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct(), "names")
-    known = saved(firsts.join(hinted(names), "name"), "first")
-    homes = hinted(saved(known.select(F.col("first.doc").alias("home")).distinct(), "homes"))
-    near = docs.join(homes, field(docs, ident).cast("long") == homes["home"], "left_semi")
-    full = _lines(near, ident, text).select(F.xxhash64(F.array_sort("h")).alias("name"), "h").join(hinted(names), "name").dropDuplicates(["name"])
-    full = saved(full.join(hinted(known), "name"), "full")
+    known = saved(firsts.join(hinted(names), "name").select(F.col("name"), F.col("first"), F.col("first.doc").alias("doc"),
+                                                            F.col("first.key").alias("key"), F.col("first.no").alias("no")), "first")
+    # Only the first line of each set is split and hashed again.
+    near = _split_lines(docs, ident, text).join(hinted(known), ["doc", "key", "no"])
+    full = near.select("name", "first", F.explode(F.array(line_words(F.col("line"), levels))).alias("h")).dropDuplicates(["name"])
+    full = saved(full, "full")
     one, two = (full.select(F.col("name").alias(s), F.col("h").alias(f"{s}_h"), F.col("first").alias(f"{s}_first")) for s in "ab")
     both = pairs.join(one, "a").join(two, "b")
     shared = F.size(F.array_intersect("a_h", "b_h"))
     similar = shared * 100 >= (F.size("a_h") + F.size("b_h") - shared) * percent
-    return saved(both.where(similar).select(F.when(F.col("a_first") < F.col("b_first"), F.col("b")).otherwise(F.col("a")).alias("name")), "settled")
+    late = F.when(F.col("a_first") < F.col("b_first"), F.col("b")).otherwise(F.col("a"))
+    return saved(both.where(similar).select(late.alias("name")).distinct(), "settled")
 
 
 def removed_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", percent: int = 80, least: int = 5) -> DataFrame:
     """(doc, key, no): lines that go, see ``dedup_lines``."""
-    table = F.lit(rarity(docs, text))
-    lines = _lines(docs, ident, text).where(F.size("h") >= least)
+    levels = rarity(docs, text)
     place = F.struct("doc", "key", "no")
-    named = saved(lines.select("doc", "key", "no", F.xxhash64(F.array_sort("h")).alias("name")), "lines")
+    hashed = _split_lines(docs, ident, text).select("doc", "key", "no", F.explode(F.array(line_words(F.col("line"), levels))).alias("h"))
+    size = F.size("h")
+    lines = saved(hashed.where(size >= least).select(
+        "doc", "key", "no", F.xxhash64("h").alias("name"), size.alias("n"), *[m.alias(f"m{k}") for k, m in enumerate(_masks(F.col("h")))],
+        F.slice("h", F.lit(1), _prefix(size, percent)).alias("rare")), "lines")
+    named = lines.select("doc", "key", "no", "name")
     firsts = saved(named.groupBy("name").agg(F.min(place).alias("first")), "firsts")
-    mask = F.aggregate("h", F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.call_function("shiftright", w, F.lit(20)), F.lit(64)).cast("int"))))
-    ranked = F.array_sort(F.transform("h", lambda w: F.struct(F.substring(table, _slot(w) + 1, F.lit(1)).alias("level"), w.alias("word"))))
-    rare = F.transform(F.slice(ranked, F.lit(1), _prefix(F.size("h"), percent)), lambda s: s["word"])
-    whole = lines.select(F.xxhash64(F.array_sort("h")).alias("name"), F.struct(
-        "doc", F.size("h").alias("n"), mask.alias("mask"), rare.alias("rare")).alias("it"))
-    sets = whole.groupBy("name").agg(F.min("it").alias("it"))
-    listed = sets.select("name", F.col("it.doc").alias("doc"), F.col("it.n").alias("n"), F.col("it.mask").alias("mask"),
-                         F.posexplode("it.rare").alias("at", "word"))
+    bits = [f"m{k}" for k in range(4)]
+    sets = lines.select("name", F.struct("doc", "n", *bits, "rare").alias("it")).groupBy("name").agg(F.min("it").alias("it"))
+    listed = sets.select("name", *[F.col(f"it.{c}").alias(c) for c in ("doc", "n", *bits)], F.posexplode("it.rare").alias("at", "word"))
     # A frequent word's list is dealt out by the set's name; its cells meet in the last step.
-    level = F.conv(F.hex(F.substring(table, _slot(F.col("word")) + 1, F.lit(1))), 16, 10).cast("int")
+    level = F.call_function("shiftrightunsigned", F.col("word"), F.lit(LEVEL_BITS))
     cells = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2.0), level / 4) / CELL).cast("int"))
-    entry = listed.select("word", F.pmod("name", cells).alias("cell"), (cells > 1).alias("dealt"), "doc", F.struct("name", "n", "at", "mask").alias("me"))
+    entry = listed.select("word", F.pmod("name", cells).alias("cell"), (cells > 1).alias("dealt"), "doc", F.struct("name", "n", "at", *bits).alias("me"))
     order = Window.partitionBy("word", "cell").orderBy("doc", "me.name").rowsBetween(Window.unboundedPreceding, -1)
     all_of = Window.partitionBy("word", "cell")
-    first = [F.nth_value("me", k).over(order) for k in range(1, HUBS + 1)]
-    hubs = F.array_compact(F.array(*first))
-    close = F.transform(F.filter(hubs, lambda hub: _passes(F.col("me"), hub, percent)), lambda hub: hub["name"])
-    listed = entry.select("word", "dealt", "doc", "me", close.alias("close"), F.count("*").over(all_of).alias("c"))
+    hubs = [f"hub{k}" for k in range(1, HUBS + 1)]
+    first = [F.nth_value("me", k).over(order).alias(hub) for k, hub in enumerate(hubs, 1)]
+    met = entry.select("word", "dealt", "doc", "me", *first, F.count("*").over(all_of).alias("c"))
+    close = F.array_compact(F.array(*[F.when(_passes(F.col("me"), F.col(hub), percent), F.col(hub)["name"]) for hub in hubs]))
     longer = (F.col("c") > HUBS + 1) | F.col("dealt")
-    met = saved(listed.select("word", "doc", "me", "close", longer.alias("open")).where("open or size(close) > 0"), "lists")
+    met = saved(met.where("c > 1 or dealt").select("word", "doc", "me", close.alias("close"), longer.alias("open")).where("open or size(close) > 0"), "lists")
     pairs = met.select(F.col("me.name").alias("a"), F.explode("close").alias("b"))
-    settled = _settled(pairs, firsts, docs, ident, text, percent)
+    settled = _settled(pairs, firsts, docs, ident, text, percent, levels)
+    # Both sides of the join below are the same frame, so it is shuffled once.
+    marks = settled.select(F.col("name").alias("settled"))
     rest = met.where("open").select("word", "doc", "me")
-    unsettled = rest.join(hinted(settled.distinct()), rest["me.name"] == settled["name"], "left_anti")
-    others = rest.select("word", F.col("doc").alias("other_doc"), F.col("me").alias("other"))
-    more = unsettled.join(others, "word").where((F.col("other_doc") <= F.col("doc")) & _passes(F.col("me"), F.col("other"), percent)).select(
-        F.col("me.name").alias("a"), F.col("other.name").alias("b"))
-    late = _settled(more, firsts, docs, ident, text, percent)
+    rest = rest.join(hinted(marks), rest["me.name"] == marks["settled"], "left").select("word", "doc", "me", F.col("settled").isNotNull().alias("done"))
+    one, two = rest.alias("one"), rest.alias("two")
+    a_done, b_done, a_doc, b_doc = (F.col(c) for c in ("one.done", "two.done", "one.doc", "two.doc"))
+    # The later of both must be unsettled; of two lines in one document either.
+    asked = F.when(a_doc > b_doc, ~a_done).when(a_doc < b_doc, ~b_done).otherwise(~a_done | ~b_done)
+    more = one.join(two, (F.col("one.word") == F.col("two.word")) & (F.col("one.me.name") < F.col("two.me.name")) & asked
+                    & _passes(F.col("one.me"), F.col("two.me"), percent)).select(F.col("one.me.name").alias("a"), F.col("two.me.name").alias("b"))
+    late = _settled(more, firsts, docs, ident, text, percent, levels)
     gone = saved(settled.union(late).distinct().withColumn("gone", F.lit(True)), "gone")
     judged = named.join(firsts, "name").join(hinted(gone), "name", "left")
     return judged.where(F.col("gone") | (place != F.col("first"))).select("doc", "key", "no")

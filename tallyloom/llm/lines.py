@@ -5,7 +5,7 @@ of word counts of fixed size (hashed, so a count may be too high, never too
 low; any order that is the same for all lines gives the exact result, rarity
 only makes it fast). Two sets that are similar enough share a word among the
 first few of both. Candidates must pass the length bound, the bound given by
-the places of the shared word, and a bound from parity masks of 64 bits, or 256
+the places of the shared word, and a bound from parity masks of 64 bits, or 128
 for longer lines (the bits in which two masks differ never outnumber the words
 in which the sets differ). What is left is verified on the full sets.
 
@@ -31,7 +31,7 @@ SLOTS = 1 << 16
 HUBS = 4
 # Lists of words more frequent than this are dealt out in cells of about this size.
 CELL = 200_000
-# Lines of more words have masks of four longs.
+# Lines of more words have masks of two longs.
 WIDE = 48
 # A word's number: its level of frequency in the top byte, 56 bits of its hash below.
 LEVEL_BITS = 56
@@ -74,15 +74,16 @@ def line_words(line: Column, levels: Column) -> Column:
 
 def _split_lines(docs: DataFrame, ident: str, text: str) -> DataFrame:
     """(doc, key, no, line): every line of every text."""
-    return docs.where(field(docs, ident).isNotNull()).select(
-        field(docs, ident).cast("long").alias("doc"), text_key(docs, ident, text).alias("key"),
-        F.posexplode(F.split(field(docs, text), "\n", -1)).alias("no", "line"))
+    # The key reads the whole text: it is taken before the lines are, once per document.
+    keyed = docs.where(field(docs, ident).isNotNull()).select(
+        field(docs, ident).cast("long").alias("doc"), text_key(docs, ident, text).alias("key"), field(docs, text).alias("text"))
+    return keyed.select("doc", "key", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
 
 
 def _masks(words: Column) -> list[Column]:
-    """Four longs: the parity mask of 256 bits of a longer line; of a shorter one 64 bits and three zeros.
+    """Two longs: the parity mask of 128 bits of a longer line; of a shorter one 64 bits and a zero.
 
-    The exclusive or of all four is the mask of 64 bits in either case.
+    The exclusive or of both is the mask of 64 bits in either case.
     """
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
@@ -90,14 +91,14 @@ def _masks(words: Column) -> list[Column]:
         return F.call_function("shiftleft", one, F.call_function("shiftright", w, F.lit(20)).bitwiseAND(F.lit(63)).cast("int"))
 
     def part(w: Column) -> Column:
-        return F.call_function("shiftright", w, F.lit(26)).bitwiseAND(F.lit(3))
+        return F.call_function("shiftright", w, F.lit(26)).bitwiseAND(F.lit(1))
 
     def parity(k: int) -> Column:
         return F.aggregate(words, none, lambda bits, w: F.when(part(w) == k, bits.bitwiseXOR(bit(w))).otherwise(bits))
 
     wide = F.size(words) > WIDE
     narrow = F.aggregate(words, none, lambda bits, w: bits.bitwiseXOR(bit(w)))
-    return [F.when(wide, parity(k)).otherwise(none if k else narrow) for k in range(4)]
+    return [F.when(wide, parity(k)).otherwise(none if k else narrow) for k in range(2)]
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -116,9 +117,9 @@ def _passes(a: Column, b: Column, percent: int) -> Column:
     n, m, i, j = a["n"], b["n"], a["at"], b["at"]
     need = _needed(n, m, percent)
     reach = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    apart = [a[f"m{k}"].bitwiseXOR(b[f"m{k}"]) for k in range(4)]
-    narrow = F.bit_count(apart[0].bitwiseXOR(apart[1]).bitwiseXOR(apart[2]).bitwiseXOR(apart[3]))
-    wide = F.bit_count(apart[0]) + F.bit_count(apart[1]) + F.bit_count(apart[2]) + F.bit_count(apart[3])
+    apart = [a[f"m{k}"].bitwiseXOR(b[f"m{k}"]) for k in range(2)]
+    narrow = F.bit_count(apart[0].bitwiseXOR(apart[1]))
+    wide = F.bit_count(apart[0]) + F.bit_count(apart[1])
     differ = F.when((n > WIDE) & (m > WIDE), wide).otherwise(narrow)
     return ((a["name"] != b["name"]) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
             & (reach >= need) & (differ <= n + m - 2 * need) & ((n != m) | (need < n)))
@@ -153,29 +154,34 @@ def removed_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", pe
         F.slice("h", F.lit(1), _prefix(size, percent)).alias("rare")), "lines")
     named = lines.select("doc", "key", "no", "name")
     firsts = saved(named.groupBy("name").agg(F.min(place).alias("first")), "firsts")
-    bits = [f"m{k}" for k in range(4)]
+    bits = ["m0", "m1"]
     sets = lines.select("name", F.struct("doc", "n", *bits, "rare").alias("it")).groupBy("name").agg(F.min("it").alias("it"))
     listed = sets.select("name", *[F.col(f"it.{c}").alias(c) for c in ("doc", "n", *bits)], F.posexplode("it.rare").alias("at", "word"))
     # A frequent word's list is dealt out by the set's name; its cells meet in the last step.
     level = F.call_function("shiftrightunsigned", F.col("word"), F.lit(LEVEL_BITS))
     cells = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2.0), level / 4) / CELL).cast("int"))
-    entry = listed.select("word", F.pmod("name", cells).alias("cell"), (cells > 1).alias("dealt"), "doc", F.struct("name", "n", "at", *bits).alias("me"))
-    order = Window.partitionBy("word", "cell").orderBy("doc", "me.name").rowsBetween(Window.unboundedPreceding, -1)
-    all_of = Window.partitionBy("word", "cell")
+    entry = listed.select("word", F.pmod("name", cells).alias("cell"), (cells > 1).alias("dealt"), F.struct("doc", "name", "n", "at", *bits).alias("me"))
+    whole = Window.partitionBy("word", "cell").orderBy("me.doc", "me.name").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     hubs = [f"hub{k}" for k in range(1, HUBS + 1)]
-    first = [F.nth_value("me", k).over(order).alias(hub) for k, hub in enumerate(hubs, 1)]
-    met = entry.select("word", "dealt", "doc", "me", *first, F.count("*").over(all_of).alias("c"))
-    close = F.array_compact(F.array(*[F.when(_passes(F.col("me"), F.col(hub), percent), F.col(hub)["name"]) for hub in hubs]))
+    first = [F.nth_value("me", k).over(whole).alias(hub) for k, hub in enumerate(hubs, 1)]
+    met = entry.select("word", "dealt", "me", *first, F.count("*").over(whole).alias("c"))
+
+    def met_before(hub: Column) -> Column:
+        me = F.col("me")
+        earlier = (hub["doc"] < me["doc"]) | ((hub["doc"] == me["doc"]) & (hub["name"] < me["name"]))
+        return F.when(earlier & _passes(me, hub, percent), hub["name"])
+
+    close = F.array_compact(F.array(*[met_before(F.col(hub)) for hub in hubs]))
     longer = (F.col("c") > HUBS + 1) | F.col("dealt")
-    met = saved(met.where("c > 1 or dealt").select("word", "doc", "me", close.alias("close"), longer.alias("open")).where("open or size(close) > 0"), "lists")
+    met = saved(met.where("c > 1 or dealt").select("word", "me", close.alias("close"), longer.alias("open")).where("open or size(close) > 0"), "lists")
     pairs = met.select(F.col("me.name").alias("a"), F.explode("close").alias("b"))
     settled = _settled(pairs, firsts, docs, ident, text, percent, levels)
     # Both sides of the join below are the same frame, so it is shuffled once.
     marks = settled.select(F.col("name").alias("settled"))
-    rest = met.where("open").select("word", "doc", "me")
-    rest = rest.join(hinted(marks), rest["me.name"] == marks["settled"], "left").select("word", "doc", "me", F.col("settled").isNotNull().alias("done"))
+    rest = met.where("open").select("word", "me")
+    rest = rest.join(hinted(marks), rest["me.name"] == marks["settled"], "left").select("word", "me", F.col("settled").isNotNull().alias("done"))
     one, two = rest.alias("one"), rest.alias("two")
-    a_done, b_done, a_doc, b_doc = (F.col(c) for c in ("one.done", "two.done", "one.doc", "two.doc"))
+    a_done, b_done, a_doc, b_doc = (F.col(c) for c in ("one.done", "two.done", "one.me.doc", "two.me.doc"))
     # The later of both must be unsettled; of two lines in one document either.
     asked = F.when(a_doc > b_doc, ~a_done).when(a_doc < b_doc, ~b_done).otherwise(~a_done | ~b_done)
     more = one.join(two, (F.col("one.word") == F.col("two.word")) & (F.col("one.me.name") < F.col("two.me.name")) & asked

@@ -242,6 +242,26 @@ def test_line_dedup_by_hand(spark):
     assert lines.dedup_lines(table(spark, rows).limit(0)).count() == 0
 
 
+def test_long_lines_and_letters_beyond_ascii(spark):
+    """Lines on both sides of the mask widths; only A-Z are lower-cased; white space of any kind separates."""
+    rng = random.Random(4)
+    pool = [f"{a}{n}" for n in range(150) for a in ("É", "é", "ß", "ж", "Ж", "語", "𝒳", "x", "X")]
+    made = []
+    for n in (8, 30, 46, 50, 54, 90, 160, 400):
+        base = rng.sample(pool, n)
+        for change in (0, 1, n // 10, n // 9, n // 8, n // 4):
+            near = base[change:] + rng.sample(pool, change)
+            rng.shuffle(near)
+            made.append(rng.choice([" ", "\t", "\x0b", "\f ", "\r"]).join(near))
+    rng.shuffle(made)
+    rows = [(i, "\n".join(made[6 * i:6 * i + 6])) for i in range(8)]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = [set(re.split("[ \t\x0b\f\r]+", m.translate(lower))) for m in made]
+    expected = {(j // 6, j % 6) for j, b in enumerate(sets) if any(100 * len(a & b) >= 80 * len(a | b) for a in sets[:j])}
+    got = {(r["doc"], r["no"]) for r in lines.removed_lines(table(spark, rows)).collect()}
+    assert got == expected and 8 < len(expected) < 40
+
+
 def test_chats_by_hand(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (3, 5, "user", "hi"), (3, 6, "assistant", "yo"),
             (3, 7, "user", None), (4, None, None, "x"), (None, 0, "user", "hi"), (6, 0, "user", "yo"), (5, 0, "user", "yo")]

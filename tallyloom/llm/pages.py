@@ -8,11 +8,11 @@ template, one that says something else each time is content. Branches of low
 importance leave each page. Counts are aggregates by host and node, so a host
 with very many pages is spread over its nodes and pre-aggregated.
 
-A page that marks its article (article or main element) is cut to it first, and
-inside the article only elements that are something else by their kind or name
-(menus, forms, adverts, comments, ...) leave: text that several articles share
-is still text. For the other pages the tree decides, next to the same kinds and
-names.
+The tree holds the whole page. A page that marks its article (article or main
+element) is cut to it first; a mark only raises importance: the marked element
+itself stays, its branches of low importance leave as on any other page, and an
+article of which nothing would be left stays whole. Elements that are something
+else by their kind or name (menus, forms, adverts, comments, ...) leave too.
 """
 
 from __future__ import annotations
@@ -141,10 +141,14 @@ def parse(page: str) -> Node:
     return root
 
 
-def _blocks(top: Node, low: frozenset | set, out: list[str], line: list[str]) -> None:
-    """Adds the blocks of ``top`` in page order; no recursion, pages may nest deeply."""
+def _blocks(top: Node, low: frozenset | set, out: list[str], line: list[str], spans: list | None = None) -> None:
+    """Adds the blocks of ``top`` in page order; no recursion, pages may nest deeply.
+
+    ``spans`` gets (node, start, end) of each block element below: its blocks are out[start:end].
+    """
     stack: list = [iter(top.children)]
     owner: list[Node] = [top]
+    starts: list[int] = [0]
 
     def finish() -> None:
         text = " ".join(html.unescape("".join(line)).split())
@@ -156,8 +160,11 @@ def _blocks(top: Node, low: frozenset | set, out: list[str], line: list[str]) ->
         child = next(stack[-1], None)
         if child is None:
             stack.pop()
-            if owner.pop().tag in BLOCKS:
+            node, start = owner.pop(), starts.pop()
+            if node.tag in BLOCKS:
                 finish()
+                if spans is not None and node is not top:
+                    spans.append((node, start, len(out)))
         elif isinstance(child, str):
             line.append(child)
         elif child.tag in ("br", "wbr", "img", "hr"):
@@ -165,7 +172,7 @@ def _blocks(top: Node, low: frozenset | set, out: list[str], line: list[str]) ->
                 finish()
             elif child.tag == "br":
                 line.append(" ")
-        elif child.noise or child.path in low:
+        elif child.noise or child.path in low and not child.main:
             if child.tag in BLOCKS or child.tag in SKIP:
                 finish()
         else:
@@ -173,6 +180,7 @@ def _blocks(top: Node, low: frozenset | set, out: list[str], line: list[str]) ->
                 finish()
             stack.append(iter(child.children))
             owner.append(child)
+            starts.append(len(out))
     finish()
 
 
@@ -201,33 +209,30 @@ def main_text(page: str | None, low: frozenset | set = frozenset()) -> str:
     """Blocks of the main text joined by line feeds; ``low``: paths of low importance on this host."""
     top = parse(page or "")
     roots, out = [_narrowed(r) for r in _roots(top)], []
-    for root in roots or [top]:
-        _blocks(root, frozenset() if roots else low, out, [])
-    if not out and roots:
-        _blocks(top, low, out, [])
+    # The article less its low branches, else all of it, else the page.
+    for parts, away in ((roots, low), (roots, frozenset()), ([top], low)):
+        for part in parts:
+            _blocks(part, away, out, [])
+        if out:
+            break
     return "\n".join(out)
 
 
 def style_nodes(page: str | None) -> list[tuple[int, int, int, int]]:
-    """(path, content, children, first) of the block elements outside marked articles and noise.
+    """(path, content, children, first) of the block elements outside noise, marked articles included.
 
     Siblings of one style are one node with several contents; each different
     one is listed once, ``first`` is 1 once per node and page.
     """
     rows: dict[tuple[int, int, int], int] = {}
-    stack, seen = [parse(page or "")], set()
-    while stack:
-        node = stack.pop()
-        inner = [c for c in node.children if isinstance(c, Node)]
-        stack += [c for c in inner if not c.noise and not c.main]
-        if node.tag in BLOCKS and node.parent is not None:
-            content: list[str] = []
-            _blocks(node, frozenset(), content, [])
-            shape = ",".join(str(c.path) for c in inner)
-            row = (node.path, xxhash.xxh3_64_intdigest("\n".join(content).encode()), xxhash.xxh3_64_intdigest(shape.encode()))
-            if row not in rows:
-                rows[row] = int(node.path not in seen)
-                seen.add(node.path)
+    seen, out, spans = set(), [], []
+    _blocks(parse(page or ""), frozenset(), out, [], spans)
+    for node, start, end in spans:
+        shape = ",".join(str(c.path) for c in node.children if isinstance(c, Node))
+        row = (node.path, xxhash.xxh3_64_intdigest("\n".join(out[start:end]).encode()), xxhash.xxh3_64_intdigest(shape.encode()))
+        if row not in rows:
+            rows[row] = int(node.path not in seen)
+            seen.add(node.path)
     return [(*row, first) for row, first in rows.items()]
 
 

@@ -291,6 +291,18 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert pages.extract_text(df.limit(0)).count() == 0
 
 
+def test_style_tree_decides_inside_articles(spark):
+    page = "<main><div class=box>same on all</div><article><div class=box>same too</div><h1>title {0}</h1><p>text {0}</p></article></main>"
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(12)]
+    # Another host says the same on all pages: its articles stay whole.
+    rows += [(20 + i, f"http://mirror.example/{i}", "<div>site</div><article><p>one text</p></article>") for i in range(12)]
+    # A third one marks half of its pages.
+    rows += [(40 + i, f"http://half.example/{i}", f"<{'article' if i % 2 else 'section'}><p class=by>staff</p><p>body {i}</p>") for i in range(24)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.extract_text(df).collect()}
+    assert got == {**{i: f"title {i}\ntext {i}" for i in range(12)}, **{20 + i: "one text" for i in range(12)}, **{40 + i: f"body {i}" for i in range(24)}}
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_packages_are_zip_files(zip64):
     package = archives.Package(zip64)

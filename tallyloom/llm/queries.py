@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import archives, bpe, chats, decontaminate, lines, minhash, pages, quality, substrings, toxicity
+from tallyloom.llm import archives, bpe, chats, decontaminate, lines, minhash, pages, quality, repair, secrets, skips, substrings, toxicity
 from tallyloom.session import read_table
 
 
@@ -58,5 +58,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_html, op4_warc, op5_minhash, op6_toxicity, op7_substrings, op8_bpe, op9_line_dedup, op10_quality)}
-ORACLES: dict[str, str] = {"op1_chat_format": chats.SQL, "op2_decontamination": decontaminate.SQL, "op4_warc": archives.SQL, "op9_line_dedup": lines.SQL}
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{secrets.KINDS[kind]}")
+
+    return secrets.find_secrets(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), *map(count, range(3)), F.sha2(secrets.named(base), 256).alias("base_sha256"), secrets.named(F.col("spans")).alias("spans"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skips.fill_in_middle(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(skips.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return repair.repair_conversations(chats).withColumnRenamed("conv", "conv_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_html, op4_warc, op5_minhash, op6_toxicity, op7_substrings, op8_bpe, op9_line_dedup, op10_quality,
+                                 op11_secrets, op12_fill_in_middle, op13_repair)}
+ORACLES: dict[str, str] = {"op1_chat_format": chats.SQL, "op2_decontamination": decontaminate.SQL, "op4_warc": archives.SQL, "op9_line_dedup": lines.SQL,
+                           "op11_secrets": secrets.SQL, "op12_fill_in_middle": skips.SQL}

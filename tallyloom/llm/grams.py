@@ -7,7 +7,7 @@ import xxhash
 
 U = np.uint64
 # Words remembered per task; the memory is emptied, not grown, beyond this.
-MEMORY = 400_000
+MEMORY = 100_000
 
 
 def once_per_worker(name: str, source, make):

@@ -66,30 +66,39 @@ class _Text:
         self.anchor = anchors(grams(words, anchor), self.windows, window - anchor + 1) if self.windows else np.empty(0, dtype=U)
 
 
+def add_once(once: np.ndarray, often: np.ndarray, column: np.ndarray) -> None:
+    """Counts one document in its (sorted, distinct) columns; two packed bits tell none, one, and more."""
+    place, bit = column >> 3, np.uint8(128) >> (column & 7).astype(np.uint8)
+    start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    place, bits = place[start], np.bitwise_or.reduceat(bit, start)
+    often[place] |= once[place] & bits
+    once[place] |= bits
+
+
 def _sketch(window: int, anchor: int, depth: int, bits: int):
     def run(batches):
-        hasher, seen, total = WordHasher(), [np.zeros(2**bits, dtype=np.uint8) for _ in range(depth)], 0
+        hasher, total = WordHasher(), 0
+        # Two bits per column; pages that no anchor touches are never taken from the system.
+        once, often = (np.zeros((depth, 2**bits // 8), dtype=np.uint8) for _ in range(2))
         for batch in batches:
             for text in text_bytes(batch.column(0)):
                 found = _Text(hasher, text, window, anchor)
                 if not found.windows:
                     continue
                 total += 1
-                for counts, column in zip(seen, columns_of(np.unique(found.anchor), depth, bits)):
-                    # Distinct columns: each document adds one, two is enough to know.
-                    column = np.unique(column)
-                    counts[column] = np.minimum(counts[column] + 1, 2)
+                for row, column in enumerate(columns_of(np.unique(found.anchor), depth, bits)):
+                    add_once(once[row], often[row], np.unique(column))
         if not total:
             return
-        size = 2**min(BLOCK_BITS, bits)
-        for row, counts in enumerate(seen):
-            for block in range(len(counts) // size):
-                part = counts[block * size:(block + 1) * size]
-                once, often = (np.flatnonzero(part == k).astype(np.int32) for k in (1, 2))
-                if len(once) + len(often):
+        size = 2**min(BLOCK_BITS, bits) // 8
+        for row in range(depth):
+            for block in range(once.shape[1] // size):
+                part = slice(block * size, (block + 1) * size)
+                seen, more = once[row, part], often[row, part]
+                if seen.any():
+                    lists = [np.flatnonzero(np.unpackbits(p)).astype(np.int32).tobytes() for p in (seen & ~more, more)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([row], pa.int32()), pa.array([block], pa.int32()),
-                         pa.array([once.tobytes()], pa.binary()), pa.array([often.tobytes()], pa.binary())],
+                        [pa.array([row], pa.int32()), pa.array([block], pa.int32()), *(pa.array([d], pa.binary()) for d in lists)],
                         names=["row", "block", "once", "often"])
 
     return run

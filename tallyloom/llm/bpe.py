@@ -28,8 +28,8 @@ from tallyloom.llm.rows import field
 # Fixed value: the pieces that the vocabulary's own file splits a text into.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 WORD_END = "</w>"
-# Words and pairs remembered per task; emptied beyond this.
-MEMORY = 500_000
+# Words, pieces and pairs remembered within a task, about 250 bytes each; emptied beyond this.
+MEMORY = 50_000
 
 
 def byte_letters() -> list[str]:
@@ -129,7 +129,7 @@ class Vocabulary:
             else:
                 limit, b = made_b[0] + 1, made_b[1]
         if within is None:
-            if len(self.pairs) > 4 * MEMORY:
+            if len(self.pairs) > MEMORY:
                 self.pairs.clear()
             self.pairs[key] = good
         return good
@@ -216,9 +216,17 @@ class Vocabulary:
         return self.letters_of_tokens[place][:-1].tobytes()
 
 
+    def forget(self) -> None:
+        """Leaves the tables alone and drops what was remembered."""
+        for memory in (self.words, self.part_ids, self.pairs):
+            memory.clear()
+
+
 def _coded(sent, keep: bool):
     def run(batches):
+        # The tables stay with the worker, what a task remembered does not.
         vocabulary = once_per_worker("bpe", sent.value, Vocabulary)
+        vocabulary.forget()
         for batch in batches:
             count, ids_hash, text_hash, lists = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -233,6 +241,7 @@ def _coded(sent, keep: bool):
             if keep:
                 columns, names = [*columns, pa.array(lists, pa.list_(pa.int64()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        vocabulary.forget()
 
     return run
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.grams import once_per_worker, text_bytes
+from tallyloom.llm.grams import MEMORY, text_bytes
 from tallyloom.llm.rows import field, hinted, pick
 from tallyloom.session import saved
 
@@ -40,13 +40,13 @@ class Buckets:
     also for words without a row; a text of any length has windows of all widths.
     """
 
-    def __init__(self, _=None) -> None:
+    def __init__(self) -> None:
         self.known: dict[bytes, tuple[int, int]] = {}
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         words = (text or b"").lower().split()
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > MEMORY:
             known.clear()
         for word in set(words).difference(known):
             bare = word.strip(STRIP)
@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "
 
 def _scored(sent):
     def run(batches):
-        net, words = Net(*sent.value), once_per_worker("buckets", 1, Buckets)
+        net, words = Net(*sent.value), Buckets()
         for batch in batches:
             marks = [score(net, words(t)) for t in text_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.float64())], names=["id", "score"])

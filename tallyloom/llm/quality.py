@@ -7,9 +7,9 @@ rules by how much each adds. The other half certifies: with the first rules
 switched on one after the other, the exact (Clopper-Pearson) upper bound for
 the share of good documents rejected must stay within ``alpha``. Testing in a
 fixed order and stopping at the first failure needs no correction inside a
-stratum; the error level is divided by the number of strata (Bonferroni). With
-probability 1 - ``delta`` no stratum loses more than ``alpha`` of its good
-documents.
+stratum; the error level is divided by the number of strata with a proposal
+(Bonferroni). With probability 1 - ``delta`` no stratum loses more than
+``alpha`` of its good documents to the certified rules.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.grams import WordHasher, grams, split_words, text_bytes
-from tallyloom.llm.rows import field, own_name, pick
+from tallyloom.llm.rows import field, hinted, own_name, pick
 from tallyloom.session import saved
 
 # Measures in thousandths, larger is worse.
@@ -34,9 +34,6 @@ SPACES = b" \t\n\v\f\r"
 # Fixed values of the base rules.
 LEAST_WORDS, REPEAT_SHARE, REPEAT_WINDOW = 20, 30, 8
 CUTOFFS = (0, 5, 10, 20, 30, 50, 75, 100, 150, 200, 250, 300, 400, 500, 600, 700, 800, 900)
-# Languages with strata of their own; all others share one.
-MAX_STRATA = 64
-OTHER = "\u0000other"
 
 
 def measure(text: bytes | None, hasher: WordHasher) -> tuple[tuple[int, ...], tuple[int, ...]]:
@@ -118,76 +115,93 @@ def _level(name: str):
     return sum((F.col(name) > cut).cast("int") for cut in CUTOFFS)
 
 
+RULE_LIST = "stratum string, rules array<int>, cuts array<int>"
+
+
+def _proposed(cost: float):
+    def run(key: tuple[pa.Scalar, ...], counts: pa.Table) -> pa.Table:
+        """From one stratum's counts: rules that are worth it, the best first, each with the place of its cutoff."""
+        count = np.zeros((2, len(RULES), len(CUTOFFS) + 1))
+        for good, rule, level, n in zip(*(counts.column(c).to_pylist() for c in ("good", "rule", "level", "n"))):
+            count[int(good > 0), rule, level] += n
+        over = count[:, :, ::-1].cumsum(axis=2)[:, :, ::-1][:, :, 1:]
+        gain = over[0] - cost * over[1]
+        best = []
+        for k, name in enumerate(RULES):
+            # The most lenient of the best cutoffs.
+            at = len(CUTOFFS) - 1 - int(np.argmax(gain[k][::-1]))
+            if gain[k][at] > 0:
+                best.append((-gain[k][at], name, k, at))
+        best.sort()
+        return pa.table({"stratum": pa.array([key[0].as_py()], pa.string()), "rules": pa.array([[k for _, _, k, _ in best]], pa.list_(pa.int32())),
+                         "cuts": pa.array([[at for _, _, _, at in best]], pa.list_(pa.int32()))})
+
+    return run
+
+
+def _kept_rules(alpha: float, level: float):
+    def run(batches):
+        """The first rules of each stratum, as long as the bound holds with all of them switched on."""
+        for batch in batches:
+            rules, cuts = [], []
+            for some, at, counts in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("rules", "cuts", "counts"))):
+                by_first = {c["first"]: c["n"] for c in counts}
+                total, wrong, kept = sum(by_first.values()), 0, 0
+                for place in range(len(some)):
+                    wrong += by_first.get(place + 1, 0)
+                    if upper_bound(wrong, total, level) > alpha:
+                        break
+                    kept = place + 1
+                rules.append(some[:kept]), cuts.append([CUTOFFS[c] for c in at[:kept]])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index("stratum")), pa.array(rules, pa.list_(pa.int32())), pa.array(cuts, pa.list_(pa.int32()))],
+                names=["stratum", "rules", "cuts"])
+
+    return run
+
+
+def _hits(values) -> F.Column:
+    """For each rule of the row's list whether its value lies above the cutoff."""
+    return F.zip_with("rules", "cuts", lambda rule, cut: F.get(F.array(*values), rule) > cut)
+
+
 def certified(stats: DataFrame, labels: DataFrame, label_id: str = "doc_id", label: str = "quality",
-              alpha: float = 0.02, delta: float = 0.05, cost: float = 20.0) -> dict[str, list[tuple[str, int]]]:
-    """Rules with their certified cutoffs for each stratum.
+              alpha: float = 0.02, delta: float = 0.05, cost: float = 20.0) -> DataFrame:
+    """(stratum, rules, cuts): the certified rules of each stratum, as places in ``RULES``, with their cutoffs.
 
     ``stats`` is the (saved) result of ``measured``; ``labels`` has 1 for good
     and 0 for bad documents. A proposed cutoff must reject bad documents worth
     more than ``cost`` times the good ones. Only documents that pass the base
     rules are judged. Null labels and ids are left out; a repeated id takes its
-    largest label. What reaches the driver are counts: at most MAX_STRATA + 1
-    strata times the combinations of exceeded cutoffs, summed per rule.
+    largest label. Every stratum is decided by its own counts (a few hundred
+    numbers), however many strata there are; one with too few labelled
+    documents gets no rule. The error level is divided by the number of strata
+    for which the first half of the labels proposes anything.
     """
     known = pick(labels, id=label_id, good=label).select(F.col("id").cast("long"), F.col("good").cast("int")).where(
         "id is not null and good is not null").groupBy("id").agg(F.max("good").alias("good"))
     judged = saved(stats.where(~base_failed()).join(known, "id").select(
         "stratum", "good", (F.pmod(F.xxhash64("id"), F.lit(2)) == 0).alias("proposes"),
         *[_level(name).cast("int").alias(name) for name in RULES]), "judged")
-    strata = [r["stratum"] for r in judged.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(MAX_STRATA).collect()]
-    named = judged.withColumn("stratum", F.when(F.col("stratum").isin(strata), F.col("stratum")).otherwise(F.lit(OTHER)))
-    chosen = {}
     # For each stratum and rule: good and bad documents by how many cutoffs they exceed.
-    counts = named.where("proposes").select("stratum", "good", F.posexplode(F.array(*RULES)).alias("rule", "level")).groupBy(
-        "stratum", "good", "rule", "level").count().collect()
-    table: dict[str, np.ndarray] = {s: np.zeros((2, len(RULES), len(CUTOFFS) + 1)) for s in [*strata, OTHER]}
-    for r in counts:
-        table[r["stratum"]][int(r["good"] > 0), r["rule"], r["level"]] += r["count"]
-    for stratum, count in table.items():
-        over = count[:, :, ::-1].cumsum(axis=2)[:, :, ::-1][:, :, 1:]
-        gain = over[0] - cost * over[1]
-        best = []
-        for k, name in enumerate(RULES):
-            # The most lenient of the best cutoffs.
-            at = len(CUTOFFS) - 1 - int(np.argmax(gain[k][::-1]))
-            if gain[k][at] > 0:
-                best.append((gain[k][at], name, at))
-        chosen[stratum] = [(name, at) for _, name, at in sorted(best, key=lambda b: (-b[0], b[1]))]
-    # The first rule that rejects each good holdout document, by stratum.
-    first = F.lit(len(RULES))
-    for stratum, rules in chosen.items():
-        hit = F.lit(len(RULES))
-        for place in range(len(rules) - 1, -1, -1):
-            name, at = rules[place]
-            hit = F.when(F.col(name) > at, F.lit(place)).otherwise(hit)
-        first = F.when(F.col("stratum") == stratum, hit).otherwise(first)
-    held = named.where("not proposes and good > 0").select("stratum", first.alias("first")).groupBy("stratum", "first").count().collect()
-    level, out = delta / max(1, len(table)), {}
-    for stratum, rules in chosen.items():
-        rejected = {r["first"]: r["count"] for r in held if r["stratum"] == stratum}
-        total, wrong, kept = sum(rejected.values()), 0, []
-        for place, (name, at) in enumerate(rules):
-            wrong += rejected.get(place, 0)
-            if upper_bound(wrong, total, level) > alpha:
-                break
-            kept.append((name, CUTOFFS[at]))
-        out[stratum] = kept
-    return out
-
-
-def rejected(rules: dict[str, list[tuple[str, int]]]) -> F.Column:
-    """True when a certified rule of the row's stratum rejects it."""
-    def any_of(cuts):
-        out = F.lit(False)
-        for name, cut in cuts:
-            out = out | (F.col(name) > cut)
-        return out
-
-    verdict = any_of(rules.get(OTHER, []))
-    for stratum, cuts in rules.items():
-        if stratum != OTHER:
-            verdict = F.when(F.col("stratum") == stratum, any_of(cuts)).otherwise(verdict)
-    return verdict
+    counts = judged.where("proposes").select("stratum", "good", F.posexplode(F.array(*RULES)).alias("rule", "level")).groupBy(
+        "stratum", "good", "rule", "level").agg(F.count("*").alias("n"))
+    proposed = saved(counts.groupBy("stratum").applyInArrow(_proposed(cost), RULE_LIST).where(F.size("rules") > 0), "proposed")
+    level = delta / max(1, proposed.count())
+    # The first rule that rejects each good holdout document; 0 if none does.
+    held = judged.where("not proposes and good > 0").join(hinted(proposed, 128), "stratum")
+    first = F.array_position(_hits(RULES), True).cast("int")
+    by_first = held.select("stratum", first.alias("first")).groupBy("stratum", "first").agg(F.count("*").alias("n"))
+    seen = by_first.groupBy("stratum").agg(F.collect_list(F.struct("first", "n")).alias("counts"))
+    tested = proposed.join(seen, "stratum").mapInArrow(_kept_rules(alpha, level), RULE_LIST)
+    return saved(tested.where(F.size("rules") > 0), "certified")
+
+
+def _with_verdict(stats: DataFrame, rules: DataFrame, name: str) -> DataFrame:
+    """``stats`` with the column ``name``: whether a certified rule of the row's stratum rejects it."""
+    away = rules.withColumnRenamed("stratum", "ruled")
+    joined = stats.join(hinted(away, 128), stats["stratum"] == away["ruled"], "left")
+    return joined.withColumn(name, F.coalesce(F.exists(_hits(RULES), lambda hit: hit), F.lit(False)))
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text",
@@ -203,7 +217,8 @@ def judge_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", tex
     stats = saved(measured(docs, ident, text, stratum), "measures")
     rules = certified(stats, labels, alpha=alpha, delta=delta)
     failed = base_failed()
-    return stats.select("id", *BASE, failed.alias("base_failed"), (~failed & ~rejected(rules)).alias("kept"))
+    return _with_verdict(stats, rules, "rejected").select(
+        "id", *BASE, failed.alias("base_failed"), (~failed & ~F.col("rejected")).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text",
@@ -221,4 +236,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: s
     carried = whole.toDF(*names, "stratum", "text")
     schema = ", ".join(f"{n} {t}" for n, t in zip(names, (t for _, t in docs.dtypes)))
     judged = carried.mapInArrow(_measured, (schema + ", " if schema else "") + "stratum string, " + MEASURED)
-    return judged.where(~base_failed() & ~rejected(rules)).select(*names).toDF(*docs.columns)
+    return _with_verdict(judged.where(~base_failed()), rules, "rejected").where("not rejected").select(*names).toDF(*docs.columns)

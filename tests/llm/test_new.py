@@ -10,10 +10,11 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from tallyloom.llm import repair, secrets, skips
+from tallyloom.llm import grams, quality, repair, secrets, skips, substrings
 from tallyloom.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -332,3 +333,75 @@ def test_secret_sql_agrees_at_a_larger_size(spark):
     con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
     want = sorted(con.sql(f"SELECT doc_id, n_assign, n_access, n_hex, base_sha256, spans FROM ({secrets.SQL})").fetchall())
     assert sorted(tuple(r) for r in QUERIES["op11_secrets"](spark, "/root/testdata/sf0.01").collect()) == want
+
+
+# --- mended operators
+
+
+def quality_by_hand(rows, labels, alpha=0.02, delta=0.05, cost=20):
+    """{id: kept} from plain loops over the documents; ``halves`` tells which labels propose."""
+    hasher = grams.WordHasher()
+    stats = {i: quality.measure(t.encode() if t else None, hasher) for i, t, _, _ in rows}
+    passed = {i: not (b[0] < 20 or 100 * b[4] > 30 * b[0]) for i, (b, _) in stats.items()}
+    over = lambda i, rule, cut: stats[i][1][rule] > cut
+    plans = {}
+    for lang in {lang for _, _, lang, _ in rows}:
+        judged = [i for i, _, own, half in rows if own == lang and passed[i] and i in labels and half]
+        gains = []
+        for rule, name in enumerate(quality.RULES):
+            options = [(sum((1 if not labels[i] else -cost) for i in judged if over(i, rule, c)), c) for c in quality.CUTOFFS]
+            gain, cut = max(options)
+            if gain > 0:
+                gains.append((-gain, name, rule, cut))
+        if gains:
+            plans[lang] = [(rule, cut) for _, _, rule, cut in sorted(gains)]
+    certified = {}
+    for lang, plan in plans.items():
+        good = [i for i, _, own, half in rows if own == lang and passed[i] and labels.get(i) and not half]
+        certified[lang] = []
+        for k in range(len(plan)):
+            wrong = sum(any(over(i, r, c) for r, c in plan[:k + 1]) for i in good)
+            if not good or quality.upper_bound(wrong, len(good), delta / len(plans)) > alpha:
+                break
+            certified[lang] = plan[:k + 1]
+    return {i: passed[i] and not any(over(i, r, c) for r, c in certified.get(lang, [])) for i, _, lang, _ in rows}, certified
+
+
+def test_every_language_has_its_own_cutoffs(spark):
+    """125 languages; those with few labels lose nothing, the large ones get rules; the same as plain loops."""
+    rng = random.Random(1)
+    rows, labels = [], {}
+    for lang in range(125):
+        for k in range(900 if lang < 2 else 14):
+            ident = 10_000 * lang + k
+            bad = lang < 2 and k % 3 == 0
+            mark = " $$$ %%%" if bad or lang >= 2 else ""
+            rows.append((ident, " ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) + mark * rng.randrange(2, 6), f"l{lang}"))
+            labels[ident] = int(not bad)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    halves = {r["doc_id"]: r["h"] for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id), 2) = 0 as h").collect()}
+    want, certified = quality_by_hand([(i, t, lang, halves[i]) for i, t, lang in rows], labels)
+    marks = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    got = {r["id"]: r["kept"] for r in quality.judge_quality(docs, marks).collect()}
+    assert got == want
+    assert certified["l0"] and certified["l1"]
+    assert all(got[i] for i, _, lang in rows if lang not in ("l0", "l1"))
+    assert {r["doc_id"] for r in quality.keep_good(docs, marks).collect()} == {i for i, kept in want.items() if kept}
+
+
+def test_quality_query_against_plain_loops(spark):
+    docs = pq.read_table(f"{SF}/documents.parquet").to_pylist()
+    labels = {r["doc_id"]: int(r["quality"] > 0) for r in pq.read_table(f"{SF}/labels.parquet").to_pylist() if r["quality"] is not None}
+    halves = {r["doc_id"]: r["h"] for r in spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "pmod(xxhash64(doc_id), 2) = 0 as h").collect()}
+    want, _ = quality_by_hand([(d["doc_id"], d["text"], d["lang"], halves[d["doc_id"]]) for d in docs], labels)
+    assert {r["doc_id"]: r["kept"] for r in QUERIES["op10_quality"](spark, SF).collect()} == want
+
+
+def test_sketch_counts_one_and_more():
+    rng = np.random.default_rng(3)
+    once, often, plain = np.zeros(64, np.uint8), np.zeros(64, np.uint8), np.zeros(512, int)
+    for _ in range(30):
+        column = np.unique(rng.integers(0, 512, rng.integers(1, 40)))
+        substrings.add_once(once, often, column)
+        plain[column] += 1
+        assert (np.unpackbits(once) == (plain >= 1)).all() and (np.unpackbits(often) == (plain >= 2)).all()

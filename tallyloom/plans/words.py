@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as X
 from tallyloom.operators import counts as C
+from tallyloom.operators import ngrams as N
 from tallyloom.operators.ordered import run_lengths
 from tallyloom.plans.registry import query
 from tallyloom.session import read_table, spread
@@ -120,6 +121,26 @@ def ngram_topk(spark, sf_dir):
     return top.select(X.zero_padded(F.col("count")).alias("padded"), "ngram")
 
 
+SQL_ALL_LENGTHS = " UNION ALL ".join(
+    f"SELECT CAST({n} AS INTEGER) AS n, ngram, count(*) AS count FROM ({sql_ngrams(n) if n > 1 else SQL_WORDS.replace('AS word', 'AS ngram')}) GROUP BY ngram"
+    for n in range(1, N.LONGEST + 1))
+
+
+@query("ngram_all_lengths", f"SELECT * FROM ({SQL_ALL_LENGTHS}) WHERE count >= 10")
+def ngram_all_lengths(spark, sf_dir):
+    """Every n-gram of one to thirteen words that occurs ten times or more, from one sort."""
+    return N.ngrams_of_all_lengths(_documents(spark, sf_dir), X.words(F.col("text")), least=10)
+
+
+@query("ngram_topk_long", f"""SELECT n, rank, lpad(CAST(count AS VARCHAR), 10, '0') AS padded, ngram FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY n ORDER BY count DESC, ngram) AS INTEGER) AS rank
+    FROM ({SQL_ALL_LENGTHS})) WHERE rank <= 5""")
+def ngram_topk_long(spark, sf_dir):
+    """The five most frequent n-grams of each length up to thirteen."""
+    top = N.ngrams_of_all_lengths(_documents(spark, sf_dir), X.words(F.col("text")), k=5)
+    return top.select("n", "rank", X.zero_padded(F.col("count")).alias("padded"), "ngram")
+
+
 SQL_LINES = r"""SELECT conv_id, turn, pos AS line_no, line AS value FROM (
     SELECT conv_id, turn, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
     FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l FROM conversations))"""

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import saved, shuffle_partitions
+from tallyloom.operators.ordered import HOT_ROWS, OrderedRows
+from tallyloom.session import saved
 
 # Window and step in seconds, entries shown.
 WINDOW_SECONDS = 60
@@ -15,9 +16,6 @@ STEP_SECONDS = 1
 TOP = 10
 DAY_SECONDS = 86_400
 
-# Join keys over which the tags of one stretch of time are spread.
-STRETCH_KEYS = 16
-
 
 def bucket_counts(df: DataFrame, tag: str, seconds: Column, step: int = STEP_SECONDS) -> DataFrame:
     """tag, bucket, n: records per tag and time bucket of ``step`` seconds.
@@ -46,49 +44,60 @@ def trailing_counts(buckets: DataFrame, tag: str, width: int = WINDOW_SECONDS,
     return counted.where(F.col("_chunk") == F.col("_home")).select(tag, "bucket", "n_window")
 
 
-def _reached(buckets: DataFrame, tag: str, step: int, count: int, only_at_messages: bool) -> DataFrame:
-    """Each bucket at every snapshot it reaches, with its age in buckets.
+def _levels(buckets: DataFrame, tag: str, changes: Sequence[tuple[int, Sequence[int]]],
+            hot_rows: int = HOT_ROWS) -> DataFrame:
+    """tag, start, stop, v0, v1, ..: the values of each tag from ``start`` up to (not including) ``stop``.
 
-    Time is cut into stretches as long as the window. A bucket reaches only
-    snapshots of its own stretch and of the next, so two copies of it meet the
-    snapshots in a join on the stretch, instead of a copy for each snapshot.
-    Tags are spread by hash over several keys per stretch; all of a tag's rows
-    at a snapshot share one key, so grouping by it too needs no other shuffle.
+    ``changes`` lists what a bucket does some seconds after it: an offset and,
+    for each value, how many times the bucket's count is added. A bucket is one
+    row per change (one when it enters a window, one when it leaves), and an
+    ordered running sum per tag gives the values in between. ``buckets`` is saved.
+    """
+    width = len(changes[0][1])
+    rows = F.array(*[F.struct((F.col("bucket") + offset).alias("start"), F.lit(place).alias("change"),
+                              *[(F.col("n") * times).cast("bigint").alias(f"d{k}") for k, times in enumerate(signs)])
+                     for place, (offset, signs) in enumerate(changes)])
+    moves = buckets.select(tag, F.explode(rows).alias("_m")).select(tag, "_m.*")
+    # A tag has at most one bucket at a time, so time and kind of change name a row.
+    ordered = OrderedRows.of(moves, [tag], ["start", "change"], hot_rows)
+    for k in range(width):
+        ordered = ordered.running_sum(F.col(f"d{k}"), f"v{k}")
+    values = [f"v{k}" for k in range(width)]
+    # After its last change a tag counts nothing.
+    return ordered.lag("start", -1, "stop").rows().where("stop > start and v0 > 0").select(tag, "start", "stop", *values)
+
+
+def _at_snapshots(levels: DataFrame, buckets: DataFrame, tag: str, step: int, span: int, only_at_messages: bool) -> DataFrame:
+    """``levels`` at each snapshot: snapshot, tag and the values.
+
+    A stretch in which a tag counts is no longer than ``span``. With
+    ``only_at_messages`` the snapshots are the times at which any tag has a
+    bucket; levels meet them by stretches of time as long as the window, at
+    most two per level, and no count follows, so that adaptive execution may
+    split a busy stretch.
     """
-    span = step * count
-    buckets = saved(buckets, "buckets")  # read twice below
-    moments = buckets.select(F.col("bucket").alias("snapshot")).distinct()
+    values = [c for c in levels.columns if c not in (tag, "start", "stop")]
     if not only_at_messages:
-        later = F.sequence(F.col("snapshot"), F.col("snapshot") + (span - step), F.lit(step).cast("bigint"))
-        moments = moments.select(F.explode(later).alias("snapshot")).distinct()
-    every_key = F.explode(F.sequence(F.lit(0), F.lit(STRETCH_KEYS - 1))).alias("_key")
-    snapshots = moments.select("snapshot", F.floor(F.col("snapshot") / span).alias("_stretch"), every_key)
-    home = F.floor(F.col("bucket") / span)
-    copies = buckets.select(
-        tag, "bucket", "n", F.pmod(F.xxhash64(tag), F.lit(STRETCH_KEYS)).cast("int").alias("_key"),
-        F.explode(F.array(home, home + 1)).alias("_stretch"))
-    # Both sides are few rows that grow in the join: a fixed number of partitions
-    # keeps it spread, and hashing the snapshots of a partition (bounded by the
-    # time they cover) keeps that layout for the counts that follow.
-    parts = shuffle_partitions(buckets.sparkSession)
-    copies = copies.repartition(parts, "_stretch", "_key")
-    snapshots = snapshots.repartition(parts, "_stretch", "_key").hint("shuffle_hash")
-    gap = F.col("snapshot") - F.col("bucket")
-    met = copies.join(snapshots, ["_stretch", "_key"]).where((gap >= 0) & (gap < span))
-    return met.withColumn("_age", (gap / step).cast("int"))
+        every = F.explode(F.sequence("start", F.col("stop") - step, F.lit(step).cast("bigint"))).alias("snapshot")
+        return levels.select(every, tag, *values)
+    moments = buckets.select(F.col("bucket").alias("snapshot")).distinct().withColumn("_stretch", F.floor(F.col("snapshot") / span))
+    stretches = F.sequence(F.floor(F.col("start") / span), F.floor((F.col("stop") - 1) / span))
+    spread = levels.withColumn("_stretch", F.explode(stretches))
+    met = spread.join(moments, "_stretch").where((F.col("snapshot") >= F.col("start")) & (F.col("snapshot") < F.col("stop")))
+    return met.select("snapshot", tag, *values)
 
 
 def sliding_counts(buckets: DataFrame, tag: str, step: int = STEP_SECONDS, count: int = WINDOW_SECONDS + 1,
-                   only_at_messages: bool = False) -> DataFrame:
+                   only_at_messages: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """snapshot, tag, n: records in the ``count`` buckets that end with the snapshot's.
 
     ``only_at_messages`` keeps the snapshots at which some record arrived; without
     it there is one per step. The default of 61 one-second buckets is a trailing
     minute with both ends included.
     """
-    reached = _reached(buckets, tag, step, count, only_at_messages)
-    counted = reached.groupBy("_stretch", "_key", "snapshot", tag).agg(F.sum("n").alias("n"))
-    return counted.select("snapshot", tag, "n")
+    buckets, span = saved(buckets, "buckets"), step * count
+    levels = _levels(buckets, tag, [(0, [1]), (span, [-1])], hot_rows)
+    return _at_snapshots(levels, buckets, tag, step, span, only_at_messages).withColumnRenamed("v0", "n")
 
 
 def top_per(counts: DataFrame, group: str, tag: str, k: int = TOP, n: str = "n") -> DataFrame:
@@ -108,17 +117,15 @@ def trending(buckets: DataFrame, tag: str, step: int = STEP_SECONDS, count: int
     return top.withColumn("rate", F.col("n") / F.lit(window_seconds))
 
 
-def growth(buckets: DataFrame, tag: str, step: int, count: int, only_at_messages: bool = True) -> DataFrame:
+def growth(buckets: DataFrame, tag: str, step: int, count: int, only_at_messages: bool = True,
+           hot_rows: int = HOT_ROWS) -> DataFrame:
     """snapshot, tag, recent, previous, ratio: this window against the one before it.
 
     Tags without a recent record are left out; from nothing the growth is infinite.
     """
-    reached = _reached(buckets, tag, step, 2 * count, only_at_messages)
-    new = F.col("_age") < count
-    both = reached.groupBy("_stretch", "_key", "snapshot", tag).agg(
-        F.sum(F.when(new, F.col("n")).otherwise(0)).alias("recent"),
-        F.sum(F.when(~new, F.col("n")).otherwise(0)).alias("previous"),
-    ).where(F.col("recent") > 0)
+    buckets, span = saved(buckets, "buckets"), step * count
+    levels = _levels(buckets, tag, [(0, [1, 0]), (span, [-1, 1]), (2 * span, [0, -1])], hot_rows)
+    both = _at_snapshots(levels, buckets, tag, step, span, only_at_messages).withColumnsRenamed({"v0": "recent", "v1": "previous"})
     ratio = F.when(F.col("previous") == 0, F.lit(float("inf"))).otherwise(F.col("recent") / F.col("previous"))
     return both.select("snapshot", tag, "recent", "previous", ratio.alias("ratio"))
 

@@ -77,10 +77,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Even out a scan that has fewer partitions than the session has task slots.
 

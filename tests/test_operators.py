@@ -243,3 +243,30 @@ def test_growth(spark):
             if recent:
                 want[(now, tag)] = recent / previous if previous else math.inf
     assert {(r["snapshot"], r["tag"]): r["ratio"] for r in got} == want
+
+
+@pytest.mark.parametrize("hot_rows", [5_000_000, 40])
+@pytest.mark.parametrize("at_messages", [True, False])
+def test_windows_by_entries_and_exits(spark, hot_rows, at_messages):
+    """Counts and growth from running sums, for ordinary tags and for tags that are cut into slices."""
+    rng = random.Random(7)
+    rows = [("hot" if rng.random() < 0.5 else f"t{rng.randrange(5)}", rng.randrange(0, 400) * 2) for _ in range(600)]
+    buckets = T.bucket_counts(spark.createDataFrame(rows, "tag string, s long"), "tag", F.col("s"), 2)
+    moments = {b for _, b in rows} if at_messages else {b + 2 * k for _, b in rows for k in range(10)}
+
+    def window(tag, low, high):
+        return sum(1 for t, b in rows if t == tag and low < b <= high)
+
+    want = {(s, t): (window(t, s - 20, s), window(t, s - 40, s - 20)) for s in moments for t in {t for t, _ in rows}}
+    got = T.sliding_counts(buckets, "tag", 2, 10, at_messages, hot_rows).collect()
+    assert {(r["snapshot"], r["tag"]): r["n"] for r in got} == {k: a for k, (a, _) in want.items() if a}
+    grown = T.growth(buckets, "tag", 2, 10, at_messages, hot_rows).collect()
+    assert {(r["snapshot"], r["tag"]): (r["recent"], r["previous"]) for r in grown if r["snapshot"] in moments} == {
+        k: v for k, v in want.items() if v[0]}
+    assert len(got) == len({(r["snapshot"], r["tag"]) for r in got})
+
+
+def test_a_bucket_is_two_rows_before_the_sum(spark):
+    buckets = spark.createDataFrame([("a", 60 * k, 3) for k in range(50)], "tag string, bucket long, n long")
+    # Neighbours overlap, so each change but the last opens a level.
+    assert T._levels(buckets, "tag", [(0, [1]), (3600, [-1])]).count() <= 2 * 50

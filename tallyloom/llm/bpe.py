@@ -28,8 +28,8 @@ from tallyloom.llm.rows import field
 # Fixed value: the pieces that the vocabulary's own file splits a text into.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 WORD_END = "</w>"
-# Words, pieces and pairs remembered within a task, about 250 bytes each; emptied beyond this.
-MEMORY = 50_000
+# Words, pieces and pairs of tokens remembered within a task, about 250 bytes each; emptied beyond this.
+WORDS, PARTS, PAIRS = 100_000, 300_000, 150_000
 
 
 def byte_letters() -> list[str]:
@@ -129,7 +129,7 @@ class Vocabulary:
             else:
                 limit, b = made_b[0] + 1, made_b[1]
         if within is None:
-            if len(self.pairs) > MEMORY:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             self.pairs[key] = good
         return good
@@ -176,9 +176,9 @@ class Vocabulary:
             plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
             # No piece holds white space; four separators count as such for split() only.
             chunks = [plain] if any(c in plain for c in "\x1c\x1d\x1e\x1f") else plain.split()
-            if len(words) > MEMORY:
+            if len(words) > WORDS:
                 words.clear()
-            if len(parts) > MEMORY:
+            if len(parts) > PARTS:
                 parts.clear()
             for chunk in set(chunks).difference(words):
                 ids: list[int] = []
@@ -226,7 +226,6 @@ def _coded(sent, keep: bool):
     def run(batches):
         # The tables stay with the worker, what a task remembered does not.
         vocabulary = once_per_worker("bpe", sent.value, Vocabulary)
-        vocabulary.forget()
         for batch in batches:
             count, ids_hash, text_hash, lists = [], [], [], []
             for text in batch.column(1).to_pylist():

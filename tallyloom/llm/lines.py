@@ -32,22 +32,27 @@ HUBS = 4
 # Lists of words more frequent than this are dealt out in cells of about this size.
 CELL = 200_000
 # Lines of more words have masks of two longs.
-WIDE = 48
+WIDE = 96
 # A word's number: its level of frequency in the top byte, 56 bits of its hash below.
 LEVEL_BITS = 56
 
 
-def _split_words(text: Column) -> Column:
-    """Words of a text, A-Z lower-cased, with empty strings between repeated white space.
+def _lowered(text: Column) -> Column:
+    """A text with A-Z lower-cased.
 
     The bytes are read as Latin-1, so that lower-casing works on single bytes.
     It also moves the first bytes of two-byte and some other characters, but the number of
     bytes that follow still tells them apart: different words stay different.
     """
-    plain = F.lower(F.decode(text.cast("binary"), "ISO-8859-1"))
-    for white in "\t\n\x0b\f\r":
-        plain = F.replace(plain, F.lit(white), F.lit(" "))
-    return F.split(plain, " ")
+    return F.lower(F.decode(text.cast("binary"), "ISO-8859-1"))
+
+
+def _blanked(lower: Column) -> Column:
+    """Blanks for white space other than line feeds. Few texts have any: the test is cheaper than the replacements."""
+    blanks = lower
+    for white in "\t\x0b\f\r":
+        blanks = F.replace(blanks, F.lit(white), F.lit(" "))
+    return F.when(lower.rlike("[\\t\\x0B\\f\\r]"), blanks).otherwise(lower)
 
 
 def _slot(word: Column) -> Column:
@@ -56,7 +61,9 @@ def _slot(word: Column) -> Column:
 
 def rarity(docs: DataFrame, text: str) -> Column:
     """An array with one level per slot of hashed words: a quarter-step logarithm of their count in all texts."""
-    words = docs.select(F.explode(_split_words(field(docs, text))).alias("word")).where("word <> ''")
+    # A generator computes a costly value once.
+    lower = docs.select(F.explode(F.array(_lowered(field(docs, text)))).alias("text"))
+    words = lower.select(F.explode(F.split(F.replace(_blanked(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("word")).where("word <> ''")
     counted = words.groupBy(_slot(F.xxhash64("word")).alias("slot")).agg(F.count("*").alias("n"))
     levels = [0] * SLOTS
     for row in counted.collect():
@@ -66,18 +73,22 @@ def rarity(docs: DataFrame, text: str) -> Column:
 
 
 def line_words(line: Column, levels: Column) -> Column:
-    """Sorted numbers of the distinct words of a line, the rarest first."""
-    hashes = F.array_distinct(F.transform(F.array_remove(_split_words(line), ""), lambda w: F.xxhash64(w)))
+    """Sorted numbers of the distinct words of a (plain) line, the rarest first."""
+    hashes = F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
     return F.sort_array(F.transform(hashes, lambda w: F.call_function("shiftleft", F.get(levels, _slot(w)), F.lit(LEVEL_BITS)).bitwiseOR(
         F.call_function("shiftrightunsigned", w, F.lit(64 - LEVEL_BITS)))))
 
 
-def _split_lines(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """(doc, key, no, line): every line of every text."""
-    # The key reads the whole text: it is taken before the lines are, once per document.
-    keyed = docs.where(field(docs, ident).isNotNull()).select(
+def _keyed(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    """(doc, key, text): the key reads the whole text and is taken once per document."""
+    return docs.where(field(docs, ident).isNotNull()).select(
         field(docs, ident).cast("long").alias("doc"), text_key(docs, ident, text).alias("key"), field(docs, text).alias("text"))
-    return keyed.select("doc", "key", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+
+
+def _split_lines(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    """(doc, key, no, line): every line of every text, in plain form."""
+    lower = _keyed(docs, ident, text).select("doc", "key", F.explode(F.array(_lowered(F.col("text")))).alias("text"))
+    return lower.select("doc", "key", F.posexplode(F.split(_blanked(F.col("text")), "\n", -1)).alias("no", "line"))
 
 
 def _masks(words: Column) -> list[Column]:
@@ -112,16 +123,19 @@ def _prefix(n: Column, percent: int) -> Column:
     return n - F.floor((n * percent + 99) / 100).cast("int") + 1
 
 
-def _passes(a: Column, b: Column, percent: int) -> Column:
-    """Length, place and mask bounds of a candidate pair of list entries."""
-    n, m, i, j = a["n"], b["n"], a["at"], b["at"]
+def _passes(a: str, b: str, percent: int) -> Column:
+    """Length, place and mask bounds of a candidate pair of list entries, given the prefixes of their columns."""
+    def spot(side: str) -> tuple[Column, Column]:
+        return F.call_function("shiftright", F.col(f"{side}spot"), F.lit(32)).cast("int"), F.col(f"{side}spot").bitwiseAND(F.lit(2**31 - 1)).cast("int")
+
+    (n, i), (m, j) = spot(a), spot(b)
     need = _needed(n, m, percent)
     reach = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    apart = [a[f"m{k}"].bitwiseXOR(b[f"m{k}"]) for k in range(2)]
+    apart = [F.col(f"{a}m{k}").bitwiseXOR(F.col(f"{b}m{k}")) for k in range(2)]
     narrow = F.bit_count(apart[0].bitwiseXOR(apart[1]))
     wide = F.bit_count(apart[0]) + F.bit_count(apart[1])
     differ = F.when((n > WIDE) & (m > WIDE), wide).otherwise(narrow)
-    return ((a["name"] != b["name"]) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+    return ((F.col(f"{a}name") != F.col(f"{b}name")) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
             & (reach >= need) & (differ <= n + m - 2 * need) & ((n != m) | (need < n)))
 
 
@@ -131,9 +145,11 @@ def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, t
     names = saved(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct(), "names")
     known = saved(firsts.join(hinted(names), "name").select(F.col("name"), F.col("first"), F.col("first.doc").alias("doc"),
                                                             F.col("first.key").alias("key"), F.col("first.no").alias("no")), "first")
-    # Only the first line of each set is split and hashed again.
-    near = _split_lines(docs, ident, text).join(hinted(known), ["doc", "key", "no"])
-    full = near.select("name", "first", F.explode(F.array(line_words(F.col("line"), levels))).alias("h")).dropDuplicates(["name"])
+    # Only the first line of each set is taken up again, and only texts that hold one are cut.
+    holding = _keyed(docs, ident, text).join(hinted(known.select("doc", "key").distinct()), ["doc", "key"], "left_semi")
+    near = holding.select("doc", "key", F.posexplode(F.split("text", "\n", -1)).alias("no", "line")).join(hinted(known), ["doc", "key", "no"])
+    lower = near.select("name", "first", F.explode(F.array(_lowered(F.col("line")))).alias("line"))
+    full = lower.select("name", "first", F.explode(F.array(line_words(_blanked(F.col("line")), levels))).alias("h")).dropDuplicates(["name"])
     full = saved(full, "full")
     one, two = (full.select(F.col("name").alias(s), F.col("h").alias(f"{s}_h"), F.col("first").alias(f"{s}_first")) for s in "ab")
     both = pairs.join(one, "a").join(two, "b")
@@ -143,64 +159,68 @@ def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, t
     return saved(both.where(similar).select(late.alias("name")).distinct(), "settled")
 
 
-def removed_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", percent: int = 80, least: int = 5) -> DataFrame:
+def removed_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """(doc, key, no): lines that go, see ``dedup_lines``."""
     levels = rarity(docs, text)
     place = F.struct("doc", "key", "no")
     hashed = _split_lines(docs, ident, text).select("doc", "key", "no", F.explode(F.array(line_words(F.col("line"), levels))).alias("h"))
     size = F.size("h")
-    lines = saved(hashed.where(size >= least).select(
+    # The level and 24 bits of a word's number name its list; words that share them share a list.
+    short = F.transform(F.slice("h", F.lit(1), _prefix(size, percent)), lambda w: F.call_function("shiftrightunsigned", w, F.lit(32)).cast("int"))
+    lines = saved(hashed.where(size > 0).select(
         "doc", "key", "no", F.xxhash64("h").alias("name"), size.alias("n"), *[m.alias(f"m{k}") for k, m in enumerate(_masks(F.col("h")))],
-        F.slice("h", F.lit(1), _prefix(size, percent)).alias("rare")), "lines")
+        short.alias("rare")), "lines")
     named = lines.select("doc", "key", "no", "name")
     firsts = saved(named.groupBy("name").agg(F.min(place).alias("first")), "firsts")
     bits = ["m0", "m1"]
     sets = lines.select("name", F.struct("doc", "n", *bits, "rare").alias("it")).groupBy("name").agg(F.min("it").alias("it"))
     listed = sets.select("name", *[F.col(f"it.{c}").alias(c) for c in ("doc", "n", *bits)], F.posexplode("it.rare").alias("at", "word"))
     # A frequent word's list is dealt out by the set's name; its cells meet in the last step.
-    level = F.call_function("shiftrightunsigned", F.col("word"), F.lit(LEVEL_BITS))
+    level = F.call_function("shiftright", F.col("word"), F.lit(LEVEL_BITS - 32))
     cells = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2.0), level / 4) / CELL).cast("int"))
-    entry = listed.select("word", F.pmod("name", cells).alias("cell"), (cells > 1).alias("dealt"), F.struct("doc", "name", "n", "at", *bits).alias("me"))
-    whole = Window.partitionBy("word", "cell").orderBy("me.doc", "me.name").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    hubs = [f"hub{k}" for k in range(1, HUBS + 1)]
-    first = [F.nth_value("me", k).over(whole).alias(hub) for k, hub in enumerate(hubs, 1)]
-    met = entry.select("word", "dealt", "me", *first, F.count("*").over(whole).alias("c"))
-
-    def met_before(hub: Column) -> Column:
-        me = F.col("me")
-        earlier = (hub["doc"] < me["doc"]) | ((hub["doc"] == me["doc"]) & (hub["name"] < me["name"]))
-        return F.when(earlier & _passes(me, hub, percent), hub["name"])
-
-    close = F.array_compact(F.array(*[met_before(F.col(hub)) for hub in hubs]))
-    longer = (F.col("c") > HUBS + 1) | F.col("dealt")
-    met = saved(met.where("c > 1 or dealt").select("word", "me", close.alias("close"), longer.alias("open")).where("open or size(close) > 0"), "lists")
-    pairs = met.select(F.col("me.name").alias("a"), F.explode("close").alias("b"))
+    spot = F.call_function("shiftleft", F.col("n").cast("long"), F.lit(32)).bitwiseOR(F.col("at").cast("long"))
+    entry = ["doc", "name", "spot", *bits]
+    entries = listed.select("word", F.when(cells > 1, F.pmod("name", cells)).otherwise(-1).cast("int").alias("cell"),
+                            "doc", "name", spot.alias("spot"), *bits)
+    whole = Window.partitionBy("word", "cell").orderBy("doc", "name").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    me = F.struct(*entry)
+    met = entries.select("*", *[F.nth_value(me, k).over(whole).alias(f"hub{k}") for k in range(1, HUBS + 1)], F.count("*").over(whole).alias("c"))
+    longer = (F.col("c") > HUBS + 1) | (F.col("cell") >= 0)
+    # A row for the entry itself and one per hub: one test of a pair in the code, however many hubs.
+    alone = F.lit(None).cast("struct<" + ",".join(f"{c}:bigint" for c in entry) + ">")
+    asked = met.where("c > 1 or cell >= 0").select("word", *entry, longer.alias("open"), F.posexplode(
+        F.array(alone, *[F.col(f"hub{k}") for k in range(1, HUBS + 1)])).alias("k", "hub"))
+    earlier = (F.col("hub.doc") < F.col("doc")) | ((F.col("hub.doc") == F.col("doc")) & (F.col("hub.name") < F.col("name")))
+    own = F.col("k") == 0
+    kept = asked.where(F.when(own, F.col("open")).otherwise(earlier & _passes("", "hub.", percent)))
+    met = saved(kept.select("name", F.col("hub.name").alias("b"), *[F.when(own, F.col(c)).alias(c) for c in ("word", *entry) if c != "name"]), "lists")
+    pairs = met.where("b is not null").select(F.col("name").alias("a"), "b")
     settled = _settled(pairs, firsts, docs, ident, text, percent, levels)
     # Both sides of the join below are the same frame, so it is shuffled once.
     marks = settled.select(F.col("name").alias("settled"))
-    rest = met.where("open").select("word", "me")
-    rest = rest.join(hinted(marks), rest["me.name"] == marks["settled"], "left").select("word", "me", F.col("settled").isNotNull().alias("done"))
+    rest = met.where("b is null").select("word", *entry)
+    rest = rest.join(hinted(marks), rest["name"] == marks["settled"], "left").select("word", *entry, F.col("settled").isNotNull().alias("done"))
     one, two = rest.alias("one"), rest.alias("two")
-    a_done, b_done, a_doc, b_doc = (F.col(c) for c in ("one.done", "two.done", "one.me.doc", "two.me.doc"))
+    a_done, b_done, a_doc, b_doc = (F.col(c) for c in ("one.done", "two.done", "one.doc", "two.doc"))
     # The later of both must be unsettled; of two lines in one document either.
     asked = F.when(a_doc > b_doc, ~a_done).when(a_doc < b_doc, ~b_done).otherwise(~a_done | ~b_done)
-    more = one.join(two, (F.col("one.word") == F.col("two.word")) & (F.col("one.me.name") < F.col("two.me.name")) & asked
-                    & _passes(F.col("one.me"), F.col("two.me"), percent)).select(F.col("one.me.name").alias("a"), F.col("two.me.name").alias("b"))
+    more = one.join(two, (F.col("one.word") == F.col("two.word")) & (F.col("one.name") < F.col("two.name")) & asked
+                    & _passes("one.", "two.", percent)).select(F.col("one.name").alias("a"), F.col("two.name").alias("b"))
     late = _settled(more, firsts, docs, ident, text, percent, levels)
     gone = saved(settled.union(late).distinct().withColumn("gone", F.lit(True)), "gone")
     judged = named.join(firsts, "name").join(hinted(gone), "name", "left")
     return judged.where(F.col("gone") | (place != F.col("first"))).select("doc", "key", "no")
 
 
-def dedup_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", percent: int = 80, least: int = 5,
+def dedup_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", percent: int = 80,
                 counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with its text less repeated lines, all other columns kept.
 
     Lines are split at line feeds; their words are runs of anything but ASCII
-    white space, A-Z lower-cased, as sets. A line of at least ``least``
-    different words goes when an earlier line (smaller id, then place) is
-    similar: 100 * shared >= ``percent`` * united words. Earlier lines count
-    whether they stay or not. Remaining lines keep their order and their line
+    white space, A-Z lower-cased, as sets. A line with words goes when an
+    earlier line (smaller id, then place) is similar: 100 * shared >=
+    ``percent`` * united words; of few words that means equal. Earlier lines
+    count whether they stay or not. Lines without words stay. Remaining lines keep their order and their line
     feeds. ``counts`` names two more columns: lines, removed lines.
 
     Null texts stay null and have no lines; an empty text has one empty line.
@@ -208,7 +228,7 @@ def dedup_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", perc
     agree in id and text are one document; a repeated id with other texts is
     ordered by a hash of the text. An empty table gives an empty table.
     """
-    removed = removed_lines(docs, ident, text, percent, least).distinct().groupBy("doc", "key").agg(F.collect_list("no").alias("nos"))
+    removed = removed_lines(docs, ident, text, percent).distinct().groupBy("doc", "key").agg(F.collect_list("no").alias("nos"))
     doc, key, nos = (own_name(docs, n) for n in ("line_doc", "line_key", "line_nos"))
     removed = removed.select(F.col("doc").alias(doc), F.col("key").alias(key), F.col("nos").alias(nos))
     joined = docs.join(removed, (field(docs, ident).cast("long") == removed[doc]) & (text_key(docs, ident, text) == removed[key]), "left")
@@ -227,14 +247,14 @@ WITH l AS (
   SELECT doc_id, no, line, list_distinct(list_filter(regexp_split_to_array(
            translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS w
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents)),
-s AS (SELECT array_to_string(list_sort(w), ' ') AS k, min((doc_id, no)) AS first, any_value(list_sort(w)) AS w FROM l WHERE len(w) >= 5 GROUP BY 1),
+s AS (SELECT array_to_string(list_sort(w), ' ') AS k, min((doc_id, no)) AS first, any_value(list_sort(w)) AS w FROM l WHERE len(w) > 0 GROUP BY 1),
 n AS (SELECT row_number() OVER () AS id, k, first, w, len(w) AS n FROM s),
 t AS (SELECT id, n, first, unnest(w) AS x FROM n),
 p AS (SELECT b.id AS id FROM t a JOIN t b ON a.x = b.x AND a.first < b.first AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80
       GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
 g AS (SELECT k, first, id IN (SELECT id FROM p) AS gone FROM n),
 j AS (SELECT l.doc_id, l.no, l.line, coalesce(g.gone OR (l.doc_id, l.no) <> g.first, false) AS away
-      FROM l LEFT JOIN g ON len(l.w) >= 5 AND g.k = array_to_string(list_sort(l.w), ' '))
+      FROM l LEFT JOIN g ON len(l.w) > 0 AND g.k = array_to_string(list_sort(l.w), ' '))
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(away AS INT)) AS BIGINT) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT away), '')) AS kept_sha256
 FROM j GROUP BY doc_id

@@ -35,43 +35,85 @@ def read_lines(spark: SparkSession, path: str, line_sep: str = "\n") -> DataFram
     return spread(spark.read.option("lineSep", line_sep).text(path))
 
 
-def numbered_records(spark: SparkSession, path: str, line_sep: str = "\n") -> DataFrame:
-    """file, line (0-based), value: the records of each file with the number of their first line.
-
-    The records are written once to the shared folder, with the split they came
-    from and a row number that rises along a split, so that nothing is numbered
-    twice. The lines of each split are summed, a running sum over the splits of
-    a file (a few rows) places them, and no record is sorted across splits: the
-    result does not depend on the number of splits, tasks or slots.
-    """
-    scanned = spark.read.option("lineSep", line_sep).text(path).select(
+def _scan(spark: SparkSession, path: str, line_sep: str) -> DataFrame:
+    """value, file, block, row: records with the split they came from and a number that rises along it."""
+    return spark.read.option("lineSep", line_sep).text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"))
-    kept = saved(scanned, "records")
+
+
+def _lines_taken(line_sep: str) -> Column:
+    """How many lines of the file a record and its separator make up."""
     if line_sep == "\n":
-        placed = kept.withColumn("inside", F.lit(None).cast("bigint"))
+        return F.lit(1).cast("bigint")
+    breaks = F.length("value") - F.length(F.replace("value", F.lit("\n"), F.lit("")))
+    return (breaks + line_sep.count("\n")).cast("bigint")
+
+
+def split_starts(spark: SparkSession, path: str, line_sep: str = "\n") -> DataFrame:
+    """file, block, start: the number of the first line of each split of each file.
+
+    One scan counts lines per split, and a running sum over the splits of a file
+    places them: a few rows for each file, written to the shared folder.
+    """
+    sizes = _scan(spark, path, line_sep).groupBy("file", "block").agg(F.sum(_lines_taken(line_sep)).alias("size"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return saved(sizes.select("file", "block", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start")), "splits")
+
+
+def _numbered(scanned: DataFrame, starts: DataFrame, line_sep: str) -> DataFrame:
+    """file, line, value of the records of the splits in ``starts``.
+
+    The records are written once, so that nothing is numbered twice; no record
+    is sorted across splits.
+    """
+    kept = saved(scanned.join(broadcast_if_small(starts), ["file", "block"]), "records")
+    firsts = kept.groupBy("file", "block").agg(F.min("row").alias("first"))
+    placed = kept.join(broadcast_if_small(saved(firsts, "first-rows")), ["file", "block"])
+    if line_sep == "\n":
+        inside = F.col("row") - F.col("first")
     else:
-        taken = F.length("value") - F.length(F.replace("value", F.lit("\n"), F.lit(""))) + line_sep.count("\n")
         before = Window.partitionBy("file", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-        placed = kept.withColumn("taken", taken.cast("bigint")).withColumn("inside", F.coalesce(F.sum("taken").over(before), F.lit(0)))
-    size = F.count(F.lit(1)) if line_sep == "\n" else F.sum("taken")
-    splits = placed.groupBy("file", "block").agg(size.alias("size"), F.min("row").alias("first"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = saved(splits.select("file", "block", "first", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start")), "splits")
-    inside = F.coalesce("inside", F.col("row") - F.col("first"))
-    return placed.join(broadcast_if_small(starts), ["file", "block"]).select(
-        "file", (F.col("start") + inside).alias("line"), "value")
+        inside = F.coalesce(F.sum(_lines_taken(line_sep)).over(before), F.lit(0))
+    return placed.select("file", (F.col("start") + inside).alias("line"), "value")
+
+
+def numbered_records(spark: SparkSession, path: str, line_sep: str = "\n", before: int | None = None) -> DataFrame:
+    """file, line (0-based), value: the records of each file with the number of their first line.
+
+    With ``before`` only records that begin before that line. Splits that lie
+    wholly behind it are neither written nor numbered, so what is written
+    depends on ``before`` and the size of a split, not on the input. The result
+    does not depend on the number of splits, tasks or slots.
+    """
+    starts = split_starts(spark, path, line_sep)
+    if before is not None:
+        starts = starts.where(F.col("start") < before)
+    numbered = _numbered(_scan(spark, path, line_sep), starts, line_sep)
+    return numbered if before is None else numbered.where(F.col("line") < before)
+
+
+def records_after_header(spark: SparkSession, path: str, skip: int, line_sep: str = "\n") -> DataFrame:
+    """value, line: the records of each file that reach beyond its first ``skip`` lines.
+
+    ``line`` is the number of the record's first line where its split holds a
+    part of the header, else null: those splits pass through as they are read.
+    """
+    starts, scanned = split_starts(spark, path, line_sep), _scan(spark, path, line_sep)
+    headed = starts.where(F.col("start") < skip)
+    behind = scanned.join(broadcast_if_small(headed.select("file", "block")), ["file", "block"], "left_anti")
+    first = _numbered(scanned, headed, line_sep).where(F.col("line") + _lines_taken(line_sep) > skip)
+    return behind.select("value", F.lit(None).cast("bigint").alias("line")).unionByName(first.select("value", "line"))
 
 
 def read_lines_after_header(spark: SparkSession, path: str, skip: int) -> DataFrame:
     """Lines of each file without its first ``skip`` ones, however long the header is."""
-    return numbered_records(spark, path).where(F.col("line") >= skip).select("value")
+    return records_after_header(spark, path, skip).select("value")
 
 
 def head_lines(spark: SparkSession, path: str, k: int | None) -> DataFrame:
     """file, line, value: the first ``k`` lines of each file in file order; None means all, 0 none."""
-    lines = numbered_records(spark, path)
-    return lines if k is None else lines.where(F.col("line") < k)
+    return numbered_records(spark, path, before=k)
 
 
 def tsv_columns(lines: DataFrame, positions: Sequence[int], names: Sequence[str],
@@ -121,11 +163,12 @@ def read_blocks(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
     """
     # Reading by blank lines keeps a block together without sorting lines.
     if skip:
-        numbered = numbered_records(spark, path, "\n\n")
+        headed = records_after_header(spark, path, skip, "\n\n")
+        # A block that begins in the header loses the lines that belong to it.
         cut = F.greatest(F.lit(skip) - F.col("line"), F.lit(0)).cast("int")
         parts = F.split("value", "\n")
         left = F.slice(parts, cut + 1, F.greatest(F.size(parts) - cut, F.lit(0)))
-        blocks = numbered.where(cut < F.size(parts)).select(F.array_join(left, "\n").alias("value"))
+        blocks = spread(headed.select(F.when(F.col("line") < skip, F.array_join(left, "\n")).otherwise(F.col("value")).alias("value")))
     else:
         blocks = spread(spark.read.option("lineSep", "\n\n").text(path))
     lines = F.filter(F.split(F.col("value"), "\n"), lambda x: F.trim(x) != "")

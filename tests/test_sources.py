@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,16 +125,36 @@ def test_burst_stream_does_not_depend_on_file_order(spark):
         now += 5 if (i // 40) % 2 else 60
         rows.append(("a" if i % 3 else "b", now, i))
     df = spark.createDataFrame(rows, "k string, s bigint, id bigint").withColumn("ts", F.timestamp_seconds("s"))
-    path = Z.new_path(spark, "disorder")
-    # Every other slice of fifty comes before the one it follows in time.
-    number = F.floor(F.col("id") / 50)
-    swapped = number + F.when(number % 2 == 0, 1).otherwise(-1)
-    schema = df.select("k", "ts", "id").schema
-    S.write_replay(df.select("k", "ts", "id"), path, swapped, 8)
+    # Every other slice of a hundred comes before the one it follows in time.
+    slices = [df.select("k", "ts", "id").where(F.floor(F.col("id") / 100) == n) for n in (1, 0, 3, 2)]
     size, start, end = 10, 200 * 1_000_000, 400 * 1_000_000
-    stream = burst_stream(S.replay_stream(spark, path, schema), "k", "ts", "id", "90 minutes", size, start, end)
-    got = {tuple(r) for r in S.run_to_end(stream, "b").collect()}
+    closing = S.closing_row(slices[2], "ts", timedelta(hours=9), k="end")
+    sink, stream = S.arrivals([*slices, closing], lambda s: burst_stream(s, "k", "ts", "id", "3 hours", size, start, end, 600), "b")
+    got = {tuple(r) for r in sink.rows(stream).collect()}
     batch = burst_changes(df.withColumn("us", F.unix_micros("ts")), ["k"], "us", "id", size, start, end)
-    mark = (max(r[1] for r in rows) - 90 * 60) * 1_000_000
-    want = {tuple(r) for r in batch.where(F.col("us") <= mark).collect()}
+    want = {tuple(r) for r in batch.collect()}
     assert got == want and want
+
+
+def test_what_a_header_writes_does_not_grow_with_the_input(spark, tmp_path, monkeypatch):
+    written = []
+    plain = readers.saved
+
+    def counted(df, label):
+        kept = plain(df, label)
+        written.append((label, kept.count()))
+        return kept
+
+    monkeypatch.setattr(readers, "saved", counted)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        sizes = []
+        for n in (2_000, 20_000):
+            (tmp_path / "one").write_text("".join(f"line {i}\n" for i in range(n)))
+            written.clear()
+            assert readers.read_lines_after_header(spark, str(tmp_path), 296).count() == n - 296
+            sizes.append(sum(k for label, k in written if label == "records"))
+        assert 296 <= sizes[0] and sizes[1] <= 2 * sizes[0] < 2_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

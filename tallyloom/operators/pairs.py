@@ -58,6 +58,34 @@ def pair_counts(df: DataFrame, group: str, item: str, dedup: bool = True, min_co
     return _counted(_paired(usual, ["g"]).unionByName(spread), min_count)
 
 
+def top_pairs(df: DataFrame, group: str, item: str, k: int, hot_cast: int = HOT_CAST, step: int = 4) -> DataFrame:
+    """a, b, count: the ``k`` pairs that share the most groups, ties by (a, b), without counting all pairs.
+
+    No pair shares more groups than its rarer item is in. Items are taken by
+    that support: first those within ``step`` of the largest, then down to a
+    ``step``-th of that, and so on. As soon as the k-th best count found is not
+    below the support taken so far, no other pair can reach it, and the pairs
+    found are the answer. Once k pairs are known, the next round asks only for
+    pairs of at least the k-th count among items of at least that support.
+    """
+    if k < 1:
+        return pair_counts(df.limit(0), group, item)
+    members = saved(_members(df, group, item, True), "members")
+    support = saved(members.groupBy("x").agg(F.count(F.lit(1)).alias("_n")), "supports")
+    taken = support.agg(F.max("_n")).first()[0]
+    floor = 1
+    while True:
+        taken = max((taken or 1) // step, floor)
+        near = members.join(support.where(F.col("_n") >= taken).select("x"), "x", "left_semi")
+        best = pair_counts(near, "g", "x", min_count=floor, hot_cast=hot_cast).orderBy(F.col("count").desc(), "a", "b").limit(k)
+        best = saved(best, "best-pairs")
+        found, least = best.agg(F.count(F.lit(1)), F.min("count")).first()
+        if found == k:
+            floor = least
+        if taken <= floor:
+            return best.orderBy(F.col("count").desc(), "a", "b")
+
+
 def _paired(left: DataFrame, on: list[str], right: DataFrame | None = None) -> DataFrame:
     right = left if right is None else right
     a = left.select(*on, F.col("x").alias("a"), F.col("w").alias("wa"))

@@ -62,7 +62,7 @@ def costar_frequent(spark, sf_dir):
 
 @query("costar_topk", SQL_PAIRS.format(SQL_DISTINCT_CAST) + " ORDER BY count DESC, a, b LIMIT 20")
 def costar_topk(spark, sf_dir):
-    return C.top_k(_pair_counts(spark, sf_dir, dedup=True), ["a", "b"], 20)
+    return P.top_pairs(read_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey", 20)
 
 
 # --- matches: role = line of a supplier in an order, rated film = order -----

@@ -83,6 +83,26 @@ def zero_padded(count: Column, width: int = COUNT_WIDTH) -> Column:
     return F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0"))
 
 
+def spanish_stem(word: Column) -> Column:
+    """A lower-cased Spanish word by the published light stemming rules: accents off, then one plural or gender ending.
+
+    Words of fewer than five letters stay as they are.
+    """
+    plain = F.translate(word, "àáâäòóôöèéêëùúûüìíîï", "aaaaooooeeeeuuuuiiii")
+
+    def cut(p: Column) -> Column:
+        def ends(*endings: str) -> Column:
+            return F.right(p, F.lit(len(endings[0]))).isin(*endings)
+
+        def less(n: int) -> Column:
+            return F.left(p, F.length(p) - n)
+
+        return (F.when(ends("o", "a", "e"), less(1)).when(ends("eses"), less(2))
+                .when(ends("ces"), F.concat(less(3), F.lit("z"))).when(ends("os", "as", "es"), less(2)).otherwise(p))
+
+    return F.when(F.length(word) < 5, word).otherwise(bind(plain, cut))
+
+
 def between(text: Column, opening: str, closing: str) -> Column:
     """The text after the first ``opening`` up to the next ``closing``, else null."""
     start = F.instr(text, opening)

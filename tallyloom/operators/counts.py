@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import NON_LETTERS, ngrams
 
+# Buckets of a distinct-count sketch as a power of two: a relative error of about 0.8 %.
+SKETCH_BITS = 14
+
 
 def count_items(df: DataFrame, items: Column, name: str = "word") -> DataFrame:
     """Occurrences of each element of an array column: name, count.
@@ -40,6 +43,24 @@ def totals(counts: DataFrame, count: str = "count") -> DataFrame:
     )
 
 
+def count_sketches(df: DataFrame, part: str, item: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """part, total, sketch: occurrences and a sketch of the distinct items of each part.
+
+    A sketch takes a few kilobytes whatever it has seen. Sketches of several
+    days or folders are kept and united later, so that distinct items over all
+    of them need neither the items nor another scan.
+    """
+    return df.where(F.col(item).isNotNull()).groupBy(part).agg(
+        F.count(F.lit(1)).alias("total"), F.hll_sketch_agg(item, F.lit(bits)).alias("sketch"))
+
+
+def sketch_totals(sketches: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """keys, total, distinct_items of united sketches; the distinct count is an estimate."""
+    return sketches.groupBy(*keys).agg(
+        F.coalesce(F.sum("total"), F.lit(0)).cast("bigint").alias("total"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).cast("bigint").alias("distinct_items"))
+
+
 def merge_counts(frames: Sequence[DataFrame], key: str, count: str = "count") -> DataFrame:
     """Add count tables up; rows with a null key or count are left out."""
     every = reduce(DataFrame.unionByName, [f.select(key, count) for f in frames])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,14 +33,19 @@ def build_documents(lines: DataFrame, modified: Column, keep: Sequence[str] = ()
                        F.get("_f", F.lit(2)).alias("abstract"), modified.alias("modified"))
 
 
-def field_tokens(documents: DataFrame, key: str, fields: Sequence[str],
-                 stop_words: Sequence[str] = ()) -> DataFrame:
-    """key, field, tokens, field_length; fields without a token are left out."""
+def field_tokens(documents: DataFrame, key: str, fields: Sequence[str], stop_words: Sequence[str] = (),
+                 stem: Callable[[Column], Column] | None = None) -> DataFrame:
+    """key, field, tokens, field_length; fields without a token are left out.
+
+    Stop words leave before ``stem`` is applied to what stays.
+    """
 
     def entry(field: str) -> Column:
         tokens = words(F.col(field))
         if stop_words:
             tokens = F.filter(tokens, lambda w: ~w.isin(*stop_words))
+        if stem is not None:
+            tokens = F.transform(tokens, stem)
         return F.struct(F.lit(field).alias("field"), tokens.alias("tokens"))
 
     # Exploding the finished tokens computes them once, whatever reads them.

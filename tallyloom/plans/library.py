@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyloom.functions import text as X
 from tallyloom.functions.fields import tab_line
 from tallyloom.operators import search as R
 from tallyloom.plans.registry import query
@@ -75,6 +76,24 @@ def term_postings(spark, sf_dir):
     return R.postings(tokens, "doc_id")
 
 
+# The stemming rules once more, on a lower-cased word.
+SQL_STEM = """CASE WHEN length(w) < 5 THEN w
+    WHEN right(p, 1) IN ('o', 'a', 'e') THEN left(p, length(p) - 1) WHEN right(p, 4) = 'eses' THEN left(p, length(p) - 2)
+    WHEN right(p, 3) = 'ces' THEN left(p, length(p) - 3) || 'z' WHEN right(p, 2) IN ('os', 'as', 'es') THEN left(p, length(p) - 2)
+    ELSE p END"""
+SQL_STEMMED = f"""SELECT doc_id, field, term, count(*) AS tf, max(field_length) AS field_length FROM (
+    SELECT doc_id, field, field_length, {SQL_STEM} AS term FROM (
+      SELECT *, translate(w, 'àáâäòóôöèéêëùúûüìíîï', 'aaaaooooeeeeuuuuiiii') AS p FROM (
+        SELECT doc_id, field, field_length, unnest(tokens) AS w FROM ({SQL_FIELDS})))) GROUP BY ALL"""
+
+
+@query("term_postings_stemmed", SQL_STEMMED)
+def term_postings_stemmed(spark, sf_dir):
+    """Postings of light stems, stop words taken out first."""
+    tokens = R.field_tokens(_documents(spark, sf_dir), "doc_id", list(R.BOOSTS), STOP_WORDS, X.spanish_stem)
+    return R.postings(tokens, "doc_id")
+
+
 @query("term_statistics", f"SELECT field, term, count(*) AS df FROM ({SQL_POSTINGS}) GROUP BY ALL")
 def term_statistics(spark, sf_dir):
     return R.document_frequencies(term_postings(spark, sf_dir))

@@ -9,7 +9,7 @@ from tallyloom.operators import counts as C
 from tallyloom.operators import ngrams as N
 from tallyloom.operators.ordered import run_lengths
 from tallyloom.plans.registry import query
-from tallyloom.session import read_table, spread
+from tallyloom.session import read_table, saved, spread
 
 # Tokens as the SQL check states them.
 SQL_TOKENS = r"""list_transform(list_filter(regexp_split_to_array({0}, '[^\p{{L}}]+'),
@@ -83,6 +83,15 @@ def corpus_totals(spark, sf_dir):
     return C.totals(word_counts(spark, sf_dir))
 
 
+@query("corpus_totals_sketch")
+def corpus_totals_sketch(spark, sf_dir):
+    """The totals by language and over all, distinct words estimated from sketches that are kept and united."""
+    documents = read_table(spark, sf_dir, "documents").select("lang", F.explode(X.words(F.col("text"))).alias("word"))
+    sketches = saved(C.count_sketches(documents, "lang", "word"), "sketches")
+    whole = C.sketch_totals(sketches).withColumn("lang", F.lit("all"))
+    return C.sketch_totals(sketches, ["lang"]).unionByName(whole)
+
+
 @query("merge_counts", f"""SELECT word, count(*) AS count FROM ({SQL_WORDS}
     UNION ALL {SQL_WORDS.replace('FROM documents', 'FROM benchmark')}) GROUP BY word""")
 def merge_counts(spark, sf_dir):

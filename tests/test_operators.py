@@ -270,3 +270,40 @@ def test_a_bucket_is_two_rows_before_the_sum(spark):
     buckets = spark.createDataFrame([("a", 60 * k, 3) for k in range(50)], "tag string, bucket long, n long")
     # Neighbours overlap, so each change but the last opens a level.
     assert T._levels(buckets, "tag", [(0, [1]), (3600, [-1])]).count() <= 2 * 50
+
+
+@pytest.mark.parametrize("k", [1, 5, 40, 10_000])
+def test_top_pairs_by_support(spark, monkeypatch, k):
+    """Few frequent items, very many rare ones: the same as counting all pairs, with a fraction of them formed."""
+    rng = random.Random(9)
+    rows = []
+    for g in range(300):
+        rows += [(g, x) for x in rng.sample(range(12), 5)] + [(g, 1000 + rng.randrange(3000)) for _ in range(12)]
+    df = spark.createDataFrame([*rows, *rows[:50], (None, 3), (4, None)], "g long, x long")
+    counts = Counter()
+    for g in range(300):
+        counts.update(combinations(sorted({x for h, x in rows if h == g}), 2))
+    want = [(a, b, n) for (a, b), n in sorted(counts.items(), key=lambda p: (-p[1], p[0]))[:k]]
+    formed, plain = [], P._paired
+    monkeypatch.setattr(P, "_paired", lambda *args: formed.append(plain(*args)) or formed[-1])
+    got = [tuple(r) for r in P.top_pairs(df, "g", "x", k).collect()]
+    assert got == want
+    if k <= 40:
+        assert sum(f.count() for f in formed) < sum(counts.values()) / 4
+    assert P.top_pairs(df.limit(0), "g", "x", k).count() == 0 and P.top_pairs(df, "g", "x", 0).count() == 0
+
+
+def test_distinct_counts_from_sketches(spark):
+    """Within three per cent of the exact counts, whatever the parts, and a word in several parts counts once."""
+    rng = random.Random(3)
+    rows = [(rng.choice("abc"), f"w{int(rng.paretovariate(0.4)) % 40_000}") for _ in range(60_000)] + [("a", None)]
+    sketches = C.count_sketches(spark.createDataFrame(rows, "part string, word string"), "part", "word")
+    got = {r["part"]: r for r in C.sketch_totals(sketches, ["part"]).collect()}
+    whole = C.sketch_totals(sketches).first()
+    for part in "abc":
+        exact = {w for p, w in rows if p == part and w}
+        assert got[part]["total"] == sum(p == part and w is not None for p, w in rows)
+        assert abs(got[part]["distinct_items"] - len(exact)) <= 0.03 * len(exact)
+    exact = {w for _, w in rows if w}
+    assert whole["total"] == 60_000 and abs(whole["distinct_items"] - len(exact)) <= 0.03 * len(exact)
+    assert tuple(C.sketch_totals(sketches.limit(0)).first()) == (0, 0)

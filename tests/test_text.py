@@ -102,3 +102,13 @@ def test_credits(spark, text, want):
 def test_credit_line(spark):
     line = one(spark, lambda c: CR.format_credit(CR.parse_credit(c)), "Same (2005/VIII) (V)  [Cop]  <7>")
     assert line == "Same\t(2005)\t:VIDEO_MOVIE:#VIII#\t<7>\t[Cop]"
+
+
+def test_light_spanish_stems(spark):
+    words = {"libros": "libr", "casas": "cas", "luces": "luz", "intereses": "interes", "canción": "cancion", "canciones": "cancion",
+             "árbol": "arbol", "niña": "niña", "niñas": "niñ", "grande": "grand", "sol": "sol", "mesas": "mes", "gatos": "gat", "": "",
+             "feliz": "feliz", "felices": "feliz", "aéreo": "aere", "veces": "vez"}
+    frame = spark.createDataFrame([(w,) for w in words], "w string")
+    got = {r["w"]: r["s"] for r in frame.select("w", X.spanish_stem(F.col("w")).alias("s")).collect()}
+    assert got == words
+    assert spark.createDataFrame([(None,)], "w string").select(X.spanish_stem(F.col("w"))).first()[0] is None

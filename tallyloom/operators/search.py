@@ -15,6 +15,9 @@ from tallyloom.session import broadcast_if_small, saved
 BOOSTS = {"title": 5.0, "abstract": 1.0}
 TOP = 10
 K1, B = 1.2, 0.75
+# Documents in a block of stored postings; asked terms that are pushed down to the scan one by one.
+BLOCK = 128
+PUSHED_TERMS = 1000
 
 
 def spanish_stop_words() -> list[str]:
@@ -97,12 +100,8 @@ def _parts(documents: DataFrame, key: str, queries: DataFrame, boosts: Mapping[s
     statistics = F.broadcast(saved(field_statistics(matches.where("_at = 0")), "field-statistics"))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     length = 1 - B + B * F.col("field_length") / F.col("avg_length")
-    boost = F.lit(None).cast("double")
-    for field, value in boosts.items():
-        boost = F.when(F.col("field") == field, F.lit(float(value))).otherwise(boost)
-    scored = posted.join(frequencies, ["field", "term"]).join(statistics, "field").withColumn("idf", idf)
-    part = boost * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
-    scored = scored.withColumn("_part", part)
+    scored = posted.join(frequencies, ["field", "term"]).join(statistics, "field").withColumn("idf", idf).withColumn("length", length)
+    scored = scored.withColumn("_part", _part(_boost(boosts)))
     return scored.join(broadcast_if_small(asked), "term").select(
         F.col("row").alias("_row"), "query_id", F.col("key").alias(key), "field", "term", "tf", "df", "idf",
         (F.col("times") * F.col("_part")).alias("score"))
@@ -133,5 +132,91 @@ def search(documents: DataFrame, key: str, queries: DataFrame, k: int | None = T
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
+class PostingsTable:
+    """Postings written once and searched many times; no text is read at search time.
+
+    ``postings`` holds, sorted by term and block of documents, each term's part
+    of a field's score before boosts; ``blocks`` the largest part of a term in a
+    block of ``BLOCK`` documents. Both are Parquet, so a search reads the row
+    groups of the asked terms only.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str) -> None:
+        self.spark, self.path, self.key = spark, path, key
+
+    @classmethod
+    def write(cls, documents: DataFrame, key: str, path: str, fields: Sequence[str] = tuple(BOOSTS),
+              stop_words: Sequence[str] = (), stem: Callable[[Column], Column] | None = None) -> PostingsTable:
+        spark = documents.sparkSession
+        # Numbers rise along the scan; once written they are fixed.
+        numbered = documents.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key")).alias("_doc"), *fields)
+        tokens = saved(field_tokens(numbered, "_doc", list(fields), stop_words, stem), "tokens")
+        posted = saved(postings(tokens, "_doc"), "postings")
+        scored = posted.join(document_frequencies(posted), ["field", "term"]).join(F.broadcast(saved(field_statistics(tokens), "field-statistics")), "field")
+        idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        length = 1 - B + B * F.col("field_length") / F.col("avg_length")
+        # The order of the factors is that of a search that scans.
+        rows = scored.select("term", "field", F.floor(F.col("_doc.row") / BLOCK).alias("block"), F.col("_doc.row").alias("row"),
+                             F.col("_doc.key").alias(key), "tf", idf.alias("idf"), length.alias("length"))
+        whole = rows.withColumn("part", _part(F.lit(1.0)))
+        whole.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/postings")
+        stored = spark.read.parquet(f"{path}/postings")
+        most = stored.groupBy("term", "field", "block").agg(F.max("part").alias("most"))
+        most.repartitionByRange("term").sortWithinPartitions("term", "block").write.parquet(f"{path}/blocks")
+        return cls(spark, path, key)
+
+    def search(self, queries: DataFrame, k: int = TOP, boosts: Mapping[str, float] = BOOSTS, digits: int = 6,
+               first: int = 4) -> DataFrame:
+        """query_id, key, score, rank as ``search`` gives them.
+
+        The bound of a block is what a document would score that had every
+        term's largest part of the block. The ``first`` blocks with the highest
+        bounds give a k-th best score; other blocks are read only where their
+        bound reaches it.
+        """
+        asked = saved(query_terms(queries), "query-terms")
+        # A short list of words goes to the scan as a filter, which skips row groups.
+        words_asked = [r["term"] for r in asked.select("term").distinct().limit(PUSHED_TERMS + 1).collect()]
+        pushed = F.col("term").isin(words_asked) if len(words_asked) <= PUSHED_TERMS else F.lit(True)
+        terms = broadcast_if_small(asked)
+        boost = _boost(boosts)
+        bounds = self.spark.read.parquet(f"{self.path}/blocks").where(pushed).join(terms, "term")
+        bounds = bounds.groupBy("query_id", "block", "field").agg(F.sum(F.col("times") * boost * F.col("most")).alias("_b"))
+        bounds = saved(bounds.groupBy("query_id", "block").agg(F.max("_b").alias("bound")), "bounds")
+        best_first = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "block")
+        chosen = saved(bounds.withColumn("_at", F.row_number().over(best_first)).where(F.col("_at") <= first).select("query_id", "block"), "first-blocks")
+        scores = saved(self._scores(chosen, terms, pushed, boost, digits), "first-scores")
+        by_score = Window.partitionBy("query_id").orderBy(F.col("score").desc())
+        reached = scores.withColumn("_at", F.row_number().over(by_score)).where(F.col("_at") == k).select("query_id", F.col("score").alias("_k"))
+        # A rounded score may lie half a digit above its bound.
+        margin = 10.0 ** -digits
+        others = bounds.join(chosen, ["query_id", "block"], "left_anti").join(reached, "query_id", "left").where(
+            F.col("_k").isNull() | (F.col("bound") + margin >= F.col("_k")))
+        others = saved(others.select("query_id", "block"), "other-blocks")
+        every = scores.unionByName(self._scores(others, terms, pushed, boost, digits))
+        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(self.key).asc(), F.col("row").asc())
+        ranked = every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return ranked.select("query_id", self.key, "score", "rank")
+
+    def _scores(self, blocks: DataFrame, terms: DataFrame, pushed: Column, boost: Column, digits: int) -> DataFrame:
+        """query_id, row, key, score of the documents in the given blocks that hold an asked term."""
+        posted = self.spark.read.parquet(f"{self.path}/postings").where(pushed).join(terms, "term").join(broadcast_if_small(blocks), ["query_id", "block"])
+        part = posted.withColumn("_s", F.col("times") * _part(boost))
+        by_field = part.groupBy("query_id", "row", self.key, "field").agg(F.sum("_s").alias("_s"))
+        return by_field.groupBy("query_id", "row", self.key).agg(F.round(F.max("_s"), digits).alias("score"))
+
+
+def _boost(boosts: Mapping[str, float]) -> Column:
+    boost = F.lit(None).cast("double")
+    for field, value in boosts.items():
+        boost = F.when(F.col("field") == field, F.lit(float(value))).otherwise(boost)
+    return boost
+
+
+def _part(boost: Column) -> Column:
+    """A term's part of a field's score from tf, idf and the relative length."""
+    return boost * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * F.col("length"))
+
+
 def query_table(spark: SparkSession, queries: Mapping[str, str]) -> DataFrame:
     return spark.createDataFrame(list(queries.items()), "query_id string, query string")

@@ -106,15 +106,25 @@ def field_statistics(spark, sf_dir):
     return R.field_statistics(tokens).withColumn("avg_length", F.round("avg_length", 6))
 
 
-@query("search_topk", SQL_EXPLAIN + """ SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM (
+SQL_TOPK = SQL_EXPLAIN + """ SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
       SELECT query_id, doc_id, round(max(s), 6) AS score FROM (
         SELECT query_id, doc_id, field, sum(score) AS s FROM parts GROUP BY ALL) GROUP BY ALL))
-    WHERE rank <= 10""")
+    WHERE rank <= 10"""
+
+
+@query("search_topk", SQL_TOPK)
 def search_topk(spark, sf_dir):
     return R.search(_documents(spark, sf_dir), "doc_id", R.query_table(spark, QUERIES), stop_words=STOP_WORDS)
 
 
+@query("search_from_postings", SQL_TOPK)
+def search_from_postings(spark, sf_dir):
+    """The same hits from postings that were written before; blocks that cannot reach the top are not read."""
+    table = R.PostingsTable.write(_documents(spark, sf_dir), "doc_id", new_path(spark, "postings-table"), stop_words=STOP_WORDS)
+    return table.search(R.query_table(spark, QUERIES))
+
+
 @query("search_explain", SQL_EXPLAIN + """ SELECT query_id, doc_id, field, term, tf, df, round(idf, 6) AS idf,
     round(score, 6) AS score FROM parts""")
 def search_explain(spark, sf_dir):

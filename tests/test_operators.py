@@ -18,6 +18,7 @@ from tallyloom.operators import pairs as P
 from tallyloom.operators import ratings as R
 from tallyloom.operators import search as S
 from tallyloom.operators import trending as T
+from tallyloom.session import new_path
 
 
 # --- pairs ---------------------------------------------------------------------
@@ -307,3 +308,23 @@ def test_distinct_counts_from_sketches(spark):
     exact = {w for _, w in rows if w}
     assert whole["total"] == 60_000 and abs(whole["distinct_items"] - len(exact)) <= 0.03 * len(exact)
     assert tuple(C.sketch_totals(sketches.limit(0)).first()) == (0, 0)
+
+
+def test_search_in_stored_postings(spark, monkeypatch):
+    """The same hits as a search over the texts, after the texts are gone, with most blocks left unread."""
+    rng = random.Random(12)
+    # Rare words gather in few stretches, so bounds differ from block to block.
+    rows = [(i if i % 50 else None, " ".join(rng.choice(["sol", "mar", "casa"]) for _ in range(3)),
+             " ".join(["w" + "abcdefghij"[i // 300]] * rng.randrange(3) + [rng.choice(["sol", "luz", "pan"]) for _ in range(rng.randrange(12))]) or None)
+            for i in range(3000)]
+    docs = spark.createDataFrame(rows, "id long, title string, abstract string").coalesce(1)
+    asked = S.query_table(spark, {"a": "wd wd luz", "b": "wj", "c": "nada", "d": "sol mar"})
+    want = sorted(map(str, S.search(docs, "id", asked).collect()))
+    table = S.PostingsTable.write(docs, "id", new_path(spark, "stored"))
+    read, plain = [], S.PostingsTable._scores
+    monkeypatch.setattr(S.PostingsTable, "_scores", lambda self, blocks, *args: read.append(blocks) or plain(self, blocks, *args))
+    got = S.PostingsTable(spark, table.path, "id").search(asked)
+    assert sorted(map(str, got.collect())) == want
+    blocks = {q: sum(b.where(F.col("query_id") == q).count() for b in read) for q in "ab"}
+    assert all(n < 3000 / S.BLOCK / 2 for n in blocks.values()), blocks
+    assert "PushedFilters: [In(term" in plain(table, read[0], S.query_terms(asked), F.col("term").isin(["wd", "luz"]), F.lit(1.0), 6)._jdf.queryExecution().executedPlan().toString()

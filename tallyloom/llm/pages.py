@@ -12,7 +12,8 @@ The tree holds the whole page. A page that marks its article (article or main
 element) is cut to it first; a mark only raises importance: the marked element
 itself stays, its branches of low importance leave as on any other page, and an
 article of which nothing would be left stays whole. Elements that are something
-else by their kind or name (menus, forms, adverts, comments, ...) leave too.
+else by their kind (menus, forms, ...) leave too, and so do those with a name
+that says so, unless they hold the page's largest article or most of its text.
 """
 
 from __future__ import annotations
@@ -45,31 +46,59 @@ NOISE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising a
     sidebar sidebars aside widget widgets notice notices cookie cookies consent gdpr popup modal overlay alert newsletter subscribe
     subscription signup login share sharing social related recommended recommendations comment comments commentlist respond reply
     replies disqus discussion search form disclaimer copyright legal""".split())
+# Names of reader comments, which may be marked as articles themselves.
+COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus discussion".split())
+# Names that tell no main text even for a paragraph or a heading; first parts of compound names that tell nothing.
+TEXT_NOISE = frozenset("""ad ads adv advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promos
+    breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr newsletter copyright""".split())
+NEUTRAL = frozenset("""with has no without not is cat category tag post article entry content page main story single format type
+    status template""".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote td th dt dd figcaption caption".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 MAIN = frozenset(("article", "main"))
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+MARK = re.compile(r"<(?=[!?/a-zA-Z])")
+OTHER = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+# A quoted value may hold ">"; the group takes what it can and gives nothing back, so a tag is read once.
+TAG = re.compile(OTHER + r"""<(/?)([a-zA-Z][^\s/>]*)((?>[^>"'=]+|=\s*"[^"]*"|=\s*'[^']*'|["'=])*+)>""", re.S)
+PLAIN_TAG = re.compile(OTHER + r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+ENDS_RAW = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 NAMED = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|[\s"'])(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true)""", re.I)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 # Settings of the tree.
 LEAST_PAGES, LOW = 8, 0.2
+# An odd number and its inverse modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+UNBASE = pow(BASE, -1, 2**64)
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "main", "children", "parent")
+    __slots__ = ("tag", "path", "noise", "named", "main", "children", "depth")
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool, parent) -> None:
-        self.tag, self.path, self.noise, self.main, self.parent = tag, path, noise, main, parent
+    def __init__(self, tag: str, path: int, noise: bool, named: str, depth: int) -> None:
+        # ``named`` is "" or says what kind of noise the names suggest; it counts only where ``_judge_names`` lets it.
+        self.tag, self.path, self.noise, self.named, self.main, self.depth = tag, path, noise, named, tag in MAIN, depth
         self.children: list = []
 
 
-def _named(attributes: str, tag: str) -> tuple[str, bool]:
-    """The style of an element (tag, class and id words) and whether its kind or name says that it is no main text."""
-    noise = tag in SKIP
+def _suggested(token: str, tag: str) -> str:
+    """What a class or id says: "comment", "noise" or nothing. A compound name goes by its last part."""
+    parts = [w.lower() for w in PARTS.findall(token)] or [token.lower()]
+    last = token.lower() if token.lower() in NOISE_WORDS else parts[-1]
+    if last not in NOISE_WORDS or len(parts) > 1 and parts[0] in NEUTRAL:
+        return ""
+    if tag in TEXT_TAGS and last not in TEXT_NOISE:
+        return ""
+    return "comment" if last in COMMENT_WORDS else "noise"
+
+
+def _named(attributes: str, tag: str) -> tuple[str, bool, str]:
+    """The style of an element (tag, class and id words), whether its kind is no main text, and what its names suggest."""
+    noise, suggested = tag in SKIP, ""
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return tag, noise or bool(attributes and HIDDEN.search(attributes))
+        return tag, noise or bool(attributes and HIDDEN.search(attributes)), ""
     words: list[str] = []
     for name, *values in NAMED.findall(attributes):
         value = next((v for v in values if v), "")
@@ -77,70 +106,126 @@ def _named(attributes: str, tag: str) -> tuple[str, bool]:
             noise |= value.lower() in ROLES
         else:
             words += [w.lower() for w in PARTS.findall(value)]
-    noise |= not NOISE_WORDS.isdisjoint(words) or bool(HIDDEN.search(attributes))
-    return f"{tag}.{'.'.join(w for w in words if not w.isdigit())}", noise
+            for token in value.split():
+                said = _suggested(token, tag)
+                suggested = said if said == "comment" or not suggested else suggested
+    noise |= bool(HIDDEN.search(attributes))
+    return f"{tag}.{'.'.join(w for w in words if not w.isdigit())}", noise, suggested
+
+
+def _judge_names(root: Node) -> None:
+    """Names that suggest noise make it so, but not on an element with the largest article or most of the text.
+
+    Reader comments leave whatever they hold.
+    """
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in node.children if isinstance(c, Node) and not c.noise]
+    if not any(node.named for node in order):
+        return
+    size: dict[int, int] = {}
+    article: dict[int, int] = {}
+    for node in reversed(order):
+        if node.named == "comment":
+            node.noise = True
+        inner = [c for c in node.children if isinstance(c, Node) and not c.noise]
+        size[id(node)] = 0 if node.noise else sum(len(c.strip()) for c in node.children if isinstance(c, str)) + sum(size[id(c)] for c in inner)
+        article[id(node)] = 0 if node.noise else max([size[id(node)] if node.main else 0, *(article[id(c)] for c in inner)])
+    whole, largest = size[id(root)], article[id(root)]
+    for node in order:
+        if node.named == "noise" and not (2 * size[id(node)] > whole or largest and article[id(node)] == largest):
+            node.noise = True
 
 
 def parse(page: str) -> Node:
-    """The tree of a page. Unclosed and stray tags are taken the way browsers commonly do."""
-    root = Node("body", xxhash.xxh3_64_intdigest(b"body"), False, False, None)
-    at, here, end = 0, root, len(page)
-    low = None
+    """The tree of a page. Unclosed and stray tags are taken the way browsers commonly do.
+
+    Every step is done once: open elements are found by their tag, and a tag
+    whose quotes never close makes quotes count for nothing from there on.
+    """
+    root = Node("body", xxhash.xxh3_64_intdigest(b"body"), False, "", 0)
+    at, end, pattern = 0, len(page), TAG
+    stack: list[Node] = [root]
+    opened: dict[str, list[int]] = {}
+    blocks: list[Node] = []
+
+    def close(depth: int) -> None:
+        """Closes every element of this depth or deeper."""
+        while len(stack) > depth:
+            node = stack.pop()
+            opened[node.tag].pop()
+            if node.tag in BLOCKS:
+                blocks.pop()
+
     while at < end:
-        found = TAG.search(page, at)
-        if found is None:
-            tail = page[at:]
-            here.children.append(tail)
+        mark = MARK.search(page, at)
+        if mark is None:
+            stack[-1].children.append(page[at:])
             break
+        found = pattern.match(page, mark.start())
+        if found is None and pattern is TAG:
+            pattern = PLAIN_TAG
+            found = pattern.match(page, mark.start())
+        if found is None:
+            if page.find(">", mark.start()) < 0:
+                stack[-1].children.append(page[at:])
+                break
+            # "</" without a name.
+            stack[-1].children.append(page[at:mark.end()])
+            at = mark.end()
+            continue
         if found.start() > at:
-            here.children.append(page[at:found.start()])
+            stack[-1].children.append(page[at:found.start()])
         at = found.end()
         tag = found.group(2)
         if tag is None:
             continue
         tag = tag.lower()
         if found.group(1):
-            node = here
-            while node is not root and node.tag != tag:
-                # A stray end tag does not leave the table cell, item or section it stands in.
-                if tag not in BLOCKS and node.tag in BLOCKS:
-                    node = root
-                    break
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            depths = opened.get(tag)
+            # A stray end tag does not leave the table cell, item or section it stands in.
+            if depths and (tag in BLOCKS or not blocks or blocks[-1].depth <= depths[-1]):
+                close(depths[-1])
             continue
         if tag in ("html", "body"):
             continue
         if tag in RAW:
             # What these hold is no markup of the page.
-            low = page.lower() if low is None else low
             if not found.group(0).endswith("/>") or tag in ("script", "style", "title", "textarea"):
-                stop = low.find(f"</{tag}", at)
-                at = end if stop < 0 else stop
+                stop = ENDS_RAW[tag].search(page, at)
+                at = end if stop is None else stop.start()
             continue
-        if tag in CLOSES_P:
-            node = here
-            while node is not root and node.tag not in BLOCKS:
-                node = node.parent
-            if node.tag == "p":
-                here = node.parent
+        if tag in CLOSES_P and blocks and blocks[-1].tag == "p":
+            close(blocks[-1].depth)
         if tag in SELF_CLOSING:
-            ends, border = SELF_CLOSING[tag]
-            node = last = here
-            while node is not root and node.tag not in border:
-                if node.tag in ends:
-                    last = node.parent
-                node = node.parent
-            here = last
-        style, noise = _named(found.group(3), tag)
-        node = Node(tag, xxhash.xxh3_64_intdigest(f"{here.path}>{style}".encode()), noise, tag in MAIN, here)
+            ends, borders = SELF_CLOSING[tag]
+            border = max((opened[b][-1] for b in borders if opened.get(b)), default=0)
+            inside = [d for e in ends for d in _deeper(opened.get(e, ()), border)]
+            if inside:
+                close(min(inside))
+        here = stack[-1]
+        style, noise, named = _named(found.group(3), tag)
+        node = Node(tag, xxhash.xxh3_64_intdigest(f"{here.path}>{style}".encode()), noise, named, len(stack))
         here.children.append(node)
         if tag not in VOID and not found.group(3).rstrip().endswith("/"):
-            here = node
+            stack.append(node)
+            opened.setdefault(tag, []).append(node.depth)
+            if tag in BLOCKS:
+                blocks.append(node)
+    _judge_names(root)
     return root
 
 
+def _deeper(depths, border: int):
+    """The depths below the border, the deepest first; all of them are closed, so no depth is looked at twice."""
+    for depth in reversed(depths):
+        if depth <= border:
+            return
+        yield depth
+
+
 def _blocks(top: Node, low: frozenset | set, out: list[str], line: list[str], spans: list | None = None) -> None:
     """Adds the blocks of ``top`` in page order; no recursion, pages may nest deeply.
 
@@ -227,9 +312,15 @@ def style_nodes(page: str | None) -> list[tuple[int, int, int, int]]:
     rows: dict[tuple[int, int, int], int] = {}
     seen, out, spans = set(), [], []
     _blocks(parse(page or ""), frozenset(), out, [], spans)
+    # A polynomial over the hashes of the blocks names any stretch of them, so nested elements are not read again.
+    named, power = [0], 1
+    for block in out:
+        named.append((named[-1] + xxhash.xxh3_64_intdigest(block.encode()) * power) % 2**64)
+        power = power * BASE % 2**64
     for node, start, end in spans:
         shape = ",".join(str(c.path) for c in node.children if isinstance(c, Node))
-        row = (node.path, xxhash.xxh3_64_intdigest("\n".join(out[start:end]).encode()), xxhash.xxh3_64_intdigest(shape.encode()))
+        content = (named[end] - named[start]) * pow(UNBASE, start, 2**64) % 2**64
+        row = (node.path, content, xxhash.xxh3_64_intdigest(shape.encode()))
         if row not in rows:
             rows[row] = int(node.path not in seen)
             seen.add(node.path)
@@ -279,12 +370,14 @@ def low_branches(pages: DataFrame, url: str = "url", page: str = "html", least:
     total = counted.groupBy("host", "path").agg(F.sum("first").alias("m"), F.sum("n").alias("all")).where(F.col("m") >= least)
 
     def each(name: str) -> DataFrame:
-        return counted.groupBy("host", "path", name).agg(F.sum("n").alias("c")).join(total, ["host", "path"])
+        # Many contents of one node become counts of counts before they meet in a task.
+        one = counted.groupBy("host", "path", name).agg(F.sum("n").alias("c"))
+        return one.groupBy("host", "path", "c").agg(F.count("*").alias("k")).join(total, ["host", "path"])
 
     share = F.col("c") / F.col("all")
     content = each("content").groupBy("host", "path").agg(
-        (1 - F.avg(F.ln(F.least("c", "m")) / F.ln("m"))).alias("content_importance"))
-    shape = each("shape").groupBy("host", "path").agg(F.sum(-share * F.ln(share) / F.ln("m")).alias("shape_importance"))
+        (1 - F.sum(F.col("k") * F.ln(F.least("c", "m")) / F.ln("m")) / F.sum("k")).alias("content_importance"))
+    shape = each("shape").groupBy("host", "path").agg(F.sum(-F.col("k") * share * F.ln(share) / F.ln("m")).alias("shape_importance"))
     return content.join(shape, ["host", "path"]).where((F.col("content_importance") < low) & (F.col("shape_importance") < low)).select("host", "path")
 
 

@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from tallyloom.llm import grams, quality, repair, secrets, skips, substrings
+from tallyloom.llm import grams, pages, quality, repair, secrets, skips, substrings
 from tallyloom.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -405,3 +406,34 @@ def test_sketch_counts_one_and_more():
         substrings.add_once(once, often, column)
         plain[column] += 1
         assert (np.unpackbits(once) == (plain >= 1)).all() and (np.unpackbits(often) == (plain >= 2)).all()
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<main class='with-sidebar'><p>all of it</p></main>", "all of it"),
+    ("<article class='post category-legal'><h1>T</h1><p>law</p></article>", "T\nlaw"),
+    ("<div class='layout has-sidebar'><article><p>in</p></article><div class='sidebar'>out</div></div>", "in"),
+    ("<article><div class='article-header'><h1>Title</h1></div><p>text</p></article>", "Title\ntext"),
+    ("<article><p class='form'>a form of words</p><p class='ad'>buy</p></article>", "a form of words"),
+    ("<article><p>long enough text</p></article><section class='comments'><article>a comment that is longer than the article</article></section>", "long enough text"),
+    ("<div class='cookieBanner'>We use</div><div class='site-header'>H</div><div class='body'><p>the text of the page</p></div>", "the text of the page"),
+    ("<div class='sidebar'><p>everything there is on this page</p></div><p>bit</p>", "everything there is on this page\nbit"),
+    ("İİİİİ<script>x</script><p>next paragraph</p>", "İİİİİ\nnext paragraph"),
+    ("<p>" + "İ" * 20 + "<SCRIPT>x</ScRiPt>eight letters</p>", "İ" * 20 + "eight letters"),
+    ("<p title='a > b'>x</p><p title=it's>y</p><p>z \"", 'x\ny\nz "'),
+    ("a </ b < c <1", "a </ b < c <1"),
+    ("<ul><li>a<ul><li>b<li>c</ul><li>d</ul>", "a\nb\nc\nd"),
+    ("<table><tr><td><b>x<td>y</b><tr><td>z</table>", "x\ny\nz"),
+])
+def test_main_text(page, text):
+    assert pages.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<a b=\"" * 150_000, "<a b='" * 150_000 + ">", "<a \"" * 200_000, "<li>" * 200_000, "<div>" * 100_000 + "<li>x" * 100_000,
+    "<li><ul>" + "<div>" * 60_000 + "<li>x" * 60_000, "<p>" * 100_000 + "</b>" * 100_000, "<" * 1_000_000, "</" * 500_000, "<!--" * 250_000,
+    "<b>" * 100_000 + "</i>" * 100_000, "<div class='sidebar'>" * 50_000 + "x", "<script>" * 120_000, "<div>" * 20_000 + "<p>words of a paragraph" * 20_000])
+def test_hostile_pages_take_seconds(page):
+    start = time.process_time()
+    pages.style_nodes(page)
+    pages.main_text(page)
+    assert time.process_time() - start < 12

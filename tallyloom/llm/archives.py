@@ -4,7 +4,8 @@ A package is a ZIP file whose members are stored, not compressed: one or more
 WARC members (each record is a gzip member of its own) and one index per WARC
 member with the place of every record. A reader needs the end of the package to
 find the central directory, the index member, and then only the bytes of the
-records it wants; nothing is extracted. Packages larger than 4 GB, or with more
+records it wants; nothing is extracted. Tasks write packages as files into the
+shared folder and read them by seeking. Packages larger than 4 GB, or with more
 than 65,535 members, use the ZIP64 directory; the reader takes either.
 """
 
@@ -13,15 +14,17 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.rows import field
-from tallyloom.session import saved
+from tallyloom.session import new_path, saved
 
 # Fixed values of the formats.
 LOCAL, CENTRAL, END, END64, LOCATOR64 = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
@@ -99,8 +102,11 @@ class Package:
         return b"".join(self.parts)
 
 
-def directory(fetch: Fetch, size: int) -> dict[str, tuple[int, int]]:
-    """(offset of the local header, length) of each stored member, from the central directory."""
+def directory(fetch: Fetch, size: int, with_others: bool = False):
+    """(offset of the local header, length) of each stored member, from the central directory.
+
+    ``with_others`` also gives the names of members that are not stored as they are.
+    """
     tail_at = max(0, size - (22 + BIG16))
     tail = fetch(tail_at, size - tail_at)
     at = tail.rfind(END)
@@ -118,7 +124,7 @@ def directory(fetch: Fetch, size: int) -> dict[str, tuple[int, int]]:
             if end64[:4] != END64:
                 raise ValueError("no ZIP64 end of a central directory")
             count, length, start = struct.unpack_from("<3Q", end64, 32)
-    table, out, at = fetch(start, length), {}, 0
+    table, out, others, at = fetch(start, length), {}, [], 0
     for _ in range(count):
         if table[at:at + 4] != CENTRAL:
             raise ValueError("a damaged central directory")
@@ -139,8 +145,10 @@ def directory(fetch: Fetch, size: int) -> dict[str, tuple[int, int]]:
             k += 4 + width
         if method == 0:
             out[name] = (offset, packed)
+        else:
+            others.append(name)
         at += 46 + name_size + extra_size + note_size
-    return out
+    return (out, others) if with_others else out
 
 
 def member_start(fetch: Fetch, offset: int) -> int:
@@ -153,8 +161,13 @@ def member_start(fetch: Fetch, offset: int) -> int:
 
 
 def read_records(fetch: Fetch, size: int) -> Iterator[tuple[dict, dict[str, str], bytes]]:
-    """(index entry, headers, block) of every indexed record, one range each."""
-    members = directory(fetch, size)
+    """(index entry, headers, block) of every indexed record, one range each.
+
+    A WARC member that no stored index covers is an error: its records would be
+    left out without a word.
+    """
+    members, skipped = directory(fetch, size, with_others=True)
+    covered: set[str] = set()
     for name, (offset, length) in members.items():
         if not name.endswith(".cdxj"):
             continue
@@ -163,15 +176,46 @@ def read_records(fetch: Fetch, size: int) -> Iterator[tuple[dict, dict[str, str]
         for line in lines:
             entry = json.loads(line.split(b" ", 2)[2])
             home = entry["filename"]
+            covered.add(home)
+            if home not in members:
+                raise ValueError(f"an index of {home}, which is no stored member")
             if home not in starts:
                 starts[home] = member_start(fetch, members[home][0])
             if not 0 <= entry["offset"] <= entry["offset"] + entry["length"] <= members[home][1]:
                 raise ValueError("an index entry outside its member")
             data = zlib.decompress(fetch(starts[home] + entry["offset"], entry["length"]), 31)
             yield entry, *parse_record(data)
+    empty = {name for name, (_, length) in members.items() if not length}
+    left = [n for n in [*members, *skipped] if n.endswith((".warc", ".warc.gz")) and n not in covered | empty]
+    if left:
+        raise ValueError(f"no stored index covers {left}")
+
+
+def record_id(digest: str, ident: str) -> str:
+    """The id of a record: the same page and payload have the same one, whoever writes it again."""
+    return f"<urn:sha1:{hashlib.sha1(f'{digest} {ident}'.encode()).hexdigest()}>"
 
 
-def _packed(limit: int):
+def _files(folder: str):
+    """The file system of a folder and the folder's path in it, as tasks use them."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
+
+
+def _write_file(folder: str, data: bytes) -> str:
+    """Writes a package under the hash of its bytes; a task that runs twice writes the same file."""
+    system, base = _files(folder)
+    system.create_dir(base, recursive=True)
+    name = f"{hashlib.sha1(data).hexdigest()}.zip"
+    part = f"{base}/{uuid.uuid4().hex}.part"
+    with system.open_output_stream(part) as out:
+        out.write(data)
+    system.move(part, f"{base}/{name}")
+    return name
+
+
+def _packed(limit: int, folder: str):
     def run(batches):
         package: list[bytes] = []
         index: list[str] = []
@@ -183,16 +227,17 @@ def _packed(limit: int):
             out.add(INDEX, "".join(index).encode())
             data = out.close()
             return pa.RecordBatch.from_arrays(
-                [pa.array([hashlib.sha1(data).hexdigest()], pa.string()), pa.array([data], pa.binary())], names=["name", "content"])
+                [pa.array([f"{folder}/{_write_file(folder, data)}"], pa.string()), pa.array([len(data)], pa.int64())], names=["path", "size"])
 
         for batch in batches:
             for ident, url, payload, digest, first in zip(*(c.to_pylist() for c in batch.columns)):
                 data = (payload or "").encode()
                 uri = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-                headers = [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(len(data)))]
+                headers = [("WARC-Record-ID", record_id(digest, "" if ident is None else str(ident))),
+                           ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(len(data)))]
                 headers += [] if ident is None else [("X-Page-Id", str(ident))]
                 if first is not None:
-                    headers += [("WARC-Refers-To", f"<urn:page:{first}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+                    headers += [("WARC-Refers-To", record_id(digest, str(first))), ("X-Refers-To-Page", str(first)), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
                 kind = "response" if first is None else "revisit"
                 record = gzip_member(warc_record(kind, uri, b"" if first is not None else data, headers))
                 entry = {"url": uri, "digest": digest, "type": kind, "filename": WARC, "offset": size, "length": len(record)}
@@ -210,7 +255,7 @@ def _packed(limit: int):
 
 def write_packages(pages: DataFrame, ident: str = "page_id", url: str = "url", page: str = "html",
                    least: int = LEAST, limit: int = PACKAGE) -> DataFrame:
-    """(name, content): ZIP packages with a record for each row, saved in the shared folder.
+    """(path, size): ZIP packages with a record for each row, files in the shared folder.
 
     Of rows with equal payloads of at least ``least`` bytes the one with the
     largest id is a response and the others revisit it; rows that share that id
@@ -227,41 +272,62 @@ def write_packages(pages: DataFrame, ident: str = "page_id", url: str = "url", p
     # Only payloads that repeat are listed, so the joined side is small unless most pages are copies.
     linked = rows.join(saved(again, "copies"), F.col("digest") == F.col("same"), "left")
     refers = F.when((F.col("ident") != F.col("first")) | F.col("ident").isNull(), F.col("first"))
-    return saved(linked.select("ident", "url", "page", "digest", refers.alias("refers")).mapInArrow(_packed(limit), "name string, content binary"), "packages")
+    folder = new_path(pages.sparkSession, "archives")
+    return saved(linked.select("ident", "url", "page", "digest", refers.alias("refers")).mapInArrow(_packed(limit, folder), "path string, size long"), "packages")
+
 
+def _rows_of(fetch: Fetch, size: int) -> Iterator[tuple]:
+    for entry, headers, block in read_records(fetch, size):
+        ident, refers = headers.get("x-page-id"), headers.get("x-refers-to-page")
+        kind, digest = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
+        if kind == "response" and hashlib.sha1(block).hexdigest() != digest:
+            raise ValueError(f"a payload does not match its digest: {entry}")
+        yield (None if ident is None else int(ident), headers["warc-target-uri"], int(headers["x-payload-length"]), digest, kind,
+               None if refers is None else int(refers), headers["warc-record-id"], headers.get("warc-refers-to"), block)
 
-def _read(batches):
+
+READ = ("id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+        "record_id string, refers_to_record string, block binary")
+KINDS = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary())
+
+
+def _batches(rows: Iterator[tuple], most: int = 1000) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, most)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), KINDS)], names=[c.split()[0] for c in READ.split(", ")])
+
+
+def _read_files(batches):
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            system, place = _files(path)
+            with system.open_input_file(place) as file:
+                yield from _batches(_rows_of(lambda start, length, file=file: file.read_at(length, start), file.size()))
+
+
+def _read_contents(batches):
     for batch in batches:
         for content in batch.column(0).to_pylist():
             view = memoryview(content)
+            yield from _batches(_rows_of(lambda start, length, view=view: bytes(view[start:start + length]), len(view)))
+
 
-            def fetch(start: int, length: int, view=view) -> bytes:
-                return bytes(view[start:start + length])
+def read_package_files(files: DataFrame, path: str = "path") -> DataFrame:
+    """(id, url, payload_bytes, payload_digest, record_type, refers_to, record_id, refers_to_record, block) of all records.
 
-            rows = []
-            for entry, headers, block in read_records(fetch, len(view)):
-                ident, refers = headers.get("x-page-id"), headers.get("warc-refers-to")
-                kind, digest = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
-                if kind == "response" and hashlib.sha1(block).hexdigest() != digest:
-                    raise ValueError(f"a payload does not match its digest: {entry}")
-                rows.append((None if ident is None else int(ident), headers["warc-target-uri"], int(headers["x-payload-length"]), digest, kind,
-                             None if refers is None else int(refers.removeprefix("<urn:page:").removesuffix(">")), block))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
-            columns = zip(*rows) if rows else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "block"])
+    ``files`` names packages by paths that every task can open, such as those
+    that ``write_packages`` returns; packages are spread over tasks. A task
+    seeks to the directory, to the index and to each record; a package of any
+    size is never read whole. A damaged package, a WARC member without an index
+    or a payload that does not match its digest stops the job. Null paths are
+    left out.
+    """
+    named = files.select(field(files, path).alias("path")).where("path is not null")
+    return named.repartition("path").mapInArrow(_read_files, READ)
 
 
 def read_packages(packages: DataFrame, content: str = "content") -> DataFrame:
-    """(id, url, payload_bytes, payload_digest, record_type, refers_to, block) of all records.
-
-    ``packages`` is any frame with the bytes of packages, such as the result of
-    ``write_packages`` or of Spark's binary file source. Every record is found
-    through the directory and the index and decoded from its own range. A
-    damaged package or a payload that does not match its digest stops the job.
-    """
-    return packages.select(field(packages, content).alias("content")).where("content is not null").mapInArrow(
-        _read, "id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, block binary")
+    """The rows of ``read_package_files`` from packages that are given as bytes, as Spark's binary file source does."""
+    return packages.select(field(packages, content).alias("content")).where("content is not null").mapInArrow(_read_contents, READ)
 
 
 SQL = """

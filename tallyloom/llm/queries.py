@@ -26,7 +26,8 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     packages = archives.write_packages(read_table(spark, sf_dir, "pages"))
-    return archives.read_packages(packages).drop("url", "block").withColumnRenamed("id", "page_id")
+    return archives.read_package_files(packages).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

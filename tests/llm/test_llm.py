@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import random
 import re
 import zipfile
@@ -334,12 +335,53 @@ def test_packages_round_trip(spark):
     rows = [(1, "http://a", big), (3, "http://b\r\nX: 1", big), (2, None, big), (4, "u", None), (5, "u", "<p>"), (6, "u", "<p>"), (3, "u", big), (None, "u", big)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     packages = archives.write_packages(df, limit=300)
-    got = sorted(((r["id"], r["record_type"], r["refers_to"], r["payload_bytes"], bytes(r["block"])) for r in archives.read_packages(packages).collect()), key=str)
+    got = sorted(((r["id"], r["record_type"], r["refers_to"], r["payload_bytes"], bytes(r["block"])) for r in archives.read_package_files(packages).collect()), key=str)
     text = big.encode()
     assert got == sorted([(1, "revisit", 3, 1200, b""), (3, "response", None, 1200, text), (2, "revisit", 3, 1200, b""), (4, "response", None, 0, b""),
                           (5, "response", None, 3, b"<p>"), (6, "response", None, 3, b"<p>"), (3, "response", None, 1200, text),
                           (None, "revisit", 3, 1200, b"")], key=str)
-    assert archives.read_packages(archives.write_packages(df.limit(0))).count() == 0
+    assert archives.read_package_files(archives.write_packages(df.limit(0))).count() == 0
+    # The same records from the bytes, as Spark's binary file source gives them.
+    files = spark.read.format("binaryFile").load([r["path"] for r in packages.collect()])
+    columns = ["id", "url", "record_id", "refers_to_record", "block"]
+    by_bytes = sorted(map(str, archives.read_packages(files).select(*columns).collect()))
+    records = archives.read_package_files(packages).select(*columns).collect()
+    assert by_bytes == sorted(map(str, records)) and packages.count() > 1
+    # Every revisit names a record that exists.
+    ids = {r["record_id"] for r in records}
+    assert {r["refers_to_record"] for r in records} - {None} <= ids and len(ids) == 7
+
+
+def test_packages_without_a_usable_index_are_errors(spark):
+    for members in ([("a.warc.gz", zipfile.ZIP_STORED)], [("a.warc.gz", zipfile.ZIP_STORED), ("a.cdxj", zipfile.ZIP_DEFLATED)],
+                    [("a.warc", zipfile.ZIP_DEFLATED), ("a.idx", zipfile.ZIP_STORED)]):
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w") as file:
+            for name, kind in members:
+                file.writestr(name, b"content", kind)
+        with pytest.raises(ValueError, match="no stored index"):
+            list(archives.read_records(lambda s, n: data.getvalue()[s:s + n], len(data.getvalue())))
+
+
+def test_only_ranges_of_a_package_are_read():
+    pages_ = [f"page {i} " * 400 for i in range(200)]
+    package, index, body = archives.Package(), [], b""
+    for i, page in enumerate(pages_):
+        digest = hashlib.sha1(page.encode()).hexdigest()
+        record = archives.gzip_member(archives.warc_record("response", f"u{i}", page.encode(), [
+            ("WARC-Record-ID", archives.record_id(digest, str(i))), ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(len(page)))]), 0)
+        entry = {"filename": archives.WARC, "offset": len(body), "length": len(record)}
+        index.append(f"u{i} x {json.dumps(entry)}\n")
+        body += record
+    package.add(archives.WARC, body), package.add(archives.INDEX, "".join(index).encode())
+    data, asked = package.close(), []
+
+    def fetch(start, length):
+        asked.append(length)
+        return data[start:start + length]
+
+    assert [block.decode() for _, _, block in archives.read_records(fetch, len(data))] == pages_
+    assert max(asked) < len(data) / 5 and sum(asked) < len(data) + 3 * 65_600
 
 
 def test_pipeline_steps_take_effect(spark):

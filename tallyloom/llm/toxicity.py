@@ -163,15 +163,17 @@ def _labelled(docs: DataFrame, labels: DataFrame, ident: str, text: str, label_i
 
 
 def sample(docs: DataFrame, labels: DataFrame, ident: str, text: str, label_id: str, label: str, most: int) -> DataFrame:
-    """(text, y): at most ``most`` labelled training rows of each class, chosen by a hash of the id."""
+    """(text, y): at most ``most`` labelled training documents of each class, chosen by a hash of the id; one row each."""
     known = _labelled(docs, labels, ident, text, label_id, label).where(~held_out(F.col("id")))
     chosen = None
     for y in (0, 1):
         part = known.where((F.col("y") > 0) == bool(y)).orderBy(F.xxhash64("id"), "id").limit(most)
         chosen = part if chosen is None else chosen.union(part)
     chosen = hinted(saved(chosen, "sample"), 32)
-    return pick(docs, id=ident, text=text).select(F.col("id").cast("long"), "text").join(chosen, "id").orderBy("id").select(
-        F.col("text").cast("binary").alias("text"), (F.col("y") > 0).cast("int").alias("y")).limit(4 * most)
+    # A repeated id gives one row, so that the bound is on rows too: the text with the smallest hash.
+    found = pick(docs, id=ident, text=text).select(F.col("id").cast("long"), F.col("text").cast("binary").alias("text")).join(chosen, "id")
+    single = found.groupBy("id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return single.orderBy("id").select("text", (F.col("y") > 0).cast("int").alias("y"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", label_id: str = "doc_id",

@@ -437,3 +437,73 @@ def test_hostile_pages_take_seconds(page):
     pages.style_nodes(page)
     pages.main_text(page)
     assert time.process_time() - start < 12
+
+
+def test_pipeline_against_brute_force(spark):
+    """Every stage on what the one before it kept, by plain loops, down to the token ids of the library."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    docs = pq.read_table(f"{SF}/documents.parquet").to_pylist()
+    labels = {r["doc_id"]: int(r["quality"] > 0) for r in pq.read_table(f"{SF}/labels.parquet").to_pylist() if r["quality"] is not None}
+    halves = {r["doc_id"]: r["h"] for r in spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "pmod(xxhash64(doc_id), 2) = 0 as h").collect()}
+    kept, _ = quality_by_hand([(d["doc_id"], d["text"], d["lang"], halves[d["doc_id"]]) for d in docs], labels)
+    texts = {d["doc_id"]: d["text"] for d in sorted(docs, key=lambda d: d["doc_id"]) if kept[d["doc_id"]]}
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def words(text):
+        return [w for w in re.split("[ \t\n\x0b\f\r]+", text.translate(lower)) if w]
+
+    # Lines: earlier ones count whether they stay or not.
+    earlier, by_word, after = [], {}, {}
+    for i, text in texts.items():
+        stay = []
+        for line in text.split("\n"):
+            own = frozenset(words(line))
+            near = {k for w in own for k in by_word.get(w, ())}
+            if not any(100 * len(own & earlier[k]) >= 80 * len(own | earlier[k]) for k in near):
+                stay.append(line)
+            for w in own:
+                by_word.setdefault(w, set()).add(len(earlier))
+            earlier.append(own)
+        after[i] = "\n".join(stay)
+    sets = {}
+    for i, text in after.items():
+        w = words(text)
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    left = {i: after[i] for i in after if find(i) == i}
+    runs = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    windows = set()
+    for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist():
+        w = runs.findall((r["text"] or "").translate(lower))
+        windows |= {tuple(w[k:k + 10]) for k in range(len(w) - 9)} if len(w) >= 10 else {tuple(w)} - {()}
+    sizes = {len(w) for w in windows}
+
+    def clean(text):
+        w = runs.findall(text.translate(lower))
+        return not any(tuple(w[k:k + n]) in windows for n in sizes for k in range(len(w) - n + 1))
+
+    coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    coder.no_padding(), coder.no_truncation()
+    want = set()
+    for i, text in left.items():
+        if clean(text):
+            ids = coder.encode(text, add_special_tokens=False).ids
+            want.add((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                      hashlib.sha256(coder.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    got = {tuple(r) for r in corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()}
+    assert got == want
+    assert 0 < len(want) <= len(left) < len(after) < len(docs) and after != texts

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import archives, bpe, chats, decontaminate, lines, minhash, pages, quality, repair, secrets, skips, substrings, toxicity
-from tallyloom.session import read_table
+from tallyloom.session import read_table, saved
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,8 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    return toxicity.score_toxicity(docs, toxicity.fit(docs, labels)).withColumnRenamed("id", "doc_id")
+    scored = saved(toxicity.score_toxicity(docs, toxicity.fit(docs, labels), lang="lang"), "scores")
+    return toxicity.flagged(scored, saved(toxicity.thresholds(scored, labels), "thresholds")).withColumnRenamed("id", "doc_id")
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

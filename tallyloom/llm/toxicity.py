@@ -4,8 +4,8 @@ Words are hashed into an embedding table; filters of several widths slide over
 the word vectors, each keeps its largest response, and a logistic unit reads
 them. Training takes a bounded sample of labelled documents; scoring reads every
 whole text in Arrow batches. For decisions by language a threshold per language
-is calibrated on labelled documents that training did not see; the score itself
-knows nothing but the text.
+is calibrated on labelled documents that neither training nor the holdout takes;
+the score itself knows nothing but the text.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyloom.llm.grams import MEMORY, text_bytes
 from tallyloom.llm.rows import field, hinted, pick
@@ -156,15 +157,19 @@ def held_out(ident):
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, ident: str, text: str, label_id: str, label: str) -> DataFrame:
-    known = pick(labels, id=label_id, y=label).select(F.col("id").cast("long"), F.col("y").cast("int")).where(
+def calibrates(ident):
+    """Labelled rows that neither training nor the holdout takes: one in eight of the others sets the thresholds."""
+    return ~held_out(ident) & F.coalesce(F.crc32(F.concat(F.lit("threshold "), ident.cast("string")).cast("binary")) % 8 == 0, F.lit(False))
+
+
+def _labelled(labels: DataFrame, label_id: str, label: str) -> DataFrame:
+    return pick(labels, id=label_id, y=label).select(F.col("id").cast("long"), F.col("y").cast("int")).where(
         "id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
-    return known
 
 
 def sample(docs: DataFrame, labels: DataFrame, ident: str, text: str, label_id: str, label: str, most: int) -> DataFrame:
     """(text, y): at most ``most`` labelled training documents of each class, chosen by a hash of the id; one row each."""
-    known = _labelled(docs, labels, ident, text, label_id, label).where(~held_out(F.col("id")))
+    known = _labelled(labels, label_id, label).where(~held_out(F.col("id")) & ~calibrates(F.col("id")))
     chosen = None
     for y in (0, 1):
         part = known.where((F.col("y") > 0) == bool(y)).orderBy(F.xxhash64("id"), "id").limit(most)
@@ -187,43 +192,50 @@ def _scored(sent):
     def run(batches):
         net, words = Net(*sent.value), Buckets()
         for batch in batches:
-            marks = [score(net, words(t)) for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.float64())], names=["id", "score"])
+            marks = [score(net, words(t)) for t in text_bytes(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.float64())], names=["id", "lang", "score"])
 
     return run
 
 
-def score_toxicity(docs: DataFrame, net: Net, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, held_out, score, predicted) for each row.
+def score_toxicity(docs: DataFrame, net: Net, ident: str = "doc_id", text: str = "text", lang: str | None = None) -> DataFrame:
+    """(id, held_out, score, predicted) for each row, and ``lang`` where a column of that is named.
 
-    ``score`` lies between 0 and 1; null and blank texts score like a text of
-    padding alone. ``predicted`` is 1 from 0.5 on. Rows are independent, so
-    repeated rows agree; a null id is not held out; other columns are ignored;
-    an empty table gives none.
+    ``score`` lies between 0 and 1 and depends on the text alone; null and blank
+    texts score like a text of padding alone. ``predicted`` is 1 from 0.5 on.
+    Rows are independent, so repeated rows agree; a null id is not held out; a
+    null language is the empty one; other columns are ignored; an empty table
+    gives none.
     """
     sent = docs.sparkSession.sparkContext.broadcast((net.table, net.filters, net.shifts, net.out, net.bias))
-    rows = docs.select(field(docs, ident).cast("long").alias("id"), field(docs, text).alias("text"))
-    marked = rows.mapInArrow(_scored(sent), "id long, score double")
-    return marked.select("id", held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
-
-
-def thresholds(scored: DataFrame, docs: DataFrame, labels: DataFrame, ident: str = "doc_id", lang: str = "lang",
-               label_id: str = "doc_id", label: str = "toxic", precision: float = 0.9, steps: int = 100) -> DataFrame:
-    """(lang, threshold): the lowest score from which on ``precision`` of the held-out rows of a language are toxic.
-
-    ``scored`` is saved output of ``score_toxicity``. Scores are counted in
-    ``steps`` bins per language, so no language is gathered in one task. A
-    language without labelled rows, or that never reaches the precision, has
-    the threshold 0.5.
+    named = F.lit("") if lang is None else F.coalesce(field(docs, lang).cast("string"), F.lit(""))
+    rows = docs.select(field(docs, ident).cast("long").alias("id"), named.alias("lang"), field(docs, text).alias("text"))
+    marked = rows.mapInArrow(_scored(sent), "id long, lang string, score double")
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return marked.select("id", held_out(F.col("id")).alias("held_out"), "score", predicted, *([] if lang is None else ["lang"]))
+
+
+def thresholds(scored: DataFrame, labels: DataFrame, label_id: str = "doc_id", label: str = "toxic",
+               precision: float = 0.9, steps: int = 100) -> DataFrame:
+    """(lang, threshold): the lowest score from which on ``precision`` of the calibrating rows of a language are toxic.
+
+    ``scored`` is saved output of ``score_toxicity`` with its language. Only
+    labelled rows that neither training nor the holdout takes count. Scores are
+    counted in ``steps`` bins per language, so no language is gathered in one
+    task. A language without such rows, or that never reaches the precision, is
+    not listed.
     """
-    known = _labelled(docs, labels, ident, "", label_id, label)
-    langs = pick(docs, id=ident, lang=lang).select(F.col("id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
-    rows = scored.where("held_out").join(known, "id").join(langs, "id")
+    known = _labelled(labels, label_id, label)
+    rows = scored.where(calibrates(F.col("id"))).join(known, "id")
     bins = rows.groupBy("lang", F.floor(F.col("score") * steps).alias("bin")).agg(
         F.count("*").alias("n"), F.sum((F.col("y") > 0).cast("long")).alias("good"))
-    from pyspark.sql.window import Window
-
     above = Window.partitionBy("lang").orderBy(F.desc("bin"))
-    kept = bins.select("lang", "bin", F.sum("n").over(above).alias("n"), F.sum("good").over(above).alias("good")).where(
+    return bins.select("lang", "bin", F.sum("n").over(above).alias("n"), F.sum("good").over(above).alias("good")).where(
         F.col("good") >= precision * F.col("n")).groupBy("lang").agg((F.min("bin") / steps).alias("threshold"))
-    return langs.select("lang").distinct().join(kept, "lang", "left").select("lang", F.coalesce("threshold", F.lit(0.5)).alias("threshold"))
+
+
+def flagged(scored: DataFrame, limits: DataFrame) -> DataFrame:
+    """``scored`` with ``flagged``: 1 from the threshold of the row's language on, 0.5 where it has none."""
+    limits = limits.withColumnRenamed("lang", "limited")
+    joined = scored.join(hinted(limits, 128), scored["lang"] == limits["limited"], "left")
+    return joined.withColumn("flagged", (F.col("score") >= F.coalesce("threshold", F.lit(0.5))).cast("int")).drop("limited", "threshold")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyloom.session import broadcast_if_small, saved
+from tallyloom.session import broadcast_if_small, saved, saved_in_buckets, shuffle_partitions
 
 # Fixed values.
 DAMPING = 0.85
@@ -33,10 +33,13 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
 
     The rank of vertices without out-edges, and what the damping keeps back
     from the others, is shared evenly by all. Parallel edges carry their share
-    each and are collapsed to a weight once. A round is one join with the edges
-    and one aggregation; it is written to the shared folder, which keeps the
-    plan short and a lost executor cheap.
+    each and are collapsed to a weight once. Edges are laid out once by source
+    and ranks by vertex, in as many buckets as a shuffle has partitions, so a
+    round joins them as they lie and its one exchange adds up what flows in. It
+    is written to the shared folder, which keeps the plan short and a lost
+    executor cheap.
     """
+    buckets = shuffle_partitions(edges.sparkSession)
     weighted = saved(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")), "edges")
     # A source with very many targets is split into parts, each joined by itself.
     sources = weighted.groupBy("src").agg(
@@ -61,31 +64,35 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
         on = ["src", "part"]
         part = F.pmod(F.xxhash64("dst"), "parts").cast("int")
         weighted = weighted.withColumn("part", part)
-    weighted = saved(weighted.drop("parts"), "numbered-edges")
+    weighted = saved_in_buckets(weighted.drop("parts"), "numbered-edges", on, buckets)
 
     kept_back = F.when(F.col("out") > 0, (1 - damping) * F.col("rank")).otherwise(F.col("rank"))
-    ranks = nodes.drop("id").withColumn("rank", F.lit(1.0 / count))
+    ranks = saved_in_buckets(nodes.drop("id").withColumn("rank", F.lit(1.0 / count)), "ranks", ["node"], buckets)
     even_share = ((1 - damping) * (count - sinks) + sinks) / count / count
     for _ in range(rounds):
         shares = ranks.where(F.col("out") > 0).select(
             F.col("node").alias("src"), "parts", (damping * F.col("rank") / F.col("out")).alias("share"))
         if large:
             shares = shares.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        # Vertices go through the same aggregation as what flows in, so that
-        # one shuffle both adds up and keeps those without in-edges.
-        inflow = weighted.join(shares.drop("parts"), on).select(
-            F.col("dst").alias("node"), (F.col("share") * F.col("w")).alias("flow"),
-            F.lit(0).cast("bigint").alias("out"), F.lit(0).alias("parts"))
-        everyone = ranks.select("node", F.lit(0.0).alias("flow"), "out", "parts")
-        summed = inflow.unionByName(everyone).groupBy("node").agg(
-            F.max("out").alias("out"), F.max("parts").alias("parts"),
-            (F.sum("flow") + F.lit(even_share)).alias("rank"))
+        summed = one_round(weighted, ranks, shares.drop("parts"), on, even_share)
         # What the next round shares evenly is observed while this one is written.
         seen = Observation()
-        ranks = saved(summed.observe(seen, F.sum(kept_back).alias("kept_back")), "ranks")
+        ranks = saved_in_buckets(summed.observe(seen, F.sum(kept_back).alias("kept_back")), "ranks", ["node"], buckets)
         even_share = seen.get["kept_back"] / count
     return ranks.join(nodes.select("node", "id"), "node").select("id", "rank")
 
 
+def one_round(weighted: DataFrame, ranks: DataFrame, shares: DataFrame, on: list[str], even_share: float) -> DataFrame:
+    """node, out, parts, rank after one update; ``shares`` is what each source sends along an edge of weight one."""
+    inflow = weighted.join(shares, on).select(
+        F.col("dst").alias("node"), (F.col("share") * F.col("w")).alias("flow"),
+        F.lit(0).cast("bigint").alias("out"), F.lit(0).alias("parts"))
+    # Vertices go through the same aggregation as what flows in, so that
+    # one shuffle both adds up and keeps those without in-edges.
+    everyone = ranks.select("node", F.lit(0.0).alias("flow"), "out", "parts")
+    return inflow.unionByName(everyone).groupBy("node").agg(
+        F.max("out").alias("out"), F.max("parts").alias("parts"), (F.sum("flow") + F.lit(even_share)).alias("rank"))
+
+
 def by_rank(ranks: DataFrame) -> DataFrame:
     return ranks.orderBy(F.col("rank").desc(), "id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ def build_session(app: str = "tallyloom", cpus: str = "*", **conf: str) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tallyloom-warehouse-"))
         # Stream state on disk and off the heap.
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -67,6 +69,19 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def saved_in_buckets(df: DataFrame, label: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Like ``saved``, laid out by a hash of ``keys``: joins and counts by them read it without an exchange.
+
+    The files lie in the shared folder; the session's catalog only knows their
+    layout, under a name of their own.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    table = "tallyloom_" + path.rsplit("/", 1)[-1].replace("-", "_")
+    df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when ``df`` is counted to be small, else leave it.
 
@@ -77,6 +92,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Even out a scan that has fewer partitions than the session has task slots.
 

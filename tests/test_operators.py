@@ -328,3 +328,23 @@ def test_search_in_stored_postings(spark, monkeypatch):
     blocks = {q: sum(b.where(F.col("query_id") == q).count() for b in read) for q in "ab"}
     assert all(n < 3000 / S.BLOCK / 2 for n in blocks.values()), blocks
     assert "PushedFilters: [In(term" in plain(table, read[0], S.query_terms(asked), F.col("term").isin(["wd", "luz"]), F.lit(1.0), 6)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_round_of_ranks_has_one_exchange(spark, monkeypatch):
+    """Edges and ranks are joined as they lie; only what flows in is shuffled."""
+    plans, plain = [], G.one_round
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def watched(*args):
+        out = plain(*args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(G, "one_round", watched)
+    try:
+        edges = spark.createDataFrame([(f"v{i % 40}", f"v{i * 7 % 90}") for i in range(400)], "src string, dst string")
+        G.pagerank(edges, rounds=3).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(plans) == 3 and all(p.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in p for p in plans)

@@ -84,4 +84,5 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontamination, op3_html, op4_warc, op5_minhash, op6_toxicity, op7_substrings, op8_bpe, op9_line_dedup, op10_quality,
                                  op11_secrets, op12_fill_in_middle, op13_repair)}
 ORACLES: dict[str, str] = {"op1_chat_format": chats.SQL, "op2_decontamination": decontaminate.SQL, "op4_warc": archives.SQL, "op9_line_dedup": lines.SQL,
-                           "op11_secrets": secrets.SQL, "op12_fill_in_middle": skips.SQL}
+                           "op11_secrets": secrets.SQL, "op12_fill_in_middle": skips.SQL,
+                           "op13_repair": repair.SQL}

@@ -317,3 +317,69 @@ def damaged(chats: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     stripped = F.when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(emptied)
     copies = F.when(F.col("fault") == 0, 0).when(F.col("fault") == 3, 2).otherwise(1)
     return rows.select("conv", "turn", copies.alias("copies"), faulty("role", 4, F.lit("user")).alias("role"), stripped.alias("text"))
+
+
+# The damage, the counts and the cheapest edits once more, as a table of best (cost, audit, turns) after an empty
+# start, a system turn, a user turn and an assistant turn, one row of a conversation after the other.
+_CRC = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda c, b: xor(c >> 8, (t[CAST(xor(c & 255, b) + 1 AS BIGINT)])))"""
+
+
+def _edited(state: str, cost: str, letter: str, line: str | None = None, when: str | None = None) -> str:
+    turns = f"{state}.turns" if line is None else f"list_append({state}.turns, {line})"
+    made = f"{{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{letter}', 'turns': {turns}}}"
+    return f"CASE WHEN {state} IS NOT NULL{'' if when is None else ' AND ' + when} THEN {made} END"
+
+
+def _best(*states: str) -> str:
+    return f"list_min([{', '.join(states)}])"
+
+
+def _inserted(role: str, *states: str) -> str:
+    return ", ".join(_edited(s, str(INSERT), "I", f"'{role}:'") for s in states)
+
+
+def _taken(role: str, *states: str) -> str:
+    kept = ", ".join(_edited(s, "r.extra", "K", "r.role || ':' || r.text", f"NOT r.must AND r.role[1:1] = '{role[0]}'") for s in states)
+    if role == "system":
+        return kept
+    return kept + ", " + ", ".join(_edited(s, f"r.extra + {REROLE}", "R", f"'{role}:' || r.text", "NOT r.must") for s in states)
+
+
+SQL = f"""
+WITH RECURSIVE crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda n: list_reduce(
+    list_prepend(n::UBIGINT, [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+f AS (SELECT *, xor({_CRC.format('key')}, 4294967295::UBIGINT) % 20 AS fault FROM k, crc_table),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM f),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+        rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM d),
+j AS (SELECT *, bare = '' AS blank, bare <> '' AND again AS duplicate,
+        bare <> '' AND NOT again AND bare[-1:] NOT IN ('.', '!', '?') AS truncated,
+        coalesce(lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY n) || role[1:1] NOT IN ('su', 'ua', 'au'), false) AS illegal FROM o),
+r AS (SELECT conv_id, n, role, text, blank OR duplicate AS must, CAST(truncated AS INT) AS extra FROM j),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal,
+        count(*) AS rows_left FROM j GROUP BY conv_id),
+dp(conv_id, n, e, s, u, a) AS (
+  SELECT conv_id, 0::BIGINT, {{'cost': 0, 'audit': '', 'turns': []::VARCHAR[]}}, NULL::STRUCT(cost INT, audit VARCHAR, turns VARCHAR[]),
+         NULL::STRUCT(cost INT, audit VARCHAR, turns VARCHAR[]), NULL::STRUCT(cost INT, audit VARCHAR, turns VARCHAR[])
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT r.conv_id, r.n, {_edited('e', str(DELETE), 'D')}, {_best(_edited('s', str(DELETE), 'D'), _taken('system', 'e'))},
+         {_best(_edited('u', str(DELETE), 'D'), _taken('user', 'e', 's', 'a'))}, {_best(_edited('a', str(DELETE), 'D'), _taken('assistant', 'u'))}
+  FROM (SELECT conv_id, n, e, s, u, {_best('a', _inserted('assistant', 'u'))} AS a
+        FROM (SELECT conv_id, n, e, s, {_best('u', _inserted('user', 'e', 's', 'a'))} AS u, a FROM dp)) AS p
+  JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.n = p.n + 1),
+z AS (SELECT conv_id, {_best('e', 'a', _inserted('assistant', 'u'))} AS best FROM dp LEFT JOIN c USING (conv_id)
+      WHERE n = coalesce(rows_left, 0))
+SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+       sha256(array_to_string(best.turns, chr(10))) AS repaired_sha256
+FROM z LEFT JOIN c USING (conv_id)
+"""

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.rows import field
+from tallyloom.llm.rows import field, in_small_batches
 from tallyloom.session import new_path, saved
 
 # Fixed values of the formats.
@@ -264,6 +264,7 @@ def write_packages(pages: DataFrame, ident: str = "page_id", url: str = "url", p
     holds ``limit`` bytes of records and one more record at most. Other columns
     are ignored; an empty table gives no package.
     """
+    in_small_batches(pages)
     payload = F.coalesce(field(pages, page), F.lit("")).cast("binary")
     rows = pages.select(field(pages, ident).cast("long").alias("ident"), field(pages, url).alias("url"),
                         field(pages, page).alias("page"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.grams import once_per_worker
-from tallyloom.llm.rows import field
+from tallyloom.llm.rows import field, in_small_batches
 
 # Fixed value: the pieces that the vocabulary's own file splits a text into.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -270,7 +270,7 @@ def encode_and_decode(docs: DataFrame, path: str, ident: str = "doc_id", text: s
     """
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>" if keep_ids else "")
     rows = docs.select(field(docs, ident).cast("long").alias("id"), field(docs, text).alias("text"))
-    return rows.mapInArrow(_coded(_sent(docs, path), keep_ids), schema)
+    return in_small_batches(rows).mapInArrow(_coded(_sent(docs, path), keep_ids), schema)
 
 
 def decode(rows: DataFrame, path: str, ident: str = "doc_id", ids: str = "ids") -> DataFrame:

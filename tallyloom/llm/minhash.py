@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
 from tallyloom.llm.grams import U, WordHasher, as_long, grams, mix, pair, split_words, text_bytes
-from tallyloom.llm.rows import field, hinted, own_name, pick
+from tallyloom.llm.rows import field, hinted, in_small_batches, own_name, pick
 from tallyloom.session import saved
 
 BINS, BAND = 128, 4
@@ -107,7 +107,7 @@ def _sets(size: int):
 
 def signatures(docs: DataFrame, ident: str, text: str, size: int) -> DataFrame:
     """(id, n, high, low, bands, mask): set size, 128-bit name of the set, bucket names and parity mask (null for an empty set)."""
-    return pick(docs, id=ident, text=text).select(F.col("id").cast("long"), "text").mapInArrow(
+    return in_small_batches(pick(docs, id=ident, text=text)).select(F.col("id").cast("long"), "text").mapInArrow(
         _signatures(size), "id long, n long, high long, low long, bands array<long>, mask array<long>")
 
 

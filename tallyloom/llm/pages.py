@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.rows import field, own_name
+from tallyloom.llm.rows import field, in_small_batches, own_name
 from tallyloom.session import BROADCAST_ROWS, saved
 
 # Elements by their role on a page.
@@ -365,7 +365,7 @@ def low_branches(pages: DataFrame, url: str = "url", page: str = "html", least:
     fewer than ``least`` pages are never low.
     """
     rows = pages.select(host_of(field(pages, url)).alias("host"), field(pages, page).alias("page")).where("host <> ''")
-    nodes = rows.mapInArrow(_styled, "host string, path long, content long, shape long, first long")
+    nodes = in_small_batches(rows).mapInArrow(_styled, "host string, path long, content long, shape long, first long")
     counted = saved(nodes.groupBy("host", "path", "content", "shape").agg(F.count("*").alias("n"), F.sum("first").alias("first")), "nodes")
     total = counted.groupBy("host", "path").agg(F.sum("first").alias("m"), F.sum("n").alias("all")).where(F.col("m") >= least)
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.grams import WordHasher, grams, split_words, text_bytes
-from tallyloom.llm.rows import field, hinted, own_name, pick
+from tallyloom.llm.rows import field, hinted, in_small_batches, own_name, pick
 from tallyloom.session import saved
 
 # Measures in thousandths, larger is worse.
@@ -82,7 +82,7 @@ MEASURED = ", ".join(f"{name} long" for name in (*BASE, *RULES))
 
 def measured(docs: DataFrame, ident: str, text: str, stratum: str) -> DataFrame:
     """(id, stratum, base counts, rule measures) for each row; the texts are left behind."""
-    return pick(docs, id=ident, stratum=stratum, text=text).select(
+    return in_small_batches(pick(docs, id=ident, stratum=stratum, text=text)).select(
         F.col("id").cast("long"), F.coalesce(F.col("stratum").cast("string"), F.lit("")).alias("stratum"), "text",
     ).mapInArrow(_measured, "id long, stratum string, " + MEASURED)
 

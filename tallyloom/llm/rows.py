@@ -8,6 +8,23 @@ from pyspark.sql import functions as F
 from tallyloom.session import BROADCAST_ROWS
 
 
+# Rows of an Arrow batch where a row is a whole text.
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df`` as it is; the session sends tasks batches of few rows from now on, unless it has a size of its own.
+
+    Ten thousand rows, Spark's default, may be hundreds of megabytes of text in
+    the executor and once more in its Python worker.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH) == "10000":
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
 def own_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have yet, whatever the case."""
     taken = {c.lower() for c in df.columns}

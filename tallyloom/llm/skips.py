@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.grams import text_bytes
-from tallyloom.llm.rows import field
+from tallyloom.llm.rows import field, in_small_batches
 
 # The marks of prefix, suffix and middle, and the shares in per cent.
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
@@ -128,7 +128,7 @@ def fill_in_middle(docs: DataFrame, ident: str = "doc_id", text: str = "text", s
     digest = F.sha2(F.concat(F.lit(seed), F.coalesce(field(docs, ident).cast("long").cast("string"), F.lit(""))), 256)
     rows = docs.select(field(docs, ident).cast("long").alias("id"), field(docs, text).alias("text"), digest.alias("digest"))
     draws = [F.conv(F.substring("digest", 1 + 8 * k, 8), 16, 10).cast("long").alias(f"h{k + 1}") for k in range(4)]
-    return rows.select("id", "text", *draws).mapInArrow(
+    return in_small_batches(rows).select("id", "text", *draws).mapInArrow(
         _cut, "id long, n long, form string, prefix_chars long, middle_chars long, output string")
 
 

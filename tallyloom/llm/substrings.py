@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.grams import U, WordHasher, as_long, grams, mix, split_words, text_bytes
-from tallyloom.llm.rows import field, text_key
+from tallyloom.llm.rows import field, in_small_batches, text_key
 from tallyloom.session import saved
 
 WINDOW = 50
@@ -187,7 +187,7 @@ def remove_repeated_passages(docs: DataFrame, ident: str = "doc_id", text: str =
     columns are ignored whatever their names; an empty table gives none.
     """
     spark = docs.sparkSession
-    keyed = docs.select(field(docs, ident).cast("long").alias("id"), text_key(docs, ident, text).alias("key"),
+    keyed = in_small_batches(docs).select(field(docs, ident).cast("long").alias("id"), text_key(docs, ident, text).alias("key"),
                         field(docs, text).alias("text"))
     blocks = keyed.select("text").mapInArrow(_sketch(window, anchor, depth, bits), "row int, block int, once binary, often binary")
     merged = blocks.groupBy("row", "block").applyInArrow(_merge(bits), "row int, block int, bits binary")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyloom.llm.grams import MEMORY, text_bytes
-from tallyloom.llm.rows import field, hinted, pick
+from tallyloom.llm.rows import field, hinted, in_small_batches, pick
 from tallyloom.session import saved
 
 BUCKETS, SIZE, FILTERS, WIDTHS = 1 << 16, 12, 8, (1, 2, 3)
@@ -210,7 +210,7 @@ def score_toxicity(docs: DataFrame, net: Net, ident: str = "doc_id", text: str =
     sent = docs.sparkSession.sparkContext.broadcast((net.table, net.filters, net.shifts, net.out, net.bias))
     named = F.lit("") if lang is None else F.coalesce(field(docs, lang).cast("string"), F.lit(""))
     rows = docs.select(field(docs, ident).cast("long").alias("id"), named.alias("lang"), field(docs, text).alias("text"))
-    marked = rows.mapInArrow(_scored(sent), "id long, lang string, score double")
+    marked = in_small_batches(rows).mapInArrow(_scored(sent), "id long, lang string, score double")
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return marked.select("id", held_out(F.col("id")).alias("held_out"), "score", predicted, *([] if lang is None else ["lang"]))
 

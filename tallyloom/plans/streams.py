@@ -84,7 +84,7 @@ def stream_burst(spark, sf_dir):
     return sink.rows(stream)
 
 
-# The reference's settings need a denser stream: time runs a thousand times faster.
+# Fifty records in fifty seconds need a denser stream: time runs a thousand times faster.
 SPEED = 1000
 SQL_FAST = f"""(SELECT event_id, regexp_extract(lower({SQL_TEXT}), '#[a-z]+') AS event_type,
     make_timestamp(first + (epoch_us(ts) - first) // {SPEED}) AS ts FROM events, (SELECT min(epoch_us(ts)) AS first FROM events)

@@ -157,24 +157,24 @@ def held_out(ident):
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def calibrates(ident):
-    """Labelled rows that neither training nor the holdout takes: one in eight of the others sets the thresholds."""
-    return ~held_out(ident) & F.coalesce(F.crc32(F.concat(F.lit("threshold "), ident.cast("string")).cast("binary")) % 8 == 0, F.lit(False))
-
-
 def _labelled(labels: DataFrame, label_id: str, label: str) -> DataFrame:
     return pick(labels, id=label_id, y=label).select(F.col("id").cast("long"), F.col("y").cast("int")).where(
         "id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
 
 
-def sample(docs: DataFrame, labels: DataFrame, ident: str, text: str, label_id: str, label: str, most: int) -> DataFrame:
-    """(text, y): at most ``most`` labelled training documents of each class, chosen by a hash of the id; one row each."""
-    known = _labelled(labels, label_id, label).where(~held_out(F.col("id")) & ~calibrates(F.col("id")))
+def _chosen(labels: DataFrame, label_id: str, label: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """(id, y) of the labelled rows that training takes, at most ``most`` of each class by a hash of the id, and of all that it may take."""
+    known = _labelled(labels, label_id, label).where(~held_out(F.col("id")))
     chosen = None
     for y in (0, 1):
         part = known.where((F.col("y") > 0) == bool(y)).orderBy(F.xxhash64("id"), "id").limit(most)
         chosen = part if chosen is None else chosen.union(part)
-    chosen = hinted(saved(chosen, "sample"), 32)
+    return chosen, known
+
+
+def sample(docs: DataFrame, labels: DataFrame, ident: str, text: str, label_id: str, label: str, most: int) -> DataFrame:
+    """(text, y): at most ``most`` labelled training documents of each class, chosen by a hash of the id; one row each."""
+    chosen = hinted(saved(_chosen(labels, label_id, label, most)[0], "sample"), 32)
     # A repeated id gives one row, so that the bound is on rows too: the text with the smallest hash.
     found = pick(docs, id=ident, text=text).select(F.col("id").cast("long"), F.col("text").cast("binary").alias("text")).join(chosen, "id")
     single = found.groupBy("id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
@@ -216,17 +216,18 @@ def score_toxicity(docs: DataFrame, net: Net, ident: str = "doc_id", text: str =
 
 
 def thresholds(scored: DataFrame, labels: DataFrame, label_id: str = "doc_id", label: str = "toxic",
-               precision: float = 0.9, steps: int = 100) -> DataFrame:
+               precision: float = 0.9, steps: int = 100, most: int = SAMPLE) -> DataFrame:
     """(lang, threshold): the lowest score from which on ``precision`` of the calibrating rows of a language are toxic.
 
     ``scored`` is saved output of ``score_toxicity`` with its language. Only
-    labelled rows that neither training nor the holdout takes count. Scores are
+    labelled rows that neither the holdout nor training (with a sample of
+    ``most``) takes count; with few labels there are none. Scores are
     counted in ``steps`` bins per language, so no language is gathered in one
     task. A language without such rows, or that never reaches the precision, is
     not listed.
     """
-    known = _labelled(labels, label_id, label)
-    rows = scored.where(calibrates(F.col("id"))).join(known, "id")
+    chosen, known = _chosen(labels, label_id, label, most)
+    rows = scored.join(known.join(hinted(saved(chosen.select("id"), "trained"), 32), "id", "left_anti"), "id")
     bins = rows.groupBy("lang", F.floor(F.col("score") * steps).alias("bin")).agg(
         F.count("*").alias("n"), F.sum((F.col("y") > 0).cast("long")).alias("good"))
     above = Window.partitionBy("lang").orderBy(F.desc("bin"))

@@ -216,20 +216,22 @@ def test_toxicity_on_held_out_rows(spark, odd):
     long = toxicity.Buckets()(b"a b " * 50_000 + b"vile nasty")
     assert toxicity.score(net, long) >= toxicity.score(net, long[:-4])
     # The threshold of a language by hand, from the rows that neither training nor the holdout takes.
-    scored = toxicity.score_toxicity(docs, net, lang="lang")
-    rows_of = scored.withColumn("c", toxicity.calibrates(scored["id"])).collect()
-    mine = [(int(r["score"] * 100), r["id"] % 3 == 0) for r in rows_of if r["c"]]
-    assert 40 < len(mine) and not any(r["c"] and r["held_out"] for r in rows_of)
-    good = [b for b in range(101) if (a := [y for s, y in mine if s >= b]) and sum(a) >= 0.9 * len(a) and b in {s for s, _ in mine}]
-    limits = toxicity.thresholds(scored, labels)
+    few = toxicity.fit(docs, labels, most=150)
+    scored = toxicity.score_toxicity(docs, few, lang="lang")
+    trained = {r["id"] for r in toxicity._chosen(labels, "doc_id", "toxic", 150)[0].collect()}
+    mine = [(int(r["score"] * 100), r["id"] % 3 == 0) for r in scored.collect() if not r["held_out"] and r["id"] not in trained]
+    assert len(trained) == 300 and len(mine) > 300
+    good = [b for b in {s for s, _ in mine} if (a := [y for s, y in mine if s >= b]) and sum(a) >= 0.9 * len(a)]
+    limits = toxicity.thresholds(scored, labels, most=150)
     assert [tuple(r) for r in limits.collect()] == [("en", min(good) / 100)]
     marks = toxicity.flagged(scored, limits).collect()
     assert all(r["flagged"] == (r["score"] >= min(good) / 100) for r in marks) and len(marks) == 900
+    assert toxicity.thresholds(scored, labels).count() == 0
     # No labels, one class only, no documents: still a net and a score.
-    for few in (labels.limit(0), labels.where("toxic = 0"), labels.where("toxic = 1")):
-        plain = toxicity.score_toxicity(docs, toxicity.fit(docs, few), lang="lang")
+    for some in (labels.limit(0), labels.where("toxic = 0"), labels.where("toxic = 1")):
+        plain = toxicity.score_toxicity(docs, toxicity.fit(docs, some), lang="lang")
         assert plain.where("score between 0 and 1").count() == 900
-        assert toxicity.flagged(plain, toxicity.thresholds(plain, few)).count() == 900
+        assert toxicity.flagged(plain, toxicity.thresholds(plain, some)).count() == 900
     assert toxicity.score_toxicity(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
 
 

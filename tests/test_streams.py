@@ -14,7 +14,7 @@ from __spark_entry__ import oracle_sql, queries
 from tallyloom.functions.text import hashtags
 from tallyloom.operators import bursts as B
 from tallyloom.plans import streams as P
-from tallyloom.session import new_path
+from tallyloom.session import STATE_STORE, new_path
 from tallyloom.streaming import jobs as J
 from tallyloom.streaming import sources as S
 from tallyloom.streaming.bursts import CHUNK, burst_stream
@@ -51,6 +51,18 @@ def test_stream_equals_sql(spark, folders, name, files):
     assert got == want and sum(got.values()) > 0
 
 
+@pytest.mark.parametrize("name", ["stream_burst", "stream_chain"])
+def test_bursts_run_where_the_session_has_sparks_own_state_store(spark, folders, name):
+    own = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, own)
+    try:
+        assert queries()[name](spark, folders[1]).count() > 0
+        assert spark.conf.get(STATE_STORE) == own
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def records(spark, rows):
     return spark.createDataFrame(rows, "tag string, ts timestamp, event_id long")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import NON_LETTERS, ngrams
+from tallyloom.session import BROADCAST_ROWS, saved
 
 # Buckets of a distinct-count sketch as a power of two: a relative error of about 0.8 %.
 SKETCH_BITS = 14
@@ -23,6 +24,37 @@ def count_items(df: DataFrame, items: Column, name: str = "word") -> DataFrame:
     return df.select(F.explode(items).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("count"))
 
 
+def top_items(df: DataFrame, items: Column, k: int, name: str = "word") -> DataFrame:
+    """The ``k`` most frequent elements of an array column, ties by element: name, count.
+
+    Elements are counted by a hash of eight bytes first, so long ones do not go
+    through the shuffle. None occurs more often than its hash: only the elements
+    whose hash reaches the k-th count are counted by themselves. Should two of
+    them share a hash, the k-th count may turn out lower, and it is done again
+    from there. Too many ties to broadcast are counted as they are.
+    """
+    each = df.select(F.explode(items).alias(name))
+    hashes = each.select(F.xxhash64(name).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = saved(hashes.where("_n > 1"), "repeated")
+    found, least = repeated.orderBy(F.col("_n").desc()).limit(k).agg(F.count(F.lit(1)), F.min("_n")).first()
+    least = least if found and found == k else 1
+    while True:
+        reached = repeated.where(F.col("_n") >= least).select("_h")
+        if reached.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+            return top_k(count_items(df, items, name), [name], k)
+        hit = F.xxhash64(name) == F.col("_h")
+        known = each.join(F.broadcast(reached), hit, "left_semi").groupBy(name).agg(F.count(F.lit(1)).alias("count"))
+        if least == 1:
+            # All other elements occur once, and the first of them by name are enough.
+            once = each.join(F.broadcast(reached), hit, "left_anti").orderBy(name).limit(k)
+            known = known.unionByName(once.withColumn("count", F.lit(1).cast("bigint")))
+        best = saved(top_k(known, [name], k), "top")
+        found, lowest = best.agg(F.count(F.lit(1)), F.min("count")).first()
+        if least == 1 or (found == k and lowest >= least):
+            return top_k(best, [name], k)
+        least = lowest if found == k else 1
+
+
 def count_words(df: DataFrame, text: str, name: str = "word") -> DataFrame:
     """Occurrences of each lower-cased run of letters: name, count."""
     pieces = df.select(F.explode(F.split(text, NON_LETTERS)).alias("_w")).where(F.col("_w") != "")

@@ -126,7 +126,7 @@ def ngram_count(spark, sf_dir):
     SELECT ngram, count(*) AS count FROM ({sql_ngrams(13)}) GROUP BY ngram)
     ORDER BY count DESC, ngram LIMIT 5""")
 def ngram_topk(spark, sf_dir):
-    top = C.top_k(_ngram_counts(spark, sf_dir, 13), ["ngram"], 5)
+    top = C.top_items(_documents(spark, sf_dir), X.ngrams(X.words(F.col("text")), 13), 5, "ngram")
     return top.select(X.zero_padded(F.col("count")).alias("padded"), "ngram")
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as X
+from tallyloom.operators import counts as C
 from tallyloom.operators import ngrams as N
 
 
@@ -69,3 +70,32 @@ def test_one_row_per_word_is_shuffled(spark):
     assert N.suffixes(docs, X.words(F.col("text"))).count() == 100
     plan = N.ngrams_of_all_lengths(docs, X.words(F.col("text")), least=2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") == 1 and plan.count("Generate") == 1
+
+
+@pytest.mark.parametrize("k", [1, 4, 9, 50])
+def test_top_items_move_by_hash(spark, monkeypatch, k):
+    """The same as counting every item, with items that share a hash, ties and single ones; no item is in the shuffle of all."""
+    rng = random.Random(8)
+    lists = [[f"{'long ' * 20}{int(rng.paretovariate(0.7)) % 60}" for _ in range(40)] for _ in range(12)]
+    docs = spark.createDataFrame([(x,) for x in lists] + [(None,)], "items array<string>").repartition(3)
+    want = [tuple(r) for r in C.top_k(C.count_items(docs, F.col("items")), ["word"], k).collect()]
+    hashed = F.xxhash64
+    for bits in (64, 3):
+        frames, plain = [], C.saved
+        monkeypatch.setattr(C.F, "xxhash64", lambda c, b=bits: hashed(c) if b == 64 else F.pmod(hashed(c), F.lit(2 ** b)))
+        monkeypatch.setattr(C, "saved", lambda df, label: frames.append(df) or plain(df, label))
+        assert [tuple(r) for r in C.top_items(docs, F.col("items"), k).collect()] == want
+        exchanges = [line for line in frames[0]._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in line]
+        assert exchanges and not any("word" in line for line in exchanges)
+        monkeypatch.undo()
+    monkeypatch.setattr(C, "BROADCAST_ROWS", 2)
+    assert [tuple(r) for r in C.top_items(docs, F.col("items"), k).collect()] == want
+
+
+def test_the_most_frequent_ngrams_move_by_hash(spark, monkeypatch):
+    """What ngram_topk shuffles of all n-grams is a hash of each."""
+    from __spark_entry__ import queries
+
+    seen = []
+    monkeypatch.setattr(C, "top_items", lambda *args, plain=C.top_items: seen.append(args) or plain(*args))
+    assert queries()["ngram_topk"](spark, "/root/testdata/sf0.001").count() == 5 and len(seen) == 1

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.fields import tab_fields
-from tallyloom.functions.text import with_once, words
+from tallyloom.functions.text import bind, with_once, words
 from tallyloom.session import broadcast_if_small, saved
 
 # Field boosts, hits per query, and the constants of the score.
@@ -64,6 +64,18 @@ def postings(tokens: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("tf"), F.max("field_length").alias("field_length"))
 
 
+def counted_terms(tokens: Column) -> Column:
+    """The distinct tokens of an array in order, each a struct of term and tf: neighbours once the array is sorted."""
+
+    def counted(t: Column) -> Column:
+        places = F.when(F.size(t) > 0, F.sequence(F.lit(1), F.size(t)))
+        starts = F.filter(places, lambda i: (i == 1) | (F.get(t, i - 1) != F.get(t, i - 2)))
+        return bind(starts, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(t, i - 1).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(t) + 1) - i).alias("tf"))))
+
+    return bind(F.array_sort(tokens), counted)
+
+
 def document_frequencies(posted: DataFrame) -> DataFrame:
     return posted.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 
@@ -135,10 +147,12 @@ def search(documents: DataFrame, key: str, queries: DataFrame, k: int | None = T
 class PostingsTable:
     """Postings written once and searched many times; no text is read at search time.
 
-    ``postings`` holds, sorted by term and block of documents, each term's part
-    of a field's score before boosts; ``blocks`` the largest part of a term in a
-    block of ``BLOCK`` documents. Both are Parquet, so a search reads the row
-    groups of the asked terms only.
+    ``postings`` has a row per term, field and block of ``BLOCK`` documents, sorted
+    by term and block: the largest part of a field's score, before idf and
+    boosts, that the term has in the block, and the documents with their tf and
+    relative length. ``terms`` holds the idf of each. Both are Parquet, so a
+    search reads the row groups of the asked terms only, and of blocks that
+    cannot reach the top only the bounds.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str) -> None:
@@ -150,19 +164,23 @@ class PostingsTable:
         spark = documents.sparkSession
         # Numbers rise along the scan; once written they are fixed.
         numbered = documents.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key")).alias("_doc"), *fields)
-        tokens = saved(field_tokens(numbered, "_doc", list(fields), stop_words, stem), "tokens")
-        posted = saved(postings(tokens, "_doc"), "postings")
-        scored = posted.join(document_frequencies(posted), ["field", "term"]).join(F.broadcast(saved(field_statistics(tokens), "field-statistics")), "field")
+        tokens = field_tokens(numbered, "_doc", list(fields), stop_words, stem)
+        # A row is a field of one document, so its terms are counted where they are read.
+        counted = saved(tokens.select("_doc", "field", "field_length", counted_terms(F.col("tokens")).alias("_terms")), "counted-terms")
+        posted = counted.select("_doc", "field", "field_length", F.explode("_terms").alias("_t")).select(
+            F.col("_t.term").alias("term"), "field", F.col("_doc.row").alias("row"), F.col("_doc.key").alias(key), "_t.tf",
+            F.col("field_length").cast("int").alias("field_length"))
+        statistics = F.broadcast(saved(field_statistics(counted), "field-statistics"))
         idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        document_frequencies(posted).join(statistics, "field").select("term", "field", idf.alias("idf")).repartitionByRange(
+            "term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
+        # The one shuffle of all postings: its ranges hold whole blocks.
+        block = F.floor(F.col("row") / BLOCK)
         length = 1 - B + B * F.col("field_length") / F.col("avg_length")
-        # The order of the factors is that of a search that scans.
-        rows = scored.select("term", "field", F.floor(F.col("_doc.row") / BLOCK).alias("block"), F.col("_doc.row").alias("row"),
-                             F.col("_doc.key").alias(key), "tf", idf.alias("idf"), length.alias("length"))
-        whole = rows.withColumn("part", _part(F.lit(1.0)))
-        whole.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/postings")
-        stored = spark.read.parquet(f"{path}/postings")
-        most = stored.groupBy("term", "field", "block").agg(F.max("part").alias("most"))
-        most.repartitionByRange("term").sortWithinPartitions("term", "block").write.parquet(f"{path}/blocks")
+        ranged = posted.withColumn("block", block).repartitionByRange("term", "block").join(statistics, "field").withColumn("length", length)
+        blocks = ranged.groupBy("term", "field", "block").agg(
+            F.max(_part(F.lit(1.0), F.lit(1.0))).alias("most"), F.collect_list(F.struct("row", key, "tf", "length")).alias("held"))
+        blocks.sortWithinPartitions("term", "block").write.parquet(f"{path}/postings")
         return cls(spark, path, key)
 
     def search(self, queries: DataFrame, k: int = TOP, boosts: Mapping[str, float] = BOOSTS, digits: int = 6,
@@ -180,8 +198,8 @@ class PostingsTable:
         pushed = F.col("term").isin(words_asked) if len(words_asked) <= PUSHED_TERMS else F.lit(True)
         terms = broadcast_if_small(asked)
         boost = _boost(boosts)
-        bounds = self.spark.read.parquet(f"{self.path}/blocks").where(pushed).join(terms, "term")
-        bounds = bounds.groupBy("query_id", "block", "field").agg(F.sum(F.col("times") * boost * F.col("most")).alias("_b"))
+        bounds = self.spark.read.parquet(f"{self.path}/postings").select("term", "field", "block", "most").where(pushed).join(terms, "term").join(self._idf(terms, pushed), ["field", "term"])
+        bounds = bounds.groupBy("query_id", "block", "field").agg(F.sum(F.col("times") * boost * F.col("idf") * F.col("most")).alias("_b"))
         bounds = saved(bounds.groupBy("query_id", "block").agg(F.max("_b").alias("bound")), "bounds")
         best_first = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "block")
         chosen = saved(bounds.withColumn("_at", F.row_number().over(best_first)).where(F.col("_at") <= first).select("query_id", "block"), "first-blocks")
@@ -198,10 +216,17 @@ class PostingsTable:
         ranked = every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         return ranked.select("query_id", self.key, "score", "rank")
 
+    def _idf(self, terms: DataFrame, pushed: Column) -> DataFrame:
+        """term, field, idf of the asked terms."""
+        known = self.spark.read.parquet(f"{self.path}/terms").where(pushed)
+        return broadcast_if_small(known.join(terms.select("term").distinct(), "term", "left_semi"))
+
     def _scores(self, blocks: DataFrame, terms: DataFrame, pushed: Column, boost: Column, digits: int) -> DataFrame:
         """query_id, row, key, score of the documents in the given blocks that hold an asked term."""
-        posted = self.spark.read.parquet(f"{self.path}/postings").where(pushed).join(terms, "term").join(broadcast_if_small(blocks), ["query_id", "block"])
-        part = posted.withColumn("_s", F.col("times") * _part(boost))
+        posted = self.spark.read.parquet(f"{self.path}/postings").where(pushed).join(terms, "term").join(
+            broadcast_if_small(blocks), ["query_id", "block"]).join(self._idf(terms, pushed), ["field", "term"])
+        each = posted.select("query_id", "times", "field", "idf", F.explode("held").alias("_p")).select("query_id", "times", "field", "idf", "_p.*")
+        part = each.withColumn("_s", F.col("times") * _part(boost))
         by_field = part.groupBy("query_id", "row", self.key, "field").agg(F.sum("_s").alias("_s"))
         return by_field.groupBy("query_id", "row", self.key).agg(F.round(F.max("_s"), digits).alias("score"))
 
@@ -213,9 +238,9 @@ def _boost(boosts: Mapping[str, float]) -> Column:
     return boost
 
 
-def _part(boost: Column) -> Column:
+def _part(boost: Column, idf: Column | None = None) -> Column:
     """A term's part of a field's score from tf, idf and the relative length."""
-    return boost * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * F.col("length"))
+    return boost * (F.col("idf") if idf is None else idf) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * F.col("length"))
 
 
 def query_table(spark: SparkSession, queries: Mapping[str, str]) -> DataFrame:

@@ -330,6 +330,24 @@ def test_search_in_stored_postings(spark, monkeypatch):
     assert "PushedFilters: [In(term" in plain(table, read[0], S.query_terms(asked), F.col("term").isin(["wd", "luz"]), F.lit(1.0), 6)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_postings_are_written_with_one_shuffle_of_all_of_them(spark):
+    """Terms are counted where a document is read, and no exchange brings a document's postings together."""
+    rng = random.Random(5)
+    rows = [(k // 2 or None, "Sol sol mar" if k % 3 else None, " ".join(rng.choice(["a", "b", "cc", "é"]) for _ in range(rng.randrange(30)))) for k in range(200)]
+    docs = spark.createDataFrame(rows, "id long, title string, abstract string").repartition(3)
+    tokens = S.field_tokens(docs.withColumn("_r", F.monotonically_increasing_id()), "_r", ["title", "abstract"])
+    want = sorted(tuple(r) for r in S.postings(tokens, "_r").select("_r", "field", "term", "tf").collect())
+    own = tokens.select("_r", "field", F.explode(S.counted_terms(F.col("tokens"))).alias("t")).select("_r", "field", "t.term", "t.tf")
+    assert sorted(tuple(r) for r in own.collect()) == want
+    assert "Exchange" not in own._jdf.queryExecution().executedPlan().toString().replace("Exchange RoundRobin", "").replace("REPARTITION_BY_NUM", "")
+    path = new_path(spark, "one-shuffle")
+    S.PostingsTable.write(docs, "id", path)
+    stored = spark.read.parquet(f"{path}/postings")
+    assert stored.select(F.explode("held")).count() == len(want)
+    assert stored.count() == stored.select("term", "field", "block").distinct().count()
+    assert spark.createDataFrame([], "tokens array<string>").select(S.counted_terms(F.col("tokens"))).count() == 0
+
+
 def test_a_round_of_ranks_has_one_exchange(spark, monkeypatch):
     """Edges and ranks are joined as they lie; only what flows in is shuffled."""
     plans, plain = [], G.one_round

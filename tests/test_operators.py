@@ -136,6 +136,22 @@ def test_pagerank(spark, hot_targets):
     assert {r["id"] for r in G.vertices(df).collect()} == set(want)
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_rounds_leave_out_what_never_changes_and_what_sends_nothing(spark, monkeypatch, rounds):
+    """Buyers to shops to goods, a few goods to shops: rounds join the edges between shops and such goods only."""
+    edges = [(f"c{i}", f"s{i * j % 7}") for i in range(60) for j in (1, 2, 5)] + [(f"s{i % 7}", f"p{i}") for i in range(90)]
+    edges += [("p1", "s2"), ("p2", "s2"), ("p2", "s2"), ("lone", "only")]
+    joined, plain = [], G.one_round
+    monkeypatch.setattr(G, "one_round", lambda weighted, *args: joined.append(weighted.count()) or plain(weighted, *args))
+    got = {r["id"]: r["rank"] for r in G.pagerank(spark.createDataFrame(edges, "src string, dst string"), rounds=rounds).collect()}
+    want = _brute_ranks(edges, rounds)
+    assert got.keys() == want.keys() and all(math.isclose(got[n], want[n], rel_tol=1e-12) for n in want)
+    assert joined == [4] * rounds
+    chain = spark.createDataFrame([("a", "b"), ("a", "c")], "src string, dst string")
+    assert {r["id"]: round(r["rank"], 12) for r in G.pagerank(chain, rounds=rounds).collect()} == {
+        n: round(r, 12) for n, r in _brute_ranks([("a", "b"), ("a", "c")], rounds).items()}
+
+
 def test_pagerank_of_no_edges(spark):
     assert G.pagerank(spark.createDataFrame([], "src string, dst string")).collect() == []
 

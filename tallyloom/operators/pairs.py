@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.session import broadcast_if_small, saved
+from tallyloom.session import broadcast_if_small, saved, small_tasks
 
 # Distinct items of one group that one task may pair with each other.
 HOT_CAST = 2_000
@@ -33,6 +33,11 @@ def pair_counts(df: DataFrame, group: str, item: str, dedup: bool = True, min_co
     a pair that reaches the floor must also meet in some smaller group, so the
     large groups only add to the pairs found there.
     """
+    with small_tasks(df.sparkSession, df.count()):
+        return saved(_pair_counts(df, group, item, dedup, min_count, hot_cast), "pair-counts")
+
+
+def _pair_counts(df: DataFrame, group: str, item: str, dedup: bool, min_count: int, hot_cast: int) -> DataFrame:
     members = _members(df, group, item, dedup)
     if dedup and min_count > 1:
         # An item of fewer than min_count groups is in no pair that reaches the floor.
@@ -70,6 +75,11 @@ def top_pairs(df: DataFrame, group: str, item: str, k: int, hot_cast: int = HOT_
     """
     if k < 1:
         return pair_counts(df.limit(0), group, item)
+    with small_tasks(df.sparkSession, df.count()):
+        return _top_pairs(df, group, item, k, hot_cast, step)
+
+
+def _top_pairs(df: DataFrame, group: str, item: str, k: int, hot_cast: int, step: int) -> DataFrame:
     members = saved(_members(df, group, item, True), "members")
     support = saved(members.groupBy("x").agg(F.count(F.lit(1)).alias("_n")), "supports")
     taken = support.agg(F.max("_n")).first()[0]
@@ -77,7 +87,7 @@ def top_pairs(df: DataFrame, group: str, item: str, k: int, hot_cast: int = HOT_
     while True:
         taken = max((taken or 1) // step, floor)
         near = members.join(support.where(F.col("_n") >= taken).select("x"), "x", "left_semi")
-        best = pair_counts(near, "g", "x", min_count=floor, hot_cast=hot_cast).orderBy(F.col("count").desc(), "a", "b").limit(k)
+        best = _pair_counts(near, "g", "x", True, floor, hot_cast).orderBy(F.col("count").desc(), "a", "b").limit(k)
         best = saved(best, "best-pairs")
         found, least = best.agg(F.count(F.lit(1)), F.min("count")).first()
         if found == k:

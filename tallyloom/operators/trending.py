@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordered import HOT_ROWS, OrderedRows
-from tallyloom.session import saved
+from tallyloom.session import saved, small_tasks
 
 # Window and step in seconds, entries shown.
 WINDOW_SECONDS = 60
 STEP_SECONDS = 1
 TOP = 10
 DAY_SECONDS = 86_400
+# Rows at snapshots that weigh as much as one row of a shuffle when tasks are numbered.
+ROWS_TAKEN = 8
 
 
 def bucket_counts(df: DataFrame, tag: str, seconds: Column, step: int = STEP_SECONDS) -> DataFrame:
@@ -95,7 +97,11 @@ def sliding_counts(buckets: DataFrame, tag: str, step: int = STEP_SECONDS, count
     it there is one per step. The default of 61 one-second buckets is a trailing
     minute with both ends included.
     """
-    buckets, span = saved(buckets, "buckets"), step * count
+    return _slid(saved(buckets, "buckets"), tag, step, count, only_at_messages, hot_rows)
+
+
+def _slid(buckets: DataFrame, tag: str, step: int, count: int, only_at_messages: bool, hot_rows: int = HOT_ROWS) -> DataFrame:
+    span = step * count
     levels = _levels(buckets, tag, [(0, [1]), (span, [-1])], hot_rows)
     return _at_snapshots(levels, buckets, tag, step, span, only_at_messages).withColumnRenamed("v0", "n")
 
@@ -112,8 +118,14 @@ def top_per(counts: DataFrame, group: str, tag: str, k: int = TOP, n: str = "n")
 
 def trending(buckets: DataFrame, tag: str, step: int = STEP_SECONDS, count: int = WINDOW_SECONDS + 1,
              window_seconds: int = WINDOW_SECONDS, k: int = TOP, only_at_messages: bool = True) -> DataFrame:
-    """snapshot, rank, tag, n, rate (records per second of the window)."""
-    top = top_per(sliding_counts(buckets, tag, step, count, only_at_messages), "snapshot", tag, k)
+    """snapshot, rank, tag, n, rate (records per second of the window).
+
+    A task sorts what it takes to the snapshots, up to ``count`` rows a bucket,
+    so the number of tasks follows from the number of buckets.
+    """
+    buckets = saved(buckets, "buckets")
+    with small_tasks(buckets.sparkSession, buckets.count() * count // ROWS_TAKEN):
+        top = saved(top_per(_slid(buckets, tag, step, count, only_at_messages), "snapshot", tag, k), "top")
     return top.withColumn("rate", F.col("n") / F.lit(window_seconds))
 
 

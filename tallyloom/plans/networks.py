@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import graph as G
 from tallyloom.plans.registry import query
-from tallyloom.session import new_path, read_table
+from tallyloom.session import new_path, read_table, saved, small_tasks
 from tallyloom.sources import readers as S
 from tallyloom.sources import writers as W
 
@@ -62,7 +62,8 @@ def graph_vertices(spark, sf_dir):
 @query("graph_out_degree", f"""SELECT id, CAST(sum(n) AS BIGINT) AS out_degree FROM (
     SELECT src AS id, 1 AS n FROM ({SQL_EDGES}) UNION ALL SELECT dst, 0 FROM ({SQL_EDGES})) GROUP BY id""")
 def graph_out_degree(spark, sf_dir):
-    return G.out_degrees(trade_edges(spark, sf_dir))
+    with small_tasks(spark, 2 * read_table(spark, sf_dir, "lineitem").count()):
+        return saved(G.out_degrees(trade_edges(spark, sf_dir)), "out-degrees")
 
 
 @query("pagerank", sql_ranks())

@@ -5,13 +5,15 @@ of word counts of fixed size (hashed, so a count may be too high, never too
 low; any order that is the same for all lines gives the exact result, rarity
 only makes it fast). Two sets that are similar enough share a word among the
 first few of both. Candidates must pass the length bound, the bound given by
-the places of the shared word, and a bound from parity masks of 64 bits, or 128
-for longer lines (the bits in which two masks differ never outnumber the words
-in which the sets differ). What is left is verified on the full sets.
-
-Equal sets count once. In the list of a word each line first meets the earliest
-lines of the list only; most near copies are settled by that. Only lines that
-are still unsettled then meet the rest of a longer list.
+the places of the first shared word, and a bound from parity masks of 64 bits,
+or 128 for longer lines (the bits in which two masks differ never outnumber the
+words in which the sets differ). What is left is verified on the full sets.
+
+Equal sets count once. Near copies are mostly settled before all lists of words
+are made: sets that agree in the smallest or the largest hash of their rarer
+words form a group, and each meets the earliest few of its groups. Those that
+are near another then meet the earliest few in the lists of their words. Only
+pairs whose later line is still unsettled are looked for in all lists.
 """
 
 from __future__ import annotations
@@ -25,14 +27,16 @@ from pyspark.sql.window import Window
 
 from tallyloom.functions.text import bind
 from tallyloom.llm.rows import field, hinted, own_name, text_key
-from tallyloom.session import saved
+from tallyloom.session import saved_lean as saved
 
 SLOTS = 1 << 16
 HUBS = 4
-# Lists of words more frequent than this are dealt out in cells of about this size.
+# Larger groups are dealt out in cells of about this size.
 CELL = 200_000
 # Lines of more words have masks of two longs.
-WIDE = 96
+WIDE = 32
+# Numbers of words and places are kept in 15 bits; this many words or more pass the bounds on them.
+MANY = (1 << 15) - 1
 # A word's number: its level of frequency in the top byte, 56 bits of its hash below.
 LEVEL_BITS = 56
 
@@ -104,12 +108,19 @@ def _masks(words: Column) -> list[Column]:
     def part(w: Column) -> Column:
         return F.call_function("shiftright", w, F.lit(26)).bitwiseAND(F.lit(1))
 
-    def parity(k: int) -> Column:
-        return F.aggregate(words, none, lambda bits, w: F.when(part(w) == k, bits.bitwiseXOR(bit(w))).otherwise(bits))
+    def flipped(bits: Column, w: Column) -> Column:
+        return bits.bitwiseXOR(bit(w))
+
+    every = F.aggregate(words, none, flipped)
+    upper = F.when(F.size(words) > WIDE, F.aggregate(words, none, lambda bits, w: F.when(part(w) == 1, flipped(bits, w)).otherwise(bits))).otherwise(none)
+    return [every.bitwiseXOR(upper), upper]
+
 
-    wide = F.size(words) > WIDE
-    narrow = F.aggregate(words, none, lambda bits, w: bits.bitwiseXOR(bit(w)))
-    return [F.when(wide, parity(k)).otherwise(none if k else narrow) for k in range(2)]
+def _groups(words: Column) -> Column:
+    """Hashes of the smallest and of the largest word of the rarer half, levels aside."""
+    half = F.slice(words, F.lit(1), F.floor((F.size(words) + 1) / 2).cast("int"))
+    bare = F.transform(half, lambda w: w.bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)))
+    return bind(bare, lambda b: F.array(*[F.hash(m(b)) for m in (F.array_min, F.array_max)]))
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -123,24 +134,19 @@ def _prefix(n: Column, percent: int) -> Column:
     return n - F.floor((n * percent + 99) / 100).cast("int") + 1
 
 
-def _passes(a: str, b: str, percent: int) -> Column:
-    """Length, place and mask bounds of a candidate pair of list entries, given the prefixes of their columns."""
-    def spot(side: str) -> tuple[Column, Column]:
-        return F.call_function("shiftright", F.col(f"{side}spot"), F.lit(32)).cast("int"), F.col(f"{side}spot").bitwiseAND(F.lit(2**31 - 1)).cast("int")
-
-    (n, i), (m, j) = spot(a), spot(b)
-    need = _needed(n, m, percent)
-    reach = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+def _close(a: str, b: str, percent: int) -> Column:
+    """Length and mask bounds of two sets, given the prefixes of their columns."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
     apart = [F.col(f"{a}m{k}").bitwiseXOR(F.col(f"{b}m{k}")) for k in range(2)]
     narrow = F.bit_count(apart[0].bitwiseXOR(apart[1]))
     wide = F.bit_count(apart[0]) + F.bit_count(apart[1])
-    differ = F.when((n > WIDE) & (m > WIDE), wide).otherwise(narrow)
-    return ((F.col(f"{a}name") != F.col(f"{b}name")) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-            & (reach >= need) & (differ <= n + m - 2 * need) & ((n != m) | (need < n)))
+    need = _needed(n, m, percent)
+    return ((F.least(n, m) * 100 >= F.greatest(n, m) * percent) & ((n != m) | (need < n))
+            & (F.when((n > WIDE) & (m > WIDE), wide).otherwise(narrow) <= n + m - 2 * need))
 
 
-def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, text: str, percent: int, levels: Column) -> DataFrame:
-    """(name): sets with an earlier similar set, among the candidate ``pairs`` (a, b)."""
+def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, text: str, percent: int, levels: Column) -> tuple[DataFrame, DataFrame]:
+    """(name) of sets with an earlier similar set among the candidate ``pairs`` (a, b), and (name) of all sets in them."""
     pairs = saved(pairs.distinct(), "pairs")
     names = saved(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct(), "names")
     known = saved(firsts.join(hinted(names), "name").select(F.col("name"), F.col("first"), F.col("first.doc").alias("doc"),
@@ -156,7 +162,65 @@ def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, t
     shared = F.size(F.array_intersect("a_h", "b_h"))
     similar = shared * 100 >= (F.size("a_h") + F.size("b_h") - shared) * percent
     late = F.when(F.col("a_first") < F.col("b_first"), F.col("b")).otherwise(F.col("a"))
-    return saved(both.where(similar).select(late.alias("name")).distinct(), "settled")
+    return saved(both.where(similar).select(late.alias("name")).distinct(), "settled"), names
+
+
+def _marked(sets: DataFrame, settled: DataFrame) -> DataFrame:
+    """``sets`` with ``done``: 1 for the settled ones, else 0."""
+    marks = settled.select(F.col("name").alias("settled"))
+    return sets.join(hinted(marks), sets["name"] == marks["settled"], "left").withColumn("done", F.col("settled").isNotNull().cast("long")).drop("settled")
+
+
+def _met(sets: DataFrame, groups: str, percent: int) -> DataFrame:
+    """(a, b): each set that is not done with the earliest sets of its groups, where the bounds allow them to be similar."""
+    own = ["doc", "name", "n", "m0", "m1"]
+    done = F.col("done") if "done" in sets.columns else F.lit(0)
+    members = sets.select(F.explode(groups).alias("group"), *own, done.alias("done"))
+    large = saved(members.groupBy("group").count().where(F.col("count") > CELL), "groups")
+    large = large.select(F.col("group").alias("dealt"), F.ceil(F.col("count") / CELL).alias("cells"))
+    members = members.join(hinted(large), F.col("group") == F.col("dealt"), "left")
+    members = members.withColumn("cell", F.coalesce(F.pmod("name", "cells"), F.lit(0))).drop("dealt", "cells")
+    whole = Window.partitionBy("group", "cell").orderBy("doc", "name").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    me = F.struct(*own)
+    hubs = F.array(*[F.nth_value(me, k).over(whole) for k in range(1, HUBS + 1)])
+    asked = members.select(*own, "done", hubs.alias("hubs"), F.count("*").over(whole).alias("c")).where("c > 1 and done = 0")
+    asked = asked.select(*own, F.explode("hubs").alias("hub"))
+    earlier = (F.col("hub.doc") < F.col("doc")) | ((F.col("hub.doc") == F.col("doc")) & (F.col("hub.name") < F.col("name")))
+    return asked.where(earlier & _close("", "hub.", percent)).select(F.col("name").alias("a"), F.col("hub.name").alias("b"))
+
+
+def _listed(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets that share a word of their prefixes, the later unsettled, where the bounds allow them to be similar."""
+    entries = sets.select("doc", "name", "n", "m0", "m1", "done", F.posexplode("rare").alias("at", "word"))
+
+    def shifted(value: Column, bits: int) -> Column:
+        return F.call_function("shiftleft", value.cast("long"), F.lit(bits))
+
+    # Word, number of words, place and mark in one long: the shuffle below is the largest of the job.
+    spot = shifted(F.col("word"), 32) + shifted(F.least("n", F.lit(MANY)), 16) + shifted(F.least("at", F.lit(MANY)), 1) + F.col("done")
+    entries = entries.select(spot.alias("spot"), "doc", "name", "m0", "m1")
+
+    def word(side: str) -> Column:
+        return F.call_function("shiftright", F.col(f"{side}.spot"), F.lit(32)).cast("int")
+
+    def unpacked(side: str) -> tuple[Column, Column, Column]:
+        spot = F.col(f"{side}.spot")
+        n, at = (F.call_function("shiftright", spot, F.lit(bits)).bitwiseAND(F.lit(MANY)).cast("int") for bits in (16, 1))
+        return n, at, spot.bitwiseAND(F.lit(1)) == 1
+
+    # Both sides of the join are the same rows, so they are shuffled once.
+    (n, i, a_done), (m, j, b_done) = unpacked("a"), unpacked("b")
+    need = _needed(n, m, percent)
+    many = (n == MANY) | (m == MANY)
+    # The first word that two sets share has enough words left behind it in both.
+    placed = (F.least(n - i, m - j) >= need) & ((n != m) | (need < n))
+    # The later of both must be unsettled; of two lines in one document either.
+    asked = (F.when(F.col("a.doc") > F.col("b.doc"), ~a_done).when(F.col("a.doc") < F.col("b.doc"), ~b_done).otherwise(~a_done | ~b_done))
+    apart = [F.col(f"a.m{k}").bitwiseXOR(F.col(f"b.m{k}")) for k in range(2)]
+    differ = F.when((n > WIDE) & (m > WIDE), F.bit_count(apart[0]) + F.bit_count(apart[1])).otherwise(F.bit_count(apart[0].bitwiseXOR(apart[1])))
+    met = entries.alias("a").join(entries.alias("b"), (word("a") == word("b")) & (F.col("a.name") < F.col("b.name")) & (many | placed)
+                                  & asked & (many | (differ <= n + m - 2 * need)))
+    return met.select(F.col("a.name").alias("a"), F.col("b.name").alias("b"))
 
 
 def removed_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -167,46 +231,20 @@ def removed_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", pe
     size = F.size("h")
     # The level and 24 bits of a word's number name its list; words that share them share a list.
     short = F.transform(F.slice("h", F.lit(1), _prefix(size, percent)), lambda w: F.call_function("shiftrightunsigned", w, F.lit(32)).cast("int"))
+    # Sets so small that one word more or less is too much are similar to no other.
+    some = size * 100 >= (size + 1) * percent
     lines = saved(hashed.where(size > 0).select(
         "doc", "key", "no", F.xxhash64("h").alias("name"), size.alias("n"), *[m.alias(f"m{k}") for k, m in enumerate(_masks(F.col("h")))],
-        short.alias("rare")), "lines")
+        F.when(some, short).alias("rare"), F.when(some, _groups(F.col("h"))).alias("groups")), "lines")
     named = lines.select("doc", "key", "no", "name")
-    firsts = saved(named.groupBy("name").agg(F.min(place).alias("first")), "firsts")
-    bits = ["m0", "m1"]
-    sets = lines.select("name", F.struct("doc", "n", *bits, "rare").alias("it")).groupBy("name").agg(F.min("it").alias("it"))
-    listed = sets.select("name", *[F.col(f"it.{c}").alias(c) for c in ("doc", "n", *bits)], F.posexplode("it.rare").alias("at", "word"))
-    # A frequent word's list is dealt out by the set's name; its cells meet in the last step.
-    level = F.call_function("shiftright", F.col("word"), F.lit(LEVEL_BITS - 32))
-    cells = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2.0), level / 4) / CELL).cast("int"))
-    spot = F.call_function("shiftleft", F.col("n").cast("long"), F.lit(32)).bitwiseOR(F.col("at").cast("long"))
-    entry = ["doc", "name", "spot", *bits]
-    entries = listed.select("word", F.when(cells > 1, F.pmod("name", cells)).otherwise(-1).cast("int").alias("cell"),
-                            "doc", "name", spot.alias("spot"), *bits)
-    whole = Window.partitionBy("word", "cell").orderBy("doc", "name").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    me = F.struct(*entry)
-    met = entries.select("*", *[F.nth_value(me, k).over(whole).alias(f"hub{k}") for k in range(1, HUBS + 1)], F.count("*").over(whole).alias("c"))
-    longer = (F.col("c") > HUBS + 1) | (F.col("cell") >= 0)
-    # A row for the entry itself and one per hub: one test of a pair in the code, however many hubs.
-    alone = F.lit(None).cast("struct<" + ",".join(f"{c}:bigint" for c in entry) + ">")
-    asked = met.where("c > 1 or cell >= 0").select("word", *entry, longer.alias("open"), F.posexplode(
-        F.array(alone, *[F.col(f"hub{k}") for k in range(1, HUBS + 1)])).alias("k", "hub"))
-    earlier = (F.col("hub.doc") < F.col("doc")) | ((F.col("hub.doc") == F.col("doc")) & (F.col("hub.name") < F.col("name")))
-    own = F.col("k") == 0
-    kept = asked.where(F.when(own, F.col("open")).otherwise(earlier & _passes("", "hub.", percent)))
-    met = saved(kept.select("name", F.col("hub.name").alias("b"), *[F.when(own, F.col(c)).alias(c) for c in ("word", *entry) if c != "name"]), "lists")
-    pairs = met.where("b is not null").select(F.col("name").alias("a"), "b")
-    settled = _settled(pairs, firsts, docs, ident, text, percent, levels)
-    # Both sides of the join below are the same frame, so it is shuffled once.
-    marks = settled.select(F.col("name").alias("settled"))
-    rest = met.where("b is null").select("word", *entry)
-    rest = rest.join(hinted(marks), rest["name"] == marks["settled"], "left").select("word", *entry, F.col("settled").isNotNull().alias("done"))
-    one, two = rest.alias("one"), rest.alias("two")
-    a_done, b_done, a_doc, b_doc = (F.col(c) for c in ("one.done", "two.done", "one.doc", "two.doc"))
-    # The later of both must be unsettled; of two lines in one document either.
-    asked = F.when(a_doc > b_doc, ~a_done).when(a_doc < b_doc, ~b_done).otherwise(~a_done | ~b_done)
-    more = one.join(two, (F.col("one.word") == F.col("two.word")) & (F.col("one.name") < F.col("two.name")) & asked
-                    & _passes("one.", "two.", percent)).select(F.col("one.name").alias("a"), F.col("two.name").alias("b"))
-    late = _settled(more, firsts, docs, ident, text, percent, levels)
+    own = ["n", "m0", "m1", "rare", "groups"]
+    sets = lines.groupBy("name").agg(F.min(place).alias("first"), F.first(F.struct(*own)).alias("it"))
+    sets = saved(sets.select("name", "first", F.col("first.doc").alias("doc"), *[F.col(f"it.{c}").alias(c) for c in own]), "sets")
+    firsts = sets.select("name", "first")
+    settled, near = _settled(_met(sets, "groups", percent), firsts, docs, ident, text, percent, levels)
+    again, _ = _settled(_met(_marked(sets.join(hinted(near), "name"), settled), "rare", percent), firsts, docs, ident, text, percent, levels)
+    settled = saved(settled.union(again), "settled")
+    late, _ = _settled(_listed(_marked(sets, settled), percent), firsts, docs, ident, text, percent, levels)
     gone = saved(settled.union(late).distinct().withColumn("gone", F.lit(True)), "gone")
     judged = named.join(firsts, "name").join(hinted(gone), "name", "left")
     return judged.where(F.col("gone") | (place != F.col("first"))).select("doc", "key", "no")

@@ -507,3 +507,32 @@ def test_pipeline_against_brute_force(spark):
     got = {tuple(r) for r in corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()}
     assert got == want
     assert 0 < len(want) <= len(left) < len(after) < len(docs) and after != texts
+
+
+def test_near_copies_of_a_line_meet_few_others(spark, monkeypatch):
+    """One line in very many near copies: pairs to verify grow with the lines, not with their square, and the result is exact."""
+    from tallyloom.llm import lines
+
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(60)]
+    made = [" ".join(rng.choice([w] * 9 + [f"x{rng.randrange(4000)}"]) if i else w for w in base) for i in range(900)]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    frames, plain = [], lines.saved
+    monkeypatch.setattr(lines, "saved", lambda df, label: frames.append((label, plain(df, label))) or frames[-1][1])
+    got = {r["doc"] for r in lines.removed_lines(docs).collect()}
+    sets = [set(t.split()) for t in made]
+    assert got == {j for j, b in enumerate(sets) if any(100 * len(a & b) >= 80 * len(a | b) for a in sets[:j])}
+    assert 300 < len(got) < 890
+    assert sum(f.count() for label, f in frames if label == "pairs") < 6 * len(made)
+
+
+def test_saves_of_line_dedup_leave_no_shuffle_files(spark, monkeypatch):
+    """Lists of words are the largest shuffle; their files go with the write that needed them, and the session gets its setting back."""
+    from tallyloom import session
+    from tallyloom.llm import lines
+
+    seen, plain = [], session.saved
+    monkeypatch.setattr(session, "saved", lambda df, label: seen.append((label, spark.conf.get(session.CLEANUP, None))) or plain(df, label))
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")], "doc_id long, text string")
+    assert lines.removed_lines(docs).count() == 1
+    assert len(seen) > 5 and {value for _, value in seen} == {"true"} and spark.conf.get(session.CLEANUP, None) in (None, "false")

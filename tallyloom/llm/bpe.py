@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,8 @@ from tallyloom.llm.rows import field, in_small_batches
 # Fixed value: the pieces that the vocabulary's own file splits a text into.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 WORD_END = "</w>"
-# Words, pieces and pairs of tokens remembered within a task, about 250 bytes each; emptied beyond this.
-WORDS, PARTS, PAIRS = 100_000, 300_000, 150_000
+# Words, pieces and pairs of tokens remembered within a task, about 160 bytes each; emptied beyond this.
+WORDS, PARTS, PAIRS = 400_000, 100_000, 150_000
 
 
 def byte_letters() -> list[str]:
@@ -41,6 +41,10 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Vocabulary:
     """Tokens, merges and tables built from a tokenizer file."""
 
@@ -64,7 +68,9 @@ class Vocabulary:
         end = WORD_END
         # The end of a word is one extra symbol, so that "a" is a prefix of "a" at the end.
         self.shape = {i: (t[:-len(end)] + "\n" if t.endswith(end) and len(t) > len(end) else t) for t, i in self.ids.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # By the left token times the shift of ids plus the right one: one number takes half the room of a pair.
+        self.shift = max(self.ids.values()).bit_length()
+        self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         self.span: dict[int, int] = {}
         for i, shape in self.shape.items():
@@ -85,8 +91,9 @@ class Vocabulary:
         self.offsets = np.zeros(size + 1, dtype=np.int64)
         np.cumsum([len(c) for c in coded], out=self.offsets[1:])
         self.letters_of_tokens = np.frombuffer(b"".join(coded), dtype=np.uint8)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.part_ids: dict[str, tuple[int, ...]] = {}
+        # Ids as bytes: small, and joined without a look at each id.
+        self.words: dict[str, bytes] = {}
+        self.part_ids: dict[str, bytes] = {}
         self.pieces = regex.compile(PIECES).findall
 
     def _merges_to_itself(self, token: int) -> bool:
@@ -110,7 +117,7 @@ class Vocabulary:
         two tokens at the border may not have a merge that comes before the one
         undone last. ``within``: the border itself is merged at that rank.
         """
-        key = (left, right)
+        key = left << self.shift | right
         if within is None and key in self.pairs:
             return self.pairs[key]
         limit = len(self.rank) if within is None else within
@@ -142,14 +149,21 @@ class Vocabulary:
         longest = [-1] * n
         for last, (before, token) in self.automaton.iter(text):
             longest[last - before] = token
-        compatible, span, shorter = self.compatible, self.span, self.shorter
+        compatible, span, shorter, pairs, shift = self.compatible, self.span, self.shorter, self.pairs, self.shift
         dead = bytearray(n + 1)
         # A bare end mark is no token, so nothing may stop in front of it.
         dead[n - 1] = 1
         path: list[int] = []
         at, token = 0, longest[0]
         while at < n:
-            while token >= 0 and (dead[at + span[token]] or (path and not compatible(path[-1], token))):
+            last = path[-1] if path else -1
+            while token >= 0:
+                if not dead[at + span[token]]:
+                    if last < 0:
+                        break
+                    good = pairs.get(last << shift | token)
+                    if compatible(last, token) if good is None else good:
+                        break
                 token = shorter[token]
             if token >= 0:
                 path.append(token)
@@ -159,18 +173,18 @@ class Vocabulary:
             dead[at] = 1
             if not path:
                 raise ValueError(f"no token for {word!r}")
-            last = path.pop()
+            path.pop()
             at -= span[last]
             token = shorter[last]
         return path
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text, as unsigned 32-bit numbers."""
-        out: list[int] = []
+        """Ids of a whole text, as little-endian unsigned 32-bit numbers."""
+        out: list[bytes] = []
         words, parts, letters = self.words, self.part_ids, self.letters
         for part, special in self.sections(text):
             if special is not None:
-                out.append(special)
+                out.append(_packed([special]))
                 continue
             # One letter at a time, as the library does: no final form of sigma.
             plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
@@ -181,14 +195,20 @@ class Vocabulary:
             if len(parts) > PARTS:
                 parts.clear()
             for chunk in set(chunks).difference(words):
-                ids: list[int] = []
+                if chunk.isascii() and chunk.isalpha():
+                    # A piece by itself, whose bytes are its letters.
+                    words[chunk] = parts.get(chunk) or _packed(self.encode_word(chunk))
+                    continue
+                ids: list[bytes] = []
                 for piece in self.pieces(chunk):
-                    if piece not in parts:
-                        parts[piece] = tuple(self.encode_word("".join([letters[b] for b in piece.encode()])))
-                    ids += parts[piece]
-                words[chunk] = tuple(ids)
-            out.extend(chain.from_iterable(map(words.__getitem__, chunks)))
-        return np.array(out, dtype=np.uint32)
+                    # A piece that stands alone is cut into nothing but itself.
+                    known = words.get(piece) or parts.get(piece)
+                    if known is None:
+                        known = parts[piece] = _packed(self.encode_word("".join([letters[b] for b in piece.encode()])))
+                    ids.append(known)
+                words[chunk] = b"".join(ids)
+            out.extend(map(words.__getitem__, chunks))
+        return np.frombuffer(b"".join(out), dtype="<u4")
 
     def sections(self, text: str):
         """The text between special tokens, and the tokens themselves."""
@@ -215,7 +235,6 @@ class Vocabulary:
         place = np.arange(ends[-1]) + np.repeat(start - (ends - size), size)
         return self.letters_of_tokens[place][:-1].tobytes()
 
-
     def forget(self) -> None:
         """Leaves the tables alone and drops what was remembered."""
         for memory in (self.words, self.part_ids, self.pairs):
@@ -231,7 +250,7 @@ def _coded(sent, keep: bool):
             for text in batch.column(1).to_pylist():
                 ids = vocabulary.encode(text or "")
                 count.append(len(ids))
-                ids_hash.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+                ids_hash.append(hashlib.sha256(ids.tobytes()).hexdigest())
                 text_hash.append(hashlib.sha256(vocabulary.decode(ids)).hexdigest())
                 if keep:
                     lists.append(ids.astype(np.int64))

@@ -536,3 +536,23 @@ def test_saves_of_line_dedup_leave_no_shuffle_files(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")], "doc_id long, text string")
     assert lines.removed_lines(docs).count() == 1
     assert len(seen) > 5 and {value for _, value in seen} == {"true"} and spark.conf.get(session.CLEANUP, None) in (None, "false")
+
+
+def test_plain_words_are_not_cut_and_ids_are_kept_as_bytes():
+    """A word of ASCII letters is one piece without a look at the pattern; a remembered word takes four bytes an id."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tallyloom.llm import bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_padding(), library.no_truncation()
+    with open(path, encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    asked, cut = [], vocabulary.pieces
+    vocabulary.pieces = lambda chunk: asked.append(chunk) or cut(chunk)
+    for text in ("Plain words and again plain Words", "it's wordless, word's 12 naïve \x1c plain\x1d words'table ''s", "", "plain"):
+        assert vocabulary.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert asked and not any(c.isascii() and c.isalpha() for c in asked)
+    assert {type(ids) for ids in [*vocabulary.words.values(), *vocabulary.part_ids.values()]} == {bytes}

@@ -16,13 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import bind
-
 # The pass over a partition travels with its code: workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,28 +30,53 @@ FOUND = "n int, ngram string, count bigint"
 
 def suffixes(df: DataFrame, tokens: Column, longest: int = LONGEST) -> DataFrame:
     """suffix: for every word of every row, it and the words after it, at most ``longest``, space-joined."""
-    def starts(t: Column) -> Column:
-        places = F.when(F.size(t) > 0, F.sequence(F.lit(1), F.size(t)))
-        return F.transform(places, lambda i: F.array_join(F.slice(t, i, longest), " "))
-
-    return df.select(F.explode(bind(tokens, starts)).alias("suffix"))
-
-
-def shared_words(words: pa.ListArray, before: list[str] | None) -> tuple[np.ndarray, np.ndarray]:
-    """For each row how many words it has, and how many first ones it shares with the row before it."""
-    offsets = words.offsets.to_numpy().astype(np.int64)
-    sizes = np.diff(offsets)
-    flat = words.values.slice(offsets[0], offsets[-1] - offsets[0])
-    codes = pc.dictionary_encode(flat).indices.to_numpy(zero_copy_only=False)
-    wide = int(sizes.max())
-    table = np.full((len(sizes), wide), -1, dtype=np.int64)
-    table[np.arange(wide) < sizes[:, None]] = codes
-    same = (table[1:] == table[:-1]) & (table[1:] >= 0)
+    # Places are exploded and words joined behind that, where it is compiled; inside a lambda it takes several times as long.
+    places = F.when(F.size("tokens") > 0, F.sequence(F.lit(1), F.size("tokens")))
+    placed = df.select(tokens.alias("tokens")).select("tokens", F.explode(places).alias("place"))
+    return placed.select(F.array_join(F.slice("tokens", F.col("place"), F.lit(longest)), " ").alias("suffix"))
+
+
+def _same_bytes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many first bytes each text but the first shares with the one before it, eight at a time."""
+    eights = np.ndarray(shape=len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    most = np.minimum(np.diff(offsets[:-1]), np.diff(offsets[1:]))
+    same = np.zeros(len(most), dtype=np.int64)
+    left = np.flatnonzero(most > 0)
+    while len(left):
+        at = same[left]
+        apart = eights[offsets[left] + at] ^ eights[offsets[left + 1] + at]
+        # The lowest bit that differs lies in the first byte that differs.
+        lowest = (apart & (~apart + np.uint64(1))).astype(np.float64)
+        equal = np.where(apart == 0, 8, (np.frexp(lowest)[1] - 1) // 8)
+        same[left] = np.minimum(at + equal, most[left])
+        left = left[(equal == 8) & (same[left] < most[left])]
+    return same
+
+
+def shared_words(texts: pa.StringArray, before: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """For each text how many words it has, and how many first ones it shares with the text before it."""
+    _, places, values = texts.buffers()
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(places, dtype=wide)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    first, end = int(offsets[0]), int(offsets[-1])
+    # Eight bytes can be read at every place of a text.
+    data = np.zeros(end - first + 8, dtype=np.uint8)
+    if end > first:
+        data[:end - first] = np.frombuffer(values, dtype=np.uint8)[first:end]
+    offsets -= first
+    blank = data == ord(" ")
+    blanks = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(blank, out=blanks[1:])
+    sizes = blanks[offsets[1:]] - blanks[offsets[:-1]] + 1
     shared = np.zeros(len(sizes), dtype=np.int64)
-    shared[1:] = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+    if len(sizes) > 1:
+        same = _same_bytes(data, offsets)
+        # The word at the first byte that differs is shared if it ends there in both.
+        whole = [(same == np.diff(o)) | blank[o[:-1] + same] for o in (offsets[:-1], offsets[1:])]
+        shared[1:] = blanks[offsets[1:-1] + same] - blanks[offsets[1:-1]] + (whole[0] & whole[1])
     if before is not None:
-        first = words[0].as_py()
-        shared[0] = next((k for k, (a, b) in enumerate(zip(first, before)) if a != b), min(len(first), len(before)))
+        one, two = texts[0].as_py().split(" "), before.split(" ")
+        shared[0] = next((k for k, (a, b) in enumerate(zip(one, two)) if a != b), min(len(one), len(two)))
     return sizes, shared
 
 
@@ -68,7 +90,7 @@ def _runs(longest: int, least: int, k: int | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = range(1, longest + 1)
-        before: list[str] | None = None
+        before: str | None = None
         # For each length the run that is still open: its rows, a row of it, if that is long enough, if it began at the edge.
         rows, text, valid, edge = [0] * (longest + 1), [""] * (longest + 1), [False] * (longest + 1), [True] * (longest + 1)
         best: list[list[tuple[int, str]]] = [[] for _ in range(longest + 1)]
@@ -96,8 +118,7 @@ def _runs(longest: int, least: int, k: int | None):
             if not batch.num_rows:
                 continue
             texts = batch.column(0)
-            words = pc.split_pattern(texts, " ")
-            sizes, shared = shared_words(words, before)
+            sizes, shared = shared_words(texts, before)
             for n in levels:
                 # The first row of a partition shares nothing, so it starts a run of every length.
                 starts = np.flatnonzero(shared < n)
@@ -123,7 +144,7 @@ def _runs(longest: int, least: int, k: int | None):
                 last = int(starts[-1])
                 edge[n] = before is None and not len(inner)
                 rows[n], text[n], valid[n] = len(sizes) - last, texts[last].as_py(), bool(sizes[last] >= n)
-            before = words[len(sizes) - 1].as_py()
+            before = texts[len(sizes) - 1].as_py()
             if out:
                 yield flushed()
         if before is None:

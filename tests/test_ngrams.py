@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,30 @@ def test_one_row_per_word_is_shuffled(spark):
     assert plan.count("rangepartitioning") == 1 and plan.count("Generate") == 1
 
 
+def test_suffixes_are_joined_in_compiled_code(spark):
+    """Joining words inside a lambda took several times as long, and the sort asks for all suffixes twice."""
+    docs = spark.createDataFrame([("a b c",), (None,), ("",)], "text string").repartition(2)
+    found = N.suffixes(docs, X.words(F.col("text")), 2)
+    assert sorted(r["suffix"] for r in found.collect()) == ["a b", "b c", "c"]
+    joined = [line for line in N.suffixes(docs, X.words(F.col("text")))._jdf.queryExecution().executedPlan().toString().splitlines() if "array_join" in line]
+    assert joined and not any("lambda" in line for line in joined)
+
+
+def test_shared_words_by_hand():
+    """Words are compared as bytes; a word that only begins like another is not shared."""
+    rng = random.Random(3)
+    pieces = ["a", "b", "é", "aa", "abcdefgh", "abcdefghi", "x" * 29, "x" * 32, "日本", ""]
+    for _ in range(300):
+        texts = sorted(" ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 9)))
+        before = rng.choice([None, texts[0], "a aa", ""])
+        # A slice of a longer column, as batches may be.
+        sizes, shared = N.shared_words(pa.array(["zz", *texts, "u"]).slice(1, len(texts)), before)
+        assert sizes.tolist() == [len(t.split(" ")) for t in texts]
+        for text, last, n in zip(texts, [before, *texts], shared):
+            one, two = text.split(" "), [] if last is None else last.split(" ")
+            assert one[:n] == two[:n] and one[n:n + 1] != two[n:n + 1] or (one == two and n == len(one))
+
+
 @pytest.mark.parametrize("k", [1, 4, 9, 50])
 def test_top_items_move_by_hash(spark, monkeypatch, k):
     """The same as counting every item, with items that share a hash, ties and single ones; no item is in the shuffle of all."""

@@ -67,16 +67,32 @@ def measure(text: bytes | None, hasher: WordHasher) -> tuple[tuple[int, ...], tu
     return (n, chars, symbols, repeats, covered), rates
 
 
+def _measures(column, hasher: WordHasher) -> list[pa.Array]:
+    """The columns of ``BASE`` and ``RULES`` for a column of texts."""
+    rows = [sum(measure(text, hasher), ()) for text in text_bytes(column)]
+    fresh = np.array(rows, dtype=np.int64).reshape(len(rows), len(BASE) + len(RULES))
+    return [pa.array(fresh[:, k]) for k in range(fresh.shape[1])]
+
+
 def _measured(batches):
     hasher = WordHasher()
     for batch in batches:
-        rows = [sum(measure(text, hasher), ()) for text in text_bytes(batch.column(batch.num_columns - 1))]
-        fresh = np.array(rows, dtype=np.int64).reshape(len(rows), len(BASE) + len(RULES))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], *(pa.array(fresh[:, k]) for k in range(fresh.shape[1]))],
+            [*batch.columns[:-1], *_measures(batch.column(batch.num_columns - 1), hasher)],
             names=[*batch.schema.names[:-1], *BASE, *RULES])
 
 
+def _measured_beside(place: int):
+    def run(batches):
+        """Every column stays; the text is the one at ``place``."""
+        hasher = WordHasher()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_measures(batch.column(place), hasher)],
+                                             names=[*batch.schema.names, *BASE, *RULES])
+
+    return run
+
+
 MEASURED = ", ".join(f"{name} long" for name in (*BASE, *RULES))
 
 
@@ -230,10 +246,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: s
     """
     stats = saved(measured(docs, ident, text, stratum), "measures")
     rules = certified(stats, labels, alpha=alpha, delta=delta)
-    away = [own_name(docs, f"_{name}") for name in ("stratum", "text")]
-    whole = docs.select("*", F.coalesce(field(docs, stratum).cast("string"), F.lit("")).alias(away[0]), field(docs, text).alias(away[1]))
+    # A text goes to its task once, among the columns of its row.
     names = [f"c{k}" for k in range(len(docs.columns))]
-    carried = whole.toDF(*names, "stratum", "text")
+    carried = docs.select("*", F.coalesce(field(docs, stratum).cast("string"), F.lit("")).alias(own_name(docs, "_stratum"))).toDF(*names, "stratum")
     schema = ", ".join(f"{n} {t}" for n, t in zip(names, (t for _, t in docs.dtypes)))
-    judged = carried.mapInArrow(_measured, (schema + ", " if schema else "") + "stratum string, " + MEASURED)
+    # An exact name before one that differs in case.
+    place = min(range(len(names)), key=lambda k: (docs.columns[k] != text, docs.columns[k].lower() != text.lower()))
+    judged = carried.mapInArrow(_measured_beside(place), schema + ", stratum string, " + MEASURED)
     return _with_verdict(judged.where(~base_failed()), rules, "rejected").where("not rejected").select(*names).toDF(*docs.columns)

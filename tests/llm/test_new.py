@@ -390,6 +390,19 @@ def test_every_language_has_its_own_cutoffs(spark):
     assert {r["doc_id"] for r in quality.keep_good(docs, marks).collect()} == {i for i, kept in want.items() if kept}
 
 
+def test_kept_rows_send_their_text_once(spark):
+    """The second scan measures the text where it lies; it used to go to the worker a second time under another name."""
+    rows = [(i, "one two three four five six seven eight nine ten " * 3 if i == 1 else text, "x") for i, text in enumerate([None, "", "few words"])]
+    docs = spark.createDataFrame(rows, "doc_id long, `Text` string, lang string")
+    kept = quality.keep_good(docs, spark.createDataFrame([], "doc_id long, quality int"), text="text")
+    assert kept.columns == docs.columns and kept.count() == 0
+    long = docs.union(spark.createDataFrame([(9, " ".join(f"word{k}" for k in range(40)), None)], docs.schema))
+    kept = quality.keep_good(long, spark.createDataFrame([], "doc_id long, quality int"), text="Text")
+    assert [r["doc_id"] for r in kept.collect()] == [9]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and all(len(re.findall(r"Text#\d+ AS", line)) <= 1 for line in plan.splitlines())
+
+
 def test_quality_query_against_plain_loops(spark):
     docs = pq.read_table(f"{SF}/documents.parquet").to_pylist()
     labels = {r["doc_id"]: int(r["quality"] > 0) for r in pq.read_table(f"{SF}/labels.parquet").to_pylist() if r["quality"] is not None}

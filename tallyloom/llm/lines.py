@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tallyloom.functions.text import bind
-from tallyloom.llm.rows import field, hinted, own_name, text_key
+from tallyloom.llm.rows import field, hinted, lowered, own_name, text_key
 from tallyloom.session import saved_lean as saved
 
 SLOTS = 1 << 16
@@ -41,16 +41,6 @@ MANY = (1 << 15) - 1
 LEVEL_BITS = 56
 
 
-def _lowered(text: Column) -> Column:
-    """A text with A-Z lower-cased.
-
-    The bytes are read as Latin-1, so that lower-casing works on single bytes.
-    It also moves the first bytes of two-byte and some other characters, but the number of
-    bytes that follow still tells them apart: different words stay different.
-    """
-    return F.lower(F.decode(text.cast("binary"), "ISO-8859-1"))
-
-
 def _blanked(lower: Column) -> Column:
     """Blanks for white space other than line feeds. Few texts have any: the test is cheaper than the replacements."""
     blanks = lower
@@ -66,7 +56,7 @@ def _slot(word: Column) -> Column:
 def rarity(docs: DataFrame, text: str) -> Column:
     """An array with one level per slot of hashed words: a quarter-step logarithm of their count in all texts."""
     # A generator computes a costly value once.
-    lower = docs.select(F.explode(F.array(_lowered(field(docs, text)))).alias("text"))
+    lower = docs.select(F.explode(F.array(lowered(field(docs, text)))).alias("text"))
     words = lower.select(F.explode(F.split(F.replace(_blanked(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("word")).where("word <> ''")
     counted = words.groupBy(_slot(F.xxhash64("word")).alias("slot")).agg(F.count("*").alias("n"))
     levels = [0] * SLOTS
@@ -91,7 +81,7 @@ def _keyed(docs: DataFrame, ident: str, text: str) -> DataFrame:
 
 def _split_lines(docs: DataFrame, ident: str, text: str) -> DataFrame:
     """(doc, key, no, line): every line of every text, in plain form."""
-    lower = _keyed(docs, ident, text).select("doc", "key", F.explode(F.array(_lowered(F.col("text")))).alias("text"))
+    lower = _keyed(docs, ident, text).select("doc", "key", F.explode(F.array(lowered(F.col("text")))).alias("text"))
     return lower.select("doc", "key", F.posexplode(F.split(_blanked(F.col("text")), "\n", -1)).alias("no", "line"))
 
 
@@ -154,7 +144,7 @@ def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, t
     # Only the first line of each set is taken up again, and only texts that hold one are cut.
     holding = _keyed(docs, ident, text).join(hinted(known.select("doc", "key").distinct()), ["doc", "key"], "left_semi")
     near = holding.select("doc", "key", F.posexplode(F.split("text", "\n", -1)).alias("no", "line")).join(hinted(known), ["doc", "key", "no"])
-    lower = near.select("name", "first", F.explode(F.array(_lowered(F.col("line")))).alias("line"))
+    lower = near.select("name", "first", F.explode(F.array(lowered(F.col("line")))).alias("line"))
     full = lower.select("name", "first", F.explode(F.array(line_words(_blanked(F.col("line")), levels))).alias("h")).dropDuplicates(["name"])
     full = saved(full, "full")
     one, two = (full.select(F.col("name").alias(s), F.col("h").alias(f"{s}_h"), F.col("first").alias(f"{s}_first")) for s in "ab")

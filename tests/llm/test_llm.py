@@ -15,6 +15,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyloom.llm import archives, bpe, chats, components, decontaminate, grams, lines, minhash, pages, quality, substrings, toxicity
@@ -250,6 +251,20 @@ def test_decontamination_by_hand(spark, rows_to_broadcast):
     assert decontaminate.contamination(table(spark, rows), items.limit(0)).where("contaminated").count() == 0
 
 
+def test_benchmark_words_are_cut_at_gaps_once(spark):
+    """Words are those of the contract for any text; texts are cut at the gaps, once a scan, and not matched word by word."""
+    texts = ["Ab, c-D  é É\u0085ß\u00a0x", "…‘quoted’ 語 語,語", "\x7fx{y}Z[0-9]_", " ", "", None, "\n\nÞþ ÀÃã\u00e3\u0301 𝒳", "one"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("*", decontaminate.item_words(F.col("text")).alias("words"))
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    known = {}
+    for r in rows.collect():
+        want = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r["text"] or "").translate(lower))
+        assert len(want) == len(r["words"]) and all(known.setdefault(w, g) == g for w, g in zip(want, r["words"]))
+    assert len(set(known.values())) == len(known) > 12
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan and "translate" not in plan
+
+
 def test_line_dedup_by_hand(spark):
     a = "one two three four five six seven eight nine ten"
     b = a.replace("ten", "eleven")

@@ -7,7 +7,9 @@ only makes it fast). Two sets that are similar enough share a word among the
 first few of both. Candidates must pass the length bound, the bound given by
 the places of the first shared word, and a bound from parity masks of 64 bits,
 or 128 for longer lines (the bits in which two masks differ never outnumber the
-words in which the sets differ). What is left is verified on the full sets.
+words in which the sets differ). Common words have a list for each class of
+sizes, so that sets of very different sizes do not meet at all. What is left is
+verified on the full sets.
 
 Equal sets count once. Near copies are mostly settled before all lists of words
 are made: sets that agree in the smallest or the largest hash of their rarer
@@ -39,6 +41,9 @@ WIDE = 32
 MANY = (1 << 15) - 1
 # A word's number: its level of frequency in the top byte, 56 bits of its hash below.
 LEVEL_BITS = 56
+# Words of this level and above (64 times and more) have a list for each class of sizes; a class ends at half as many words again.
+COMMON = 25
+CLASS = 1.5
 
 
 def _blanked(lower: Column) -> Column:
@@ -54,14 +59,14 @@ def _slot(word: Column) -> Column:
 
 
 def rarity(docs: DataFrame, text: str) -> Column:
-    """An array with one level per slot of hashed words: a quarter-step logarithm of their count in all texts."""
+    """An array with one level per slot of hashed words, in the top byte: a quarter-step logarithm of their count in all texts."""
     # A generator computes a costly value once.
     lower = docs.select(F.explode(F.array(lowered(field(docs, text)))).alias("text"))
     words = lower.select(F.explode(F.split(F.replace(_blanked(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("word")).where("word <> ''")
     counted = words.groupBy(_slot(F.xxhash64("word")).alias("slot")).agg(F.count("*").alias("n"))
     levels = [0] * SLOTS
     for row in counted.collect():
-        levels[row["slot"]] = min(127, 1 + int(4 * math.log2(row["n"])))
+        levels[row["slot"]] = min(127, 1 + int(4 * math.log2(row["n"]))) << LEVEL_BITS
     # A constant that the optimizer folds; an array of as many literals would be a huge expression.
     return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
 
@@ -69,8 +74,7 @@ def rarity(docs: DataFrame, text: str) -> Column:
 def line_words(line: Column, levels: Column) -> Column:
     """Sorted numbers of the distinct words of a (plain) line, the rarest first."""
     hashes = F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, lambda w: F.call_function("shiftleft", F.get(levels, _slot(w)), F.lit(LEVEL_BITS)).bitwiseOR(
-        F.call_function("shiftrightunsigned", w, F.lit(64 - LEVEL_BITS)))))
+    return F.sort_array(F.transform(hashes, lambda w: F.get(levels, _slot(w)).bitwiseOR(F.call_function("shiftrightunsigned", w, F.lit(64 - LEVEL_BITS)))))
 
 
 def _keyed(docs: DataFrame, ident: str, text: str) -> DataFrame:
@@ -92,17 +96,15 @@ def _masks(words: Column) -> list[Column]:
     """
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
-    def bit(w: Column) -> Column:
-        return F.call_function("shiftleft", one, F.call_function("shiftright", w, F.lit(20)).bitwiseAND(F.lit(63)).cast("int"))
-
-    def part(w: Column) -> Column:
-        return F.call_function("shiftright", w, F.lit(26)).bitwiseAND(F.lit(1))
-
+    # Lambdas are not compiled: these take as few steps a word as they can.
     def flipped(bits: Column, w: Column) -> Column:
-        return bits.bitwiseXOR(bit(w))
+        return bits.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63)).cast("int")))
+
+    def flipped_upper(bits: Column, w: Column) -> Column:
+        return F.when(w.bitwiseAND(F.lit(64)) == 0, bits).otherwise(flipped(bits, w))
 
     every = F.aggregate(words, none, flipped)
-    upper = F.when(F.size(words) > WIDE, F.aggregate(words, none, lambda bits, w: F.when(part(w) == 1, flipped(bits, w)).otherwise(bits))).otherwise(none)
+    upper = F.when(F.size(words) > WIDE, F.aggregate(words, none, flipped_upper)).otherwise(none)
     return [every.bitwiseXOR(upper), upper]
 
 
@@ -179,37 +181,61 @@ def _met(sets: DataFrame, groups: str, percent: int) -> DataFrame:
     return asked.where(earlier & _close("", "hub.", percent)).select(F.col("name").alias("a"), F.col("hub.name").alias("b"))
 
 
-def _listed(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): sets that share a word of their prefixes, the later unsettled, where the bounds allow them to be similar."""
-    entries = sets.select("doc", "name", "n", "m0", "m1", "done", F.posexplode("rare").alias("at", "word"))
+def _size_class(n: Column, percent: int) -> Column:
+    """The class of a number of words. Of two similar sets the smaller one is in the class of the larger or in the one below."""
+    return F.floor(F.log(n) / math.log(max(CLASS, 101 / max(percent, 1)))).cast("int")
+
+
+def _entries(sets: DataFrame, percent: int) -> DataFrame:
+    """(spot, doc, name, m0, m1): sets in the lists of the words of their prefixes.
+
+    The list of a common word is split by the size of the sets: each is in the
+    list of its class, and a guest in that of the next class if it may be
+    similar to a set there. ``spot`` holds list, guest or not, number of words,
+    place and mark in one long: the shuffle of the entries is the largest of the job.
+    """
+    capped = F.least("n", F.lit(MANY))
+    mine = _size_class(capped, percent)
+    most = F.least(F.floor(F.col("n") * 100 / max(percent, 1)), F.lit(MANY))
+    own = sets.select("doc", "name", "n", "m0", "m1", "done", "rare", mine.alias("class"), (_size_class(most, percent) > mine).alias("reaches"))
+    entries = own.select("doc", "name", "n", "m0", "m1", "done", "class", "reaches", F.posexplode("rare").alias("at", "word"))
 
     def shifted(value: Column, bits: int) -> Column:
         return F.call_function("shiftleft", value.cast("long"), F.lit(bits))
 
-    # Word, number of words, place and mark in one long: the shuffle below is the largest of the job.
-    spot = shifted(F.col("word"), 32) + shifted(F.least("n", F.lit(MANY)), 16) + shifted(F.least("at", F.lit(MANY)), 1) + F.col("done")
-    entries = entries.select(spot.alias("spot"), "doc", "name", "m0", "m1")
+    level = F.call_function("shiftrightunsigned", F.col("word"), F.lit(LEVEL_BITS - 32))
+    none, one = F.lit(0), F.lit(1)
+    entries = entries.withColumn("common", level >= COMMON).withColumn(
+        "guest", F.explode(F.when(F.col("common") & F.col("reaches"), F.array(none, one)).otherwise(F.array(none))))
+    # Lists whose hashes meet are one list, which only adds pairs to look at.
+    named = F.when(F.col("common"), F.hash("word", F.col("class") + F.col("guest"))).otherwise(F.col("word"))
+    spot = (shifted(named, 32) + shifted(F.col("guest"), 31) + shifted(F.least("n", F.lit(MANY)), 16)
+            + shifted(F.least("at", F.lit(MANY)), 1) + F.col("done"))
+    return entries.select(spot.alias("spot"), "doc", "name", "m0", "m1")
+
+
+def _listed(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets that share a word of their prefixes, the later unsettled, where the bounds allow them to be similar; ``a`` is the larger."""
+    entries = _entries(sets, percent)
 
     def word(side: str) -> Column:
         return F.call_function("shiftright", F.col(f"{side}.spot"), F.lit(32)).cast("int")
 
-    def unpacked(side: str) -> tuple[Column, Column, Column]:
-        spot = F.col(f"{side}.spot")
-        n, at = (F.call_function("shiftright", spot, F.lit(bits)).bitwiseAND(F.lit(MANY)).cast("int") for bits in (16, 1))
-        return n, at, spot.bitwiseAND(F.lit(1)) == 1
+    def part(side: str, bits: int, mask: int = MANY) -> Column:
+        return F.call_function("shiftright", F.col(f"{side}.spot"), F.lit(bits)).bitwiseAND(F.lit(mask))
 
-    # Both sides of the join are the same rows, so they are shuffled once.
-    (n, i, a_done), (m, j, b_done) = unpacked("a"), unpacked("b")
-    need = _needed(n, m, percent)
-    many = (n == MANY) | (m == MANY)
-    # The first word that two sets share has enough words left behind it in both.
-    placed = (F.least(n - i, m - j) >= need) & ((n != m) | (need < n))
+    # Both sides of the join are the same rows, so they are shuffled once; a condition on one side alone would shuffle them twice.
+    # The test of a pair is kept short, or it would not be compiled: no value is computed once for several uses here.
+    n, i, m, j = part("a", 16), part("a", 1), part("b", 16), part("b", 1)
+    larger = F.when((n > m) | ((n == m) & (F.col("a.name") < F.col("b.name"))), part("a", 31, 1) == 0).otherwise(F.lit(False))
+    # The first word that two sets share has enough words left behind it in both: percent / (100 + percent) of n + m.
+    placed = ((m - j) * (100 + percent) >= (n + m) * percent) & ((n - i) * (100 + percent) >= (n + m) * percent)
     # The later of both must be unsettled; of two lines in one document either.
-    asked = (F.when(F.col("a.doc") > F.col("b.doc"), ~a_done).when(F.col("a.doc") < F.col("b.doc"), ~b_done).otherwise(~a_done | ~b_done))
+    asked = (((F.col("a.doc") >= F.col("b.doc")) & (part("a", 0, 1) == 0)) | ((F.col("b.doc") >= F.col("a.doc")) & (part("b", 0, 1) == 0)))
     apart = [F.col(f"a.m{k}").bitwiseXOR(F.col(f"b.m{k}")) for k in range(2)]
-    differ = F.when((n > WIDE) & (m > WIDE), F.bit_count(apart[0]) + F.bit_count(apart[1])).otherwise(F.bit_count(apart[0].bitwiseXOR(apart[1])))
-    met = entries.alias("a").join(entries.alias("b"), (word("a") == word("b")) & (F.col("a.name") < F.col("b.name")) & (many | placed)
-                                  & asked & (many | (differ <= n + m - 2 * need)))
+    differ = F.when(m > WIDE, F.bit_count(apart[0]) + F.bit_count(apart[1])).otherwise(F.bit_count(apart[0].bitwiseXOR(apart[1])))
+    bounds = (n == MANY) | (placed & (differ * (100 + percent) <= (n + m) * (100 - percent)))
+    met = entries.alias("a").join(entries.alias("b"), (word("a") == word("b")) & bounds & larger & asked)
     return met.select(F.col("a.name").alias("a"), F.col("b.name").alias("b"))
 
 

@@ -539,6 +539,30 @@ def test_near_copies_of_a_line_meet_few_others(spark, monkeypatch):
     assert sum(f.count() for label, f in frames if label == "pairs") < 6 * len(made)
 
 
+@pytest.mark.parametrize("percent", [80, 60])
+def test_lists_of_common_words_are_split_by_size(spark, monkeypatch, percent):
+    """A word of many lines has a list for each class of sizes; pairs across the edges of the classes are found, none is lost."""
+    from tallyloom.llm import lines
+
+    rng = random.Random(5)
+    common, made = [f"c{k}" for k in range(110)], []
+    for n in range(5, 105):
+        base = rng.sample(common, n)
+        made += [" ".join(base), " ".join(base[:max(1, n * percent // 100)]), " ".join(base + [f"s{k}" for k in range(n // 9)]), " ".join(rng.sample(base, n - 1))]
+    rng.shuffle(made)
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    seen, plain = [], lines._entries
+    monkeypatch.setattr(lines, "_entries", lambda sets, p: seen.append((sets, plain(sets, p))) or seen[-1][1])
+    got = {r["doc"] for r in lines.removed_lines(docs, percent=percent).collect()}
+    sets = [set(m.split()) for m in made]
+    assert got == {j for j, b in enumerate(sets) if any(100 * len(a & b) >= percent * len(a | b) for a in sets[:j])}
+    assert 100 < len(got) < 390
+    ((own, entries),) = seen
+    words = own.selectExpr("explode(rare) as word").groupBy("word").count().agg({"count": "max"}).first()[0]
+    lists = entries.selectExpr("shiftright(spot, 32) as list").groupBy("list").count().agg({"count": "max"}).first()[0]
+    assert words > 20 and lists < (0.7 if percent == 80 else 0.9) * words
+
+
 def test_saves_of_line_dedup_leave_no_shuffle_files(spark, monkeypatch):
     """Lists of words are the largest shuffle; their files go with the write that needed them, and the session gets its setting back."""
     from tallyloom import session

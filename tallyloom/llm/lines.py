@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tallyloom.functions.text import bind
+from tallyloom.functions.text import bind, with_once
 from tallyloom.llm.rows import field, hinted, lowered, own_name, text_key
 from tallyloom.session import saved_lean as saved
 
@@ -71,10 +71,14 @@ def rarity(docs: DataFrame, text: str) -> Column:
     return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
 
 
-def line_words(line: Column, levels: Column) -> Column:
-    """Sorted numbers of the distinct words of a (plain) line, the rarest first."""
-    hashes = F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, lambda w: F.get(levels, _slot(w)).bitwiseOR(F.call_function("shiftrightunsigned", w, F.lit(64 - LEVEL_BITS)))))
+def with_line_words(df: DataFrame, name: str, line: Column, levels: Column) -> DataFrame:
+    """``df`` with the sorted numbers of the distinct words of a (plain) line, the rarest first.
+
+    Lambdas are not compiled, and neither is what is computed around them: words are sorted by a generator of their own.
+    """
+    hashes = F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w))
+    numbers = F.transform(hashes, lambda w: F.get(levels, _slot(w)).bitwiseOR(F.call_function("shiftrightunsigned", w, F.lit(64 - LEVEL_BITS))))
+    return with_once(with_once(df, "numbers", numbers), name, F.sort_array(F.array_distinct("numbers"))).drop("numbers")
 
 
 def _keyed(docs: DataFrame, ident: str, text: str) -> DataFrame:
@@ -108,11 +112,10 @@ def _masks(words: Column) -> list[Column]:
     return [every.bitwiseXOR(upper), upper]
 
 
-def _groups(words: Column) -> Column:
-    """Hashes of the smallest and of the largest word of the rarer half, levels aside."""
+def _bare_half(words: Column) -> Column:
+    """The rarer half of the words, levels aside."""
     half = F.slice(words, F.lit(1), F.floor((F.size(words) + 1) / 2).cast("int"))
-    bare = F.transform(half, lambda w: w.bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)))
-    return bind(bare, lambda b: F.array(*[F.hash(m(b)) for m in (F.array_min, F.array_max)]))
+    return F.transform(half, lambda w: w.bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)))
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -147,7 +150,7 @@ def _settled(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, ident: str, t
     holding = _keyed(docs, ident, text).join(hinted(known.select("doc", "key").distinct()), ["doc", "key"], "left_semi")
     near = holding.select("doc", "key", F.posexplode(F.split("text", "\n", -1)).alias("no", "line")).join(hinted(known), ["doc", "key", "no"])
     lower = near.select("name", "first", F.explode(F.array(lowered(F.col("line")))).alias("line"))
-    full = lower.select("name", "first", F.explode(F.array(line_words(_blanked(F.col("line")), levels))).alias("h")).dropDuplicates(["name"])
+    full = with_line_words(lower, "h", _blanked(F.col("line")), levels).select("name", "first", "h").dropDuplicates(["name"])
     full = saved(full, "full")
     one, two = (full.select(F.col("name").alias(s), F.col("h").alias(f"{s}_h"), F.col("first").alias(f"{s}_first")) for s in "ab")
     both = pairs.join(one, "a").join(two, "b")
@@ -243,15 +246,18 @@ def removed_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text", pe
     """(doc, key, no): lines that go, see ``dedup_lines``."""
     levels = rarity(docs, text)
     place = F.struct("doc", "key", "no")
-    hashed = _split_lines(docs, ident, text).select("doc", "key", "no", F.explode(F.array(line_words(F.col("line"), levels))).alias("h"))
+    hashed = with_line_words(_split_lines(docs, ident, text), "h", F.col("line"), levels).select("doc", "key", "no", "h")
+    hashed = with_once(hashed.where(F.size("h") > 0), "half", _bare_half(F.col("h")))
     size = F.size("h")
     # The level and 24 bits of a word's number name its list; words that share them share a list.
     short = F.transform(F.slice("h", F.lit(1), _prefix(size, percent)), lambda w: F.call_function("shiftrightunsigned", w, F.lit(32)).cast("int"))
     # Sets so small that one word more or less is too much are similar to no other.
     some = size * 100 >= (size + 1) * percent
-    lines = saved(hashed.where(size > 0).select(
+    # Hashes of the smallest and of the largest word of the rarer half.
+    groups = F.array(*[F.hash(m("half")) for m in (F.array_min, F.array_max)])
+    lines = saved(hashed.select(
         "doc", "key", "no", F.xxhash64("h").alias("name"), size.alias("n"), *[m.alias(f"m{k}") for k, m in enumerate(_masks(F.col("h")))],
-        F.when(some, short).alias("rare"), F.when(some, _groups(F.col("h"))).alias("groups")), "lines")
+        F.when(some, short).alias("rare"), F.when(some, groups).alias("groups")), "lines")
     named = lines.select("doc", "key", "no", "name")
     own = ["n", "m0", "m1", "rare", "groups"]
     sets = lines.groupBy("name").agg(F.min(place).alias("first"), F.first(F.struct(*own)).alias("it"))

@@ -563,6 +563,20 @@ def test_lists_of_common_words_are_split_by_size(spark, monkeypatch, percent):
     assert words > 20 and lists < (0.7 if percent == 80 else 0.9) * words
 
 
+def test_words_of_a_line_are_sorted_in_compiled_code(spark):
+    """Sorting and removing repeats stand in a generator without lambdas; what stands beside a lambda is not compiled."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.llm import lines
+
+    rows = spark.createDataFrame([("b a  b",), ("",), ("a b",)], "line string")
+    out = lines.with_line_words(rows, "h", F.col("line"), F.split(F.lit(",".join(["0"] * lines.SLOTS)), ",").cast("array<bigint>"))
+    one, none, two = (r["h"] for r in out.collect())
+    assert one == two == sorted(set(one)) and len(one) == 2 and none == []
+    steps = [s for s in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "sort_array" in s]
+    assert steps and not any("lambda" in s for s in steps)
+
+
 def test_saves_of_line_dedup_leave_no_shuffle_files(spark, monkeypatch):
     """Lists of words are the largest shuffle; their files go with the write that needed them, and the session gets its setting back."""
     from tallyloom import session

@@ -41,9 +41,9 @@ WIDE = 32
 MANY = (1 << 15) - 1
 # A word's number: its level of frequency in the top byte, 56 bits of its hash below.
 LEVEL_BITS = 56
-# Words of this level and above (64 times and more) have a list for each class of sizes; a class ends at half as many words again.
-COMMON = 25
-CLASS = 1.5
+# Words of this level and above (256 times and more) have a list for each class of sizes; a class ends at twice as many words.
+COMMON = 33
+CLASS = 2
 
 
 def _blanked(lower: Column) -> Column:
@@ -59,15 +59,16 @@ def _slot(word: Column) -> Column:
 
 
 def rarity(docs: DataFrame, text: str) -> Column:
-    """An array with one level per slot of hashed words, in the top byte: a quarter-step logarithm of their count in all texts."""
+    """An array with one level per slot of hashed words: a quarter-step logarithm of their count in all texts."""
     # A generator computes a costly value once.
     lower = docs.select(F.explode(F.array(lowered(field(docs, text)))).alias("text"))
     words = lower.select(F.explode(F.split(F.replace(_blanked(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("word")).where("word <> ''")
     counted = words.groupBy(_slot(F.xxhash64("word")).alias("slot")).agg(F.count("*").alias("n"))
     levels = [0] * SLOTS
     for row in counted.collect():
-        levels[row["slot"]] = min(127, 1 + int(4 * math.log2(row["n"]))) << LEVEL_BITS
+        levels[row["slot"]] = min(127, 1 + int(4 * math.log2(row["n"])))
     # A constant that the optimizer folds; an array of as many literals would be a huge expression.
+    # The driver keeps plans as text with all of it, so the numbers stay short.
     return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
 
 
@@ -77,7 +78,8 @@ def with_line_words(df: DataFrame, name: str, line: Column, levels: Column) -> D
     Lambdas are not compiled, and neither is what is computed around them: words are sorted by a generator of their own.
     """
     hashes = F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w))
-    numbers = F.transform(hashes, lambda w: F.get(levels, _slot(w)).bitwiseOR(F.call_function("shiftrightunsigned", w, F.lit(64 - LEVEL_BITS))))
+    numbers = F.transform(hashes, lambda w: F.call_function("shiftleft", F.get(levels, _slot(w)), F.lit(LEVEL_BITS)).bitwiseOR(
+        F.call_function("shiftrightunsigned", w, F.lit(64 - LEVEL_BITS))))
     return with_once(with_once(df, "numbers", numbers), name, F.sort_array(F.array_distinct("numbers"))).drop("numbers")
 
 

@@ -19,6 +19,11 @@ where a floor on the count is known:
    An n-gram that reaches the floor is cut nowhere, and all occurrences of another
    one are cut alike, so the sort counts exactly. What is left is sorted, packed and dealt out by
    ranges of suffixes that take as many rows each, as marks in the packed blocks tell.
+
+For the k most frequent of each length the floor is a lower bound of the k-th count:
+every task names its most frequent runs of all lengths, and what they add up to over
+the tasks cannot be more than there is. Should a length have fewer than k that repeat,
+whole suffixes are packed and dealt out.
 """
 
 from __future__ import annotations
@@ -263,6 +268,33 @@ class _Words:
             yield n, gram
 
 
+def _named(longest: int, k: int):
+    """For each length the most frequent n-grams of some texts, by a hash: n, hash, count.
+
+    Any choice is right. Starts whose n-gram is rare here are not looked at in greater lengths.
+    """
+    many = max(64, 4 * k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words in _pieces(batches, PIECE):
+            at = np.arange(len(words.left))
+            for n, gram in words.grams(longest):
+                at = at[words.left[at] >= n]
+                if not len(at):
+                    break
+                hashes, counts = np.unique(gram[at], return_counts=True)
+                if len(counts) > many:
+                    top = np.argpartition(-counts, many - 1)[:many]
+                    hashes, counts = hashes[top], counts[top]
+                    slots = (gram[at] >> U(44)).astype(np.int64)
+                    at = at[np.bincount(slots)[slots] >= counts.min() // 4]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(counts), n), pa.int32()), pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())],
+                    names=["n", "hash", "count"])
+
+    return run
+
+
 def _packed(numbers: np.ndarray) -> bytes:
     """Numbers below 2**32, byte by byte, so that what they have in common compresses."""
     return pa.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
@@ -514,6 +546,17 @@ def _ranked(counted: DataFrame, ties: Sequence[str], k: int) -> DataFrame:
     return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _lower_bound(texts: DataFrame, lengths: Sequence[int], k: int) -> int:
+    """A count that the k-th most frequent n-gram of every length reaches, as far as hashes tell; one if there are not that many."""
+    longest = max(lengths)
+    with _small_batches(texts.sparkSession):
+        named = texts.mapInArrow(_named(longest, k), "n int, hash bigint, count bigint")
+        sums = named.groupBy("n", "hash").agg(F.sum("count").alias("count"))
+        lowest = _ranked(sums, ["hash"], k).groupBy("n").agg(F.min("count").alias("lowest"), F.count(F.lit(1)).alias("found")).where(F.col("found") == k)
+        known = {r["n"]: r["lowest"] for r in lowest.collect()}
+    return min(known.get(n, 1) for n in lengths)
+
+
 def ngrams_of_all_lengths(df: DataFrame, tokens: Column, longest: int = LONGEST, least: int = 1, k: int | None = None) -> DataFrame:
     """n, ngram, count for n = 1 to ``longest``: n-grams that occur ``least`` times or more.
 
@@ -523,14 +566,27 @@ def ngrams_of_all_lengths(df: DataFrame, tokens: Column, longest: int = LONGEST,
     """
     if longest < 1 or least < 1:
         raise ValueError("longest and least must be at least 1")
-    if least > 1:
+    if least > 1 or k:
         # The generator's output is computed once per row, a plain projection by each of its uses.
         split = df.select(F.explode(F.array(tokens)).alias("tokens")).where(F.size("tokens") > 0)
         spaced = split.select(F.concat(F.array_join("tokens", " "), F.lit(" ")).alias("text"), F.size("tokens").alias("size"))
         texts = saved_lean(spaced, "words", compression="zstd")
-        n_words = texts.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-        blocks = _cut_suffixes(texts.select("text"), n_words, longest, least) if n_words > FEW_WORDS else None
+        n_words, most = texts.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
+        texts, there = texts.select("text"), range(1, min(longest, most) + 1)
+        floors = [least] if n_words > FEW_WORDS else []
+        if k and floors and (floor := max(2, _lower_bound(texts, there, k))) > least:
+            floors = [floor, least]
+        for floor in floors:
+            blocks = _cut_suffixes(texts, n_words, longest, floor)
+            counted = _counted(_runs_of_blocks(blocks, longest, floor, k), floor, k)
+            if floor > least:
+                counted = saved_lean(counted, "ngrams")
+                drop_saved(blocks)
+                # Some length may have fewer n-grams: hashes that fall together have raised the floor, or too few repeat.
+                found = {r["n"]: r["count"] for r in counted.groupBy("n").count().collect()}
+                if any(found.get(n) != k for n in there):
+                    continue
+            drop_saved(texts)
+            return counted
         drop_saved(texts)
-        if blocks is not None:
-            return _counted(_runs_of_blocks(blocks, longest, least, k), least, k)
     return _counted(_runs_of_rows(suffixes(df, tokens, longest), longest, least, k), least, k)

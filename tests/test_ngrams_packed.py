@@ -37,6 +37,14 @@ def plain(texts, longest):
     return out
 
 
+def best(texts, longest, k, least=1):
+    want = []
+    for n in range(1, longest + 1):
+        counts = [(-c, g) for (m, g), c in plain(texts, longest).items() if m == n and c >= least]
+        want += [(n, rank, c, g) for rank, (c, g) in enumerate(sorted(counts, key=lambda x: (x[0], x[1].encode()))[:k], 1)]
+    return want
+
+
 def frame(spark, texts):
     return spark.createDataFrame([(t,) for t in texts], "tokens array<string>").repartition(3)
 
@@ -59,7 +67,39 @@ def test_above_a_floor(spark, small, longest, least):
     assert {(r["n"], r["ngram"]): r["count"] for r in got} == {key: n for key, n in plain(texts, longest).items() if n >= least}
 
 
-@pytest.mark.parametrize("options", [{"least": 10}])
+@pytest.mark.parametrize("k, least", [(1, 1), (4, 1), (4, 30), (60, 1), (3000, 1)])
+def test_most_frequent_above_their_own_floor(spark, small, k, least):
+    """Also where a length has fewer than k that repeat, and fewer than k at all."""
+    texts = made(2)
+    got = N.ngrams_of_all_lengths(frame(spark, texts), F.col("tokens"), 6, least, k).collect()
+    assert sorted((r["n"], r["rank"], -r["count"], r["ngram"]) for r in got) == best(texts, 6, k, least)
+
+
+def test_lengths_that_no_text_has(spark, small):
+    texts = [["a", "b", "c"]] * 30 + [["b", "c"]] * 5
+    got = N.ngrams_of_all_lengths(frame(spark, texts), F.col("tokens"), 7, k=1).collect()
+    assert sorted((r["n"], r["rank"], -r["count"], r["ngram"]) for r in got) == best(texts, 7, 1)
+
+
+def test_a_floor_that_is_too_high_is_noticed(spark, monkeypatch):
+    """Hashes that fall together may make a count that no n-gram has."""
+    monkeypatch.setattr(N, "FEW_WORDS", 0)
+    monkeypatch.setattr(N, "_lower_bound", lambda *args: 1000)
+    texts = made(3)
+    got = N.ngrams_of_all_lengths(frame(spark, texts), F.col("tokens"), 4, k=3).collect()
+    assert sorted((r["n"], r["rank"], -r["count"], r["ngram"]) for r in got) == best(texts, 4, 3)
+
+
+def test_the_floor_of_the_most_frequent_is_reached(spark, monkeypatch):
+    monkeypatch.setattr(N, "PIECE", 200)
+    texts = [t for t in made(4) if t]
+    lines = spark.createDataFrame([(" ".join(t) + " ",) for t in texts], "text string").repartition(3)
+    for k in (1, 5):
+        kth = min(-c for _, rank, c, _ in best(texts, 5, k) if rank == k)
+        assert 1 < N._lower_bound(lines, range(1, 6), k) <= kth
+
+
+@pytest.mark.parametrize("options", [{"least": 10}, {"k": 5}])
 def test_starts_that_cannot_count_are_not_sent(spark, monkeypatch, options):
     """Thirteen words for each start were many times the text in the shuffle."""
     rng = random.Random(5)
@@ -70,7 +110,7 @@ def test_starts_that_cannot_count_are_not_sent(spark, monkeypatch, options):
     found = N.ngrams_of_all_lengths(frame(spark, texts), F.col("tokens"), **options)
     assert "rangepartitioning" not in found._jdf.queryExecution().executedPlan().toString()
     counts = {(r["n"], r["ngram"]): r["count"] for r in found.collect()}
-    assert set(counts.values()) == {50} and len(counts) == sum(21 - n for n in range(1, 14))
+    assert set(counts.values()) == {50} and len(counts) == (sum(21 - n for n in range(1, 14)) if "least" in options else 13 * 5)
     packed = sent[0].agg(F.sum("size"), F.sum(F.length("sizes") + F.length("bytes") + F.length("weights"))).first()
     # The twenty starts of the passage, from each task at most, and starts that fall together with them.
     assert len(sent) == 1 and packed[0] <= 20 * 3 + 10 and packed[1] < 20_000
@@ -80,8 +120,10 @@ def test_tables_on_the_way_are_removed(spark, monkeypatch):
     monkeypatch.setattr(N, "FEW_WORDS", 0)
     folder = shared_folder(spark).removeprefix("file://")
     before = set(os.listdir(folder))
+    N.ngrams_of_all_lengths(frame(spark, made()), F.col("tokens"), 5, k=2).collect()
+    assert {name.split("-")[0] for name in set(os.listdir(folder)) - before} == {"ngrams"}
     N.ngrams_of_all_lengths(frame(spark, made()), F.col("tokens"), 5, 2).collect()
-    assert {name.split("-")[0] for name in set(os.listdir(folder)) - before} == {"suffixes"}
+    assert {name.split("-")[0] for name in set(os.listdir(folder)) - before} == {"ngrams", "suffixes"}
 
 
 def test_only_saved_tables_are_removed(spark, tmp_path):

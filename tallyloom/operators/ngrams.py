@@ -55,7 +55,7 @@ FEW_WORDS = 100_000
 HASHED = (1, 2, 3)
 # Bytes of text that a task works on at a time.
 PIECE = 2**22
-# Slots as powers of two: at least and at most, and how many are merged together (four bytes each); n-grams that a task adds up before it sends them.
+# Slots as powers of two: at least and at most, and how many are merged together at most (four bytes each); n-grams that a task adds up before it sends them.
 SLOT_BITS, PART_BITS, HELD_SLOTS = (20, 29), 22, 2**23
 # Bytes of suffixes that are copied at a time.
 COPIED = 2**20
@@ -305,9 +305,14 @@ def _unpacked(data: bytes, size: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def _part_bits(bits: int) -> int:
+    """A part of the slots as a power of two: few slots are merged by many tasks, too."""
+    return max(3, min(bits - 6, PART_BITS))
+
+
 def _hashed(lengths: Sequence[int], bits: int, least: int):
     """How often each slot is met by n-grams of the given lengths: part, size, and the slots of the part and their counts, packed."""
-    part_bits = min(bits, PART_BITS)
+    part_bits = _part_bits(bits)
 
     def counted(held: list[np.ndarray]) -> pa.RecordBatch:
         slots = np.concatenate(held)
@@ -343,7 +348,7 @@ def _reached(bits: int, least: int):
     """One part of the slots: a bit for each, whether it is met ``least`` times or more."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met = np.zeros(2**min(bits, PART_BITS), dtype=np.int64 if least >= 2**31 else np.uint32)
+        met = np.zeros(2**_part_bits(bits), dtype=np.int64 if least >= 2**31 else np.uint32)
         for batch in batches:
             for size, slots, counts in zip(*(batch.column(name).to_pylist() for name in ("size", "slots", "counts"))):
                 at = np.cumsum(_unpacked(slots, size), dtype=np.int64)
@@ -389,7 +394,7 @@ def _cut(lengths: Sequence[int], longest: int, bits: int, sent: Broadcast | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        size = 2**min(bits, PART_BITS) // 8
+        size = 2**_part_bits(bits) // 8
         table = np.zeros(2**bits // 8 if sent is not None else 0, dtype=np.uint8)
         for part, data in sent.value if sent is not None else []:
             table[part * size:(part + 1) * size] = np.frombuffer(pa.decompress(data, size, codec="zstd"), dtype=np.uint8)

@@ -148,6 +148,14 @@ def test_blocks_and_numbers_by_hand():
         assert opened.to_pylist() == texts and weights.tolist() == numbers.tolist()
 
 
+def test_few_slots_are_merged_by_many_tasks(spark):
+    """The slots of a high floor are few; one task would have read what all others send."""
+    lines = spark.createDataFrame([(" ".join(f"w{k * n % 1009}" for k in range(500)) + " ",) for n in range(1, 40)], "text string")
+    parts = lines.mapInArrow(N._hashed((1, 2, 3), N.SLOT_BITS[0], 500), "part int, size int, slots binary, counts binary")
+    sizes = [r["s"] for r in parts.groupBy("part").agg(F.sum("size").alias("s")).collect()]
+    assert len(sizes) == 64 and max(sizes) < 2 * sum(sizes) / 64
+
+
 def test_words_and_hashes_by_hand():
     texts = [["a", "b"], ["", "b"], ["abcdefgh", "abcdefghi", "abcdefgh"], ["x" * 40, "x" * 41, "a", "b"]]
     words = N._Words(pa.array(["zz ", *(" ".join(t) + " " for t in texts)]).slice(1))
